@@ -1,0 +1,114 @@
+"""Streams whose rule runs along each group: what is still open after a micro-batch is carried into the next one.
+
+Each micro-batch is worked out by the batch operator over carried and new rows together. So the stream gives the batch
+result, and a hot channel or id is split over tasks in the same way, which a state store with one key per group could
+not do. Carried rows are written per micro-batch to the shared folder; a replay reads its predecessor's and replaces
+its own. Messages are expected in time order from one micro-batch to the next.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.time import micros
+from ..operators.delivery import batch_by_count_or_time, dedupe_by_message_id
+from .flow import BATCH
+
+
+def _stateful(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    state_schema: T.StructType,
+    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+) -> StreamingQuery:
+    """``step(state, new rows) -> (rows to emit, next state)`` for each micro-batch."""
+    state_path = f"{path}-state"
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        if batch_id:
+            state = spark.read.schema(state_schema).parquet(f"{state_path}/{BATCH}={batch_id - 1}")
+        else:
+            state = spark.createDataFrame([], state_schema)
+        emitted, following = step(state, rows)
+        following.write.mode("overwrite").parquet(f"{state_path}/{BATCH}={batch_id}")
+        emitted.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_dedupe(
+    df: DataFrame, id: str, ts: str, window_s: int, path: str, checkpoint: str, order: Sequence[str] = ("seq",)
+) -> StreamingQuery:
+    """``dedupe_by_message_id`` on a stream. Carried: for each id whose window is still open, when it was opened.
+
+    A late message is held against that window too, so it is dropped rather than accepted a second time.
+    """
+    window_us = window_s * 1_000_000
+    state_schema = T.StructType([df.schema[id], T.StructField("_opened", T.LongType())])
+
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        blocked = state.withColumnRenamed(id, "_id")
+        free = rows.join(blocked, rows[id].eqNullSafe(F.col("_id")), "left").where(
+            F.col("_opened").isNull() | (micros(ts) >= F.col("_opened") + window_us)
+        ).select(*rows.columns)
+        accepted = dedupe_by_message_id(free, id, ts, window_s, order)
+        opened = accepted.select(id, micros(ts).alias("_opened")).unionByName(state)
+        now = rows.agg(F.max(micros(ts))).head()[0]
+        latest = opened.groupBy(id).agg(F.max("_opened").alias("_opened"))
+        return accepted, latest.where(F.col("_opened") + window_us > now) if now is not None else latest
+
+    return _stateful(df, path, checkpoint, state_schema, step)
+
+
+def stream_batcher(
+    df: DataFrame,
+    by: Sequence[str],
+    ts: str,
+    n: int,
+    wait_ms: int,
+    path: str,
+    checkpoint: str,
+    order: Sequence[str] = ("seq",),
+) -> StreamingQuery:
+    """``batch_by_count_or_time`` on a stream: a batch is emitted, whole, once it is full or its time is up.
+
+    Carried: the messages of each channel's open batch (fewer than ``n``), and the number of its next batch. Time is
+    the newest message time seen, so a quiet channel's batch is closed by traffic on the others.
+    """
+    by = list(by)
+    state_schema = T.StructType([
+        *df.schema.fields, T.StructField("_next", T.LongType()), T.StructField("_open", T.BooleanType())
+    ])
+
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        waiting = state.where("_open").select(*df.columns)
+        both = waiting.unionByName(rows)
+        now = both.agg(F.max(micros(ts))).head()[0]
+        next_no = state.where(~F.col("_open")).select(F.struct(*by).alias("_channel"), "_next")
+        batched = batch_by_count_or_time(both, by, order, ts, n, wait_ms).withColumn("_channel", F.struct(*by))
+        batched = batched.join(next_no, ["_channel"], "left").withColumn(
+            "batch_no", F.col("batch_no") + F.coalesce(F.col("_next"), F.lit(0))
+        )
+        one_batch = Window.partitionBy("_channel", "batch_no")  # at most n rows
+        judged = batched.withColumn(
+            "_closed",
+            (F.count(F.lit(1)).over(one_batch) >= max(n, 1))
+            | (F.min(micros(ts)).over(one_batch) + wait_ms * 1000 <= F.lit(now)),
+        ).persist()
+        closed = judged.where("_closed")
+        following = closed.groupBy("_channel").agg((F.max("batch_no") + 1).alias("_next")).unionByName(next_no)
+        counters = following.groupBy("_channel").agg(F.max("_next").alias("_next")).select(
+            *[F.col("_channel")[c].alias(c) for c in by], "_next", F.lit(False).alias("_open")
+        )
+        open_ = judged.where(~F.col("_closed")).select(*df.columns, F.lit(True).alias("_open"))
+        carried = open_.unionByName(counters, allowMissingColumns=True).select(*state_schema.names)
+        return closed.select(*df.columns, "batch_no", "batch_idx"), carried
+
+    return _stateful(df, path, checkpoint, state_schema, step)

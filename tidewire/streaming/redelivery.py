@@ -1,0 +1,70 @@
+"""Redelivery deadlines on a stream of delivery attempts."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+OUTPUT = "consumer string, seq bigint, attempt int, due_ms bigint, status string"
+
+
+class _Deadlines(StatefulProcessor):
+    """Per (consumer, seq): the latest attempt and when it runs out. An acknowledgement ends it for good."""
+
+    def __init__(self, ack_wait_s: int, max_deliver: int):
+        self.wait_ms = ack_wait_s * 1000
+        self.max_deliver = max_deliver
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", "attempt int, deadline_ms bigint, acked boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        attempt, deadline, acked = self.latest.get() if self.latest.exists() else (0, 0, False)
+        before = deadline if attempt and not acked else None
+        for frame in rows:
+            for row in frame.sort_values("attempt").itertuples():
+                acked = acked or row.outcome == "ack"
+                if row.attempt > attempt:
+                    attempt = int(row.attempt)
+                    deadline = -(-row.delivered_at.value // 1_000_000) + self.wait_ms
+        if before is not None:
+            self.handle.deleteTimer(before)
+        if not acked:
+            self.handle.registerTimer(deadline)
+        self.latest.update((attempt, deadline, acked))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        attempt, deadline, acked = self.latest.get()
+        if acked or expiredTimerInfo.getExpiryTimeInMs() != deadline:
+            return
+        gone = 0 < self.max_deliver <= attempt
+        yield pd.DataFrame({
+            "consumer": [key[0]], "seq": [key[1]], "attempt": [attempt if gone else attempt + 1],
+            "due_ms": [deadline], "status": ["failed" if gone else "due"],
+        })
+
+    def close(self) -> None:
+        pass
+
+
+def stream_redelivery(deliveries: DataFrame, ack_wait_s: int, max_deliver: int = 0, delay: str = "0 seconds") -> DataFrame:
+    """``redeliver`` on a stream: a row when the watermark passes the deadline of a message's latest attempt.
+
+    ``status`` is ``due`` with the number of the next attempt, or ``failed`` after ``max_deliver`` attempts.
+    """
+    timed = deliveries.select(
+        "consumer", "seq", F.col("attempt").cast("int").alias("attempt"),
+        F.col("delivered_at").cast("timestamp").alias("delivered_at"), "outcome",
+    ).withWatermark("delivered_at", delay)
+    return timed.groupBy("consumer", "seq").transformWithStateInPandas(
+        statefulProcessor=_Deadlines(ack_wait_s, max_deliver),
+        outputStructType=OUTPUT,
+        outputMode="append",
+        timeMode="eventTime",
+    )
