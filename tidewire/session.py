@@ -17,9 +17,6 @@ RUNTIME_CONF = {
     # ... also when the join's partitioning would otherwise have been reused downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # the only provider with timers and list/map state
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

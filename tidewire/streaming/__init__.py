@@ -1,6 +1,5 @@
-from .carry import stream_batcher, stream_dedupe
+from .carry import stream_batcher, stream_dedupe, stream_redelivery
 from .flow import read_sink, retrieve_stream, stream_flow, stream_sink
-from .redelivery import stream_redelivery
 
 __all__ = [
     "read_sink", "retrieve_stream", "stream_batcher", "stream_dedupe", "stream_flow", "stream_redelivery",

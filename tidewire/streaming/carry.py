@@ -112,3 +112,41 @@ def stream_batcher(
         return closed.select(*df.columns, "batch_no", "batch_idx"), carried
 
     return _stateful(df, path, checkpoint, state_schema, step)
+
+
+def stream_redelivery(
+    deliveries: DataFrame, ack_wait_s: int, path: str, checkpoint: str, max_deliver: int = 0
+) -> StreamingQuery:
+    """``redeliver`` on a stream of delivery attempts: a row once the newest delivery time seen passes the deadline of
+    a message's latest attempt.
+
+    ``status`` is ``due`` with the number of the next attempt, or ``failed`` after ``max_deliver`` attempts. Carried:
+    messages still inside their deadline, acknowledged or not; so an attempt that comes in after its acknowledgement
+    does not reopen the message.
+    """
+    wait_us = ack_wait_s * 1_000_000
+    state_schema = T.StructType([
+        deliveries.schema["consumer"], deliveries.schema["seq"], T.StructField("attempt", T.LongType()),
+        T.StructField("due_us", T.LongType()), T.StructField("acked", T.BooleanType()),
+    ])
+
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        attempts = rows.select(
+            "consumer", "seq", F.col("attempt").cast("bigint").alias("attempt"),
+            (micros("delivered_at") + wait_us).alias("due_us"), (F.col("outcome") == "ack").alias("acked"),
+        )
+        now = attempts.agg(F.max("due_us") - wait_us).head()[0]
+        latest = attempts.unionByName(state).groupBy("consumer", "seq").agg(
+            F.max("attempt").alias("attempt"),
+            F.max_by("due_us", "attempt").alias("due_us"),
+            F.coalesce(F.bool_or("acked"), F.lit(False)).alias("acked"),
+        )
+        up = F.coalesce(F.col("due_us") <= F.lit(now), F.lit(False))
+        gone = F.col("attempt") >= max_deliver if max_deliver > 0 else F.lit(False)
+        emitted = latest.where(up & ~F.col("acked")).select(
+            "consumer", "seq", (F.col("attempt") + F.when(gone, 0).otherwise(1)).alias("attempt"), "due_us",
+            F.when(gone, "failed").otherwise("due").alias("status"),
+        )
+        return emitted, latest.where(~up)
+
+    return _stateful(deliveries, path, checkpoint, state_schema, step)

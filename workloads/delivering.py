@@ -454,18 +454,14 @@ def stream_batcher_query(spark, sf):
     return read_sink(spark, f"{run}/out").select("queue", "batch_no", "batch_idx", "seq")
 
 
-# Timers fire up to the watermark, here the newest delivery time; it is cut to milliseconds.
 @query("stream_redelivery", ["deliveries"], REDELIVER_SQL + """
-, due as (select *, cast(ceil(epoch_us(delivered_at) / 1000.0) as bigint) + 60000 as due_ms from latest where not acked)
+, due as (select *, epoch_us(delivered_at) + 60000000 as due_us from latest where not acked)
 select case when attempt < 3 then 'due' else 'failed' end as status, consumer, seq,
-       cast(case when attempt < 3 then attempt + 1 else attempt end as bigint) as attempt, due_ms
-from due where due_ms <= (select max(epoch_us(delivered_at)) // 1000 from deliveries)
+       cast(case when attempt < 3 then attempt + 1 else attempt end as bigint) as attempt, due_us
+from due where due_us <= (select max(epoch_us(delivered_at)) from deliveries)
 """)
 def stream_redelivery_query(spark, sf):
     run = new_run_folder(spark, "stream_redelivery")
     attempts = derive(spark, "deliveries", messages=messages_stream(spark, sf))
-    due = stream_redelivery(attempts, 60, 3)
-    stream_sink(due, f"{run}/out", f"{run}/checkpoint").awaitTermination()
-    return read_sink(spark, f"{run}/out").select(
-        "status", "consumer", "seq", F.col("attempt").cast("bigint").alias("attempt"), "due_ms"
-    )
+    stream_redelivery(attempts, 60, f"{run}/out", f"{run}/checkpoint", 3).awaitTermination()
+    return read_sink(spark, f"{run}/out").select("status", "consumer", "seq", "attempt", "due_us")

@@ -286,7 +286,7 @@ def mq_metadata(spark, sf):
 
 
 @query("set_metadata", ["messages"], """
-select seq, concat('msg_id=', msg_id, ';queue=', subject, ';qos=', qos) as metadata from messages
+select seq, concat('msg_id=', msg_id, ';qos=', qos, ';queue=', subject) as metadata from messages
 """)
 def set_metadata(spark, sf):
     base = text_map(queue=F.col("queue"), qos=F.col("qos"))

@@ -80,7 +80,7 @@ def s3_event_metadata(spark, sf):
 details as (
   select doc_id, list('detail_' || k || '=' || json_extract_string(event, '$.detail."' || k || '"')) as d
   from pairs group by doc_id)
-select o.doc_id, array_to_string(list_sort(list_concat(d, list_filter(string_split({S3_MAP_SQL}, ';'), x -> x <> ''), [
+select o.doc_id, array_to_string(list_sort(list_concat(d, case when json_extract_string(event, '$.source') = 'aws.s3' then string_split({S3_MAP_SQL}, ';') else [] end, [
          'event_source=' || json_extract_string(event, '$.source'),
          'detail_type=' || json_extract_string(event, '$."detail-type"'),
          'event_time=' || ({TIME_US_SQL} // 1000000),
