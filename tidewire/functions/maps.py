@@ -20,8 +20,12 @@ def merge_maps(first: Column, *others: Column) -> Column:
     """Union of maps where the right-most map wins; independent of the session's duplicate-key policy."""
 
     def overlay(base: Column, top: Column) -> Column:
-        kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(top, k))
-        return F.map_concat(kept, top)
+        # the one-element transform gives both maps a name, so that neither is recomputed for every key
+        pair = F.array(F.struct(base.alias("base"), top.alias("top")))
+        merged = F.transform(pair, lambda p: F.map_concat(
+            F.map_filter(p["base"], lambda k, v: ~F.map_contains_key(p["top"], k)), p["top"]
+        ))
+        return F.get(merged, F.lit(0))
 
     return reduce(overlay, others, first)
 

@@ -10,19 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.events import string_at, variant_type
 from ..functions.maps import empty_map
 from ..functions.time import col
+from ..plans.binding import bind
 
 _TEXT_FIELDS = {"source": "$.source", "detail_type": "$['detail-type']", "region": "$.region", "account": "$.account"}
 
 
-def _bind(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a column that is computed once per row.
-
-    The optimizer copies an ordinary column's expression into every later use, filters included; for parsed JSON, used
-    a dozen times, that means a dozen parses. It does not look through a generator.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
     """Queue bodies to ``(events, errors)``.
 
@@ -30,15 +22,15 @@ def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame,
     A null body, invalid JSON, or a field of the wrong type is an error row (``error`` says which); the rest get an
     ``event`` struct in which absent text fields are empty.
     """
-    opened = _bind(df, "_outer", F.try_parse_json(F.col(body)))
+    opened = bind(df, "_outer", F.try_parse_json(F.col(body)))
 
     def text_or_absent(path: str) -> Column:
         return F.coalesce(variant_type(F.col("_outer"), path).isin("STRING", "VOID"), F.lit(True))
 
     is_wrapper = text_or_absent("$.Type") & text_or_absent("$.MessageId")
-    opened = _bind(opened, "_inner", F.when(is_wrapper, F.nullif(string_at(F.col("_outer"), "$.Message"), F.lit(""))))
+    opened = bind(opened, "_inner", F.when(is_wrapper, F.nullif(string_at(F.col("_outer"), "$.Message"), F.lit(""))))
     inner = F.col("_inner")
-    opened = _bind(opened, "_event", F.when(inner.isNull(), F.col("_outer")).otherwise(F.try_parse_json(inner)))
+    opened = bind(opened, "_event", F.when(inner.isNull(), F.col("_outer")).otherwise(F.try_parse_json(inner)))
     v = F.col("_event")
 
     def wrong(path: str, *allowed: str) -> Column:
@@ -67,8 +59,8 @@ def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame,
         time.alias("time"),
         F.coalesce(F.try_variant_get(v, "$.resources", "array<string>"), F.array().cast("array<string>")).alias("resources"),
     )
-    parsed = _bind(opened, "error", error)
-    events = _bind(parsed.where(F.col("error").isNull()), "event", event)
+    parsed = bind(opened, "error", error)
+    events = bind(parsed.where(F.col("error").isNull()), "event", event)
     errors = parsed.where(F.col("error").isNotNull())
     return events.select(*[c for c in df.columns if c != body], "event"), errors.select(*df.columns, "error")
 

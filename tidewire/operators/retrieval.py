@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maps import empty_map, merge_maps, stringify_metadata
 from ..functions.time import micros
+from ..plans.binding import bind
 
 LOCATION = ["bucket", "key"]
 
@@ -24,24 +25,23 @@ def resolve_location(df: DataFrame, reference: str = "reference", metadata: str
     Tried in order: both in the metadata; the reference, less an ``s3://``, cut at its first slash; the nested form
     with JSON objects ``bucket.name`` and ``object.key`` in the metadata.
     """
-    ref = F.regexp_replace(F.col(reference), "^s3://", "")
-    slash = F.instr(ref, "/")
-    candidates = [(F.when(slash > 0, F.substring(ref, 1, slash - 1)), F.when(slash > 0, F.substr(ref, slash + 1)))]
+    split = bind(df, "_parts", F.split(F.regexp_replace(F.col(reference), "^s3://", ""), "/", 2))
+    candidates = [(F.get("_parts", F.lit(0)), F.get("_parts", F.lit(1)))]
     if metadata in df.columns:
         md = F.col(metadata)
-        plain = ~md["bucket"].startswith("{")
-        candidates.insert(0, (F.when(plain, md["bucket"]), F.when(plain, md["key"])))
-        nested = ~plain
+        nested = md["bucket"].startswith("{")
+        candidates.insert(0, (F.when(~nested, md["bucket"]), md["key"]))
         candidates.append((
-            F.when(nested, F.get_json_object(md["bucket"], "$.name")),
-            F.when(nested, F.get_json_object(md["object"], "$.key")),
+            F.when(nested, F.get_json_object(md["bucket"], "$.name")), F.get_json_object(md["object"], "$.key")
         ))
     pairs = [F.when(b.isNotNull() & k.isNotNull(), F.struct(b.alias("bucket"), k.alias("key"))) for b, k in candidates]
-    located = df.withColumn("_at", F.coalesce(*pairs))
-    error = F.when(F.col("_at").isNull(), F.concat(F.lit("no location in trigger: "), F.coalesce(F.col(reference), F.lit(""))))
-    return located.withColumns(
-        {"bucket": F.col("_at.bucket"), "key": F.col("_at.key"), "location_error": error}
-    ).drop("_at")
+    found = bind(split, "_at", F.coalesce(*pairs))
+    reason = F.concat(F.lit("no location in trigger: "), F.coalesce(F.col(reference), F.lit("")))
+    return found.withColumns({
+        "bucket": F.col("_at.bucket"),
+        "key": F.col("_at.key"),
+        "location_error": F.when(F.col("_at").isNull(), reason),
+    }).drop("_parts", "_at")
 
 
 def key_affix(key: Column, prefix: str = "", suffix: str = "") -> Column:

@@ -1,4 +1,5 @@
+from .binding import bind
 from .greedy import assign_greedy
 from .ordering import numbered, slice_bounds, slice_of
 
-__all__ = ["assign_greedy", "numbered", "slice_bounds", "slice_of"]
+__all__ = ["assign_greedy", "bind", "numbered", "slice_bounds", "slice_of"]
