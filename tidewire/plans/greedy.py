@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import micros
+from .binding import bind
 from .ordering import slice_bounds, slice_of
 
 NO_LIMIT = 1 << 62
@@ -46,16 +47,19 @@ def assign_greedy(
     bounds = slice_bounds(df, micros(ts), rows_per_slice)
     group: Column = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
     arrival = F.coalesce(micros(ts), F.lit(0))  # a message without a time arrived first
-    sliced = df.withColumns({"_group": group, "_us": arrival, "_slice": slice_of(arrival, bounds)})
-    rows = Window.partitionBy("_group", "_slice").orderBy("_us", *order)
-    placed = sliced.withColumn("_row", F.row_number().over(rows))
+    timed = df.withColumns({"_group": group, "_us": arrival})
     if bounds:
-        entries = _entries(sliced, limit, wait_us)
-        placed = placed.join(entries, ["_group", "_slice"])
+        sliced = bind(timed, "_slice", slice_of(F.col("_us"), bounds))
+        entered = sliced.join(_entries(sliced, limit, wait_us), ["_group", "_slice"])
     else:
         nothing_open = {"_opened": F.lit(0), "_count": F.lit(0), "_batch": F.lit(-1)}
-        placed = placed.withColumns({k: v.cast("bigint") for k, v in nothing_open.items()})
-    placed = placed.sortWithinPartitions("_group", "_slice", "_row").drop("_group", "_slice")
+        entered = timed.withColumn("_slice", F.lit(0)).withColumns(
+            {name: value.cast("bigint") for name, value in nothing_open.items()}
+        )
+    place = ["_group", "_slice", "_us", *order]
+    rows = Window.partitionBy(*place[:2]).orderBy(*place[2:])
+    # the window leaves the rows in this order already; saying so costs nothing and makes it certain
+    placed = entered.withColumn("_row", F.row_number().over(rows)).sortWithinPartitions(*place).drop(*place[:2])
     schema = T.StructType([*df.schema.fields, _long("batch_no"), _long("batch_idx")])
     return placed.mapInArrow(_assigner(limit, wait_us, only_first), schema)
 
@@ -126,7 +130,7 @@ def _entries(sliced: DataFrame, limit: int, wait: int) -> DataFrame:
     """The batch that is open when each slice begins: one row per (group, slice)."""
     rows = Window.partitionBy("_group", "_slice").orderBy("_us")
     narrow = sliced.select("_group", "_slice", "_us").withColumn("_row", F.row_number().over(rows))
-    narrow = narrow.sortWithinPartitions("_group", "_slice", "_row")
+    narrow = narrow.sortWithinPartitions("_group", "_slice", "_us")
     keys = [sliced.schema["_group"], sliced.schema["_slice"]]
     lists = [
         T.StructField(name, T.ArrayType(T.LongType())) for name in ("head_us", "exit_us", "exit_count", "exit_started")

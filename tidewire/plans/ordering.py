@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import micros
+from .binding import bind
 
 ROWS_PER_SLICE = 1_000_000
 # Bounds the split points and the sample they come from, not the rows: slices just get longer beyond it.
@@ -83,7 +84,7 @@ def numbered(
 
     # a struct is never null itself, so a null channel is a group like any other, in windows and joins
     group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
-    sliced = df.withColumns({"_group": group, "_slice": slice_of(key, bounds)})
+    sliced = bind(df.withColumn("_group", group), "_slice", slice_of(key, bounds))
     counts = sliced.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     slices = Window.partitionBy("_group")  # at most MAX_SLICES rows per group
     before = F.sum("_rows").over(slices.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))

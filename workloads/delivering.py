@@ -263,8 +263,8 @@ def pending_by_ack_policy(spark, sf):
         F.concat(F.lit("c"), (F.col("seq") % 4).cast("string")).alias("consumer"), "seq"
     )
     acked = acks(spark, sf).where("seq % 97 > 4")
-    newest = F.broadcast(messages.agg((F.max("seq") - 500).alias("limit")))  # one row
-    below = acked.join(newest, F.col("seq") <= F.col("limit")).select("consumer", "seq")
+    limit = messages.agg(F.max("seq") - 500).scalar()
+    below = acked.where(F.col("seq") <= limit)
     parts = [
         op.pending_by_ack_policy(messages, a, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
         for policy, a in (("explicit", acked), ("all", below), ("none", acked))
