@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewire import operators as op
-from tidewire.plans import greedy, numbered, slice_bounds, slice_of
+from tidewire.plans import cut_hot_groups, greedy, numbered, slice_bounds, slice_of
 from tidewire.sources import page_objects
 
 START = datetime(2024, 1, 1)
@@ -34,7 +34,7 @@ def python_positions(rows):
     return {i: (p[0], seen[rows[i][0]]) for i, p in out.items()}
 
 
-@pytest.mark.parametrize("per_slice", [None, 50, 7])
+@pytest.mark.parametrize("per_slice", [None, 200, 50, 7])
 @pytest.mark.parametrize("order", [["seq"], ["ts", "seq"]])
 def test_positions(spark, per_slice, order):
     rows = random_rows(1, burst=True)
@@ -68,10 +68,19 @@ def test_page_by_token_continues_the_listing(spark):
         page_objects(df, 0)
 
 
-def test_slices_are_bounded_and_a_small_input_has_none(spark):
+def test_only_hot_groups_are_cut(spark):
+    df = spark.range(10_000).withColumn("c", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")))
+    assert cut_hot_groups(df, ["c"], F.col("id"), 10_000) is None
+    cut = cut_hot_groups(df, ["c"], F.col("id"), 300)
+    slices = cut.groupBy("c", "_hot").agg(F.countDistinct("_slice").alias("n"), F.max("_slice").alias("m")).collect()
+    assert {r.c: r._hot for r in slices} == {r.c: r.c == "hot" for r in slices} and len(slices) == 51
+    assert all(r.n > 5 if r._hot else (r.n, r.m) == (1, 0) for r in slices)
+    assert cut.groupBy("c", "_slice").count().agg(F.max("count")).head()[0] < 900
+
+
+def test_slice_search(spark):
     df = spark.range(10_000)
-    assert slice_bounds(df, F.col("id"), 10_000) == []
-    bounds = slice_bounds(df, F.col("id"), 500)
+    bounds = slice_bounds(df, F.col("id"), 10_000, 500)
     sizes = [r["count"] for r in df.groupBy(slice_of(F.col("id"), bounds).alias("s")).count().collect()]
     assert len(sizes) > 12 and max(sizes) < 2500
     exact = df.where("id < 300").select("id", slice_of(F.col("id"), [10, 20, 200]).alias("s")).collect()
@@ -91,7 +100,7 @@ def python_batches(rows, n, wait, key=lambda c: c):
     return out
 
 
-@pytest.mark.parametrize("per_slice", [None, 60, 9])
+@pytest.mark.parametrize("per_slice", [None, 200, 9])
 @pytest.mark.parametrize("n,wait", [(3, 40), (10, 1000), (1, 10), (500, 30), (4, 100_000), (10_000, 100_000)])
 def test_count_or_time(spark, per_slice, n, wait):
     rows = random_rows(n + wait, burst=n % 2 == 0)
@@ -99,7 +108,7 @@ def test_count_or_time(spark, per_slice, n, wait):
     assert {r.seq: (r.batch_no, r.batch_idx) for r in out.collect()} == python_batches(rows, n, wait)
 
 
-@pytest.mark.parametrize("per_slice", [None, 60, 9])
+@pytest.mark.parametrize("per_slice", [None, 200, 9])
 @pytest.mark.parametrize("wait", [5, 90, 2000, 100_000])
 def test_dedupe_window(spark, per_slice, wait):
     rows = random_rows(wait)

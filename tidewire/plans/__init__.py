@@ -1,5 +1,5 @@
 from .binding import bind
 from .greedy import assign_greedy
-from .ordering import numbered, slice_bounds, slice_of
+from .ordering import cut_hot_groups, numbered, slice_bounds, slice_of
 
-__all__ = ["assign_greedy", "bind", "numbered", "slice_bounds", "slice_of"]
+__all__ = ["assign_greedy", "bind", "cut_hot_groups", "numbered", "slice_bounds", "slice_of"]

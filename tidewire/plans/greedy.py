@@ -2,8 +2,8 @@
 has fewer than ``n`` and their time is before ``opened + wait``.
 
 The rule is sequential, but only two numbers travel along a group: when the open batch was opened, and how many it
-has. Sorted rows stream through Arrow with that pair as the only state. A group that may be too large for one task is
-cut into slices of bounded size (``plans.ordering``):
+has. Sorted rows stream through Arrow with that pair as the only state. A group that is too large for one task is cut
+into slices of bounded size (``plans.ordering``):
 
 1. every slice, in parallel and on times alone, works out for each possible position of its first *new* batch which
    batch is open at its end. Positions beyond ``n`` rows, or beyond ``wait`` after the slice's first row, cannot occur;
@@ -18,15 +18,16 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import micros
-from .binding import bind
-from .ordering import slice_bounds, slice_of
+from .ordering import cut_hot_groups
 
 NO_LIMIT = 1 << 62
+# when the open batch was opened, how many messages it has, its number
+NOTHING_OPEN = {"_opened": 0, "_count": 0, "_batch": -1}
 
 
 def assign_greedy(
@@ -44,22 +45,23 @@ def assign_greedy(
     ``only_first`` keeps just the message that opened each batch.
     """
     limit = n if n is not None else NO_LIMIT
-    bounds = slice_bounds(df, micros(ts), rows_per_slice)
-    group: Column = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
     arrival = F.coalesce(micros(ts), F.lit(0))  # a message without a time arrived first
-    timed = df.withColumns({"_group": group, "_us": arrival})
-    if bounds:
-        sliced = bind(timed, "_slice", slice_of(F.col("_us"), bounds))
-        entered = sliced.join(_entries(sliced, limit, wait_us), ["_group", "_slice"])
+    timed = df.withColumn("_us", arrival)
+    cut = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
+    if cut is not None:
+        entered = cut.join(_entries(cut.where("_hot"), limit, wait_us), ["_group", "_slice"], "left")
     else:
-        nothing_open = {"_opened": F.lit(0), "_count": F.lit(0), "_batch": F.lit(-1)}
-        entered = timed.withColumn("_slice", F.lit(0)).withColumns(
-            {name: value.cast("bigint") for name, value in nothing_open.items()}
-        )
+        group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
+        entered = timed.withColumns({"_group": group, "_slice": F.lit(0)})
+        entered = entered.withColumns({name: F.lit(None).cast("bigint") for name in NOTHING_OPEN})
+    entered = entered.withColumns(
+        {name: F.coalesce(F.col(name), F.lit(value).cast("bigint")) for name, value in NOTHING_OPEN.items()}
+    )
     place = ["_group", "_slice", "_us", *order]
     rows = Window.partitionBy(*place[:2]).orderBy(*place[2:])
     # the window leaves the rows in this order already; saying so costs nothing and makes it certain
-    placed = entered.withColumn("_row", F.row_number().over(rows)).sortWithinPartitions(*place).drop(*place[:2])
+    placed = entered.withColumn("_row", F.row_number().over(rows)).sortWithinPartitions(*place)
+    placed = placed.select(*df.columns, "_us", "_row", *NOTHING_OPEN)
     schema = T.StructType([*df.schema.fields, _long("batch_no"), _long("batch_idx")])
     return placed.mapInArrow(_assigner(limit, wait_us, only_first), schema)
 
@@ -69,7 +71,7 @@ def _long(name: str) -> T.StructField:
 
 
 def _assigner(limit: int, wait: int, only_first: bool):
-    state_columns = ["_us", "_row", "_opened", "_count", "_batch"]
+    state_columns = ["_us", "_row", *NOTHING_OPEN]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, count, batch = 0, 0, -1
@@ -127,7 +129,7 @@ def exits(us: np.ndarray, limit: int, wait: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _entries(sliced: DataFrame, limit: int, wait: int) -> DataFrame:
-    """The batch that is open when each slice begins: one row per (group, slice)."""
+    """The batch that is open when each slice of a hot group begins: one row per (group, slice)."""
     rows = Window.partitionBy("_group", "_slice").orderBy("_us")
     narrow = sliced.select("_group", "_slice", "_us").withColumn("_row", F.row_number().over(rows))
     narrow = narrow.sortWithinPartitions("_group", "_slice", "_us")

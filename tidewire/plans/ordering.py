@@ -1,9 +1,9 @@
 """Positions inside ordered groups, without ever putting a large group into one task.
 
-A plain ``row_number() over (partition by channel order by ts)`` sends a whole channel to one task. Here an input
-that is larger than one slice is cut by split points of its order column. Every (group, slice) is numbered on its
-own and shifted by the number of the group's rows in earlier slices. The slice of a row depends only on its values,
-so both passes, and every retried task, agree on it. The wide rows are shuffled once, by (group, slice).
+A plain ``row_number() over (partition by channel order by ts)`` sends a whole channel to one task. Here the groups
+that are too large for that, and only those, are cut by split points of the order column. Every (group, slice) is
+numbered on its own and shifted by the number of the group's rows in earlier slices. The slice of a row depends only
+on its values, so every pass, and every retried task, agrees on it. The wide rows are shuffled once, by (group, slice).
 """
 
 from __future__ import annotations
@@ -34,22 +34,16 @@ def slice_key(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def slice_bounds(df: DataFrame, key: Column, rows_per_slice: int | None = None) -> list:
-    """Split points of ``key``; empty when all rows fit one slice, which this counts first.
+def slice_bounds(df: DataFrame, key: Column, rows: int, per_slice: int) -> list:
+    """Split points that cut ``rows`` rows into about equal slices, from a sample of one narrow column.
 
-    Runs a count and, for large inputs, collects a bounded sample of one narrow column.
+    The sample has about ``SAMPLE_PER_SLICE`` values for each of at most ``MAX_SLICES`` slices.
     """
-    per_slice = rows_per_slice or ROWS_PER_SLICE
-    narrow = df.select(key.alias("k"))
-    rows = narrow.count()
-    if rows <= per_slice:
-        return []
     slices = min(MAX_SLICES, math.ceil(rows / per_slice))
     fraction = min(1.0, SAMPLE_PER_SLICE * slices / rows)
-    sample = sorted(row.k for row in narrow.where("k is not null").sample(fraction, seed=1).collect())
-    if not sample:
-        return []
-    return sorted({sample[(i * len(sample)) // slices] for i in range(1, slices)})
+    values = df.select(key.alias("k")).where("k is not null").sample(fraction, seed=1)
+    sample = sorted(row.k for row in values.collect())
+    return sorted({sample[(i * len(sample)) // slices] for i in range(1, slices)}) if sample else []
 
 
 def slice_of(key: Column, bounds: Sequence) -> Column:
@@ -63,6 +57,30 @@ def slice_of(key: Column, bounds: Sequence) -> Column:
     )
 
 
+def cut_hot_groups(df: DataFrame, by: Sequence[str], key: Column, rows_per_slice: int | None = None) -> DataFrame | None:
+    """``df`` with ``_group``, ``_hot`` and ``_slice``, or ``None`` when no group has more rows than a slice.
+
+    Counts the groups first. At most rows / ``rows_per_slice`` of them can be hot, so their names are few enough to
+    send to every task; all other groups are one slice.
+    """
+    per_slice = rows_per_slice or ROWS_PER_SLICE
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = counts.where(F.col("_rows") > per_slice).collect()
+    if not hot:
+        return None
+    # a struct is never null itself, so a null channel is a group like any other, in windows and joins
+    if by:
+        grouped = df.withColumn("_group", F.struct(*[F.col(c) for c in by]))
+        names = T.StructType([T.StructField("_group", T.StructType([df.schema[c] for c in by]))])
+        named = df.sparkSession.createDataFrame([(tuple(r[c] for c in by),) for r in hot], names)
+        flagged = grouped.join(F.broadcast(named.withColumn("_hot", F.lit(True))), ["_group"], "left")
+    else:
+        flagged = df.withColumns({"_group": F.struct(F.lit(0)), "_hot": F.lit(True)})
+    flagged = flagged.withColumn("_hot", F.col("_hot").isNotNull())
+    bounds = slice_bounds(flagged.where("_hot"), key, sum(r["_rows"] for r in hot), per_slice)
+    return bind(flagged, "_slice", F.when(F.col("_hot"), slice_of(key, bounds)).otherwise(0))
+
+
 def numbered(
     df: DataFrame,
     by: Sequence[str],
@@ -73,30 +91,26 @@ def numbered(
 ) -> DataFrame:
     """Add the 1-based position of each row within its group, and optionally the group's row count.
 
-    ``order`` must be unique within a group; its first column is the one large inputs are cut by.
+    ``order`` must be unique within a group; its first column is the one hot groups are cut by.
     """
-    key = slice_key(df, order[0])
-    bounds = slice_bounds(df, key, rows_per_slice)
-    if not bounds:
+    cut = cut_hot_groups(df, by, slice_key(df, order[0]), rows_per_slice)
+    if cut is None:
         within = Window.partitionBy(*by)
         out = df.withColumn(position, F.row_number().over(within.orderBy(*order)).cast("bigint"))
         return out.withColumn(total, F.count(F.lit(1)).over(within)) if total else out
 
-    # a struct is never null itself, so a null channel is a group like any other, in windows and joins
-    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
-    sliced = bind(df.withColumn("_group", group), "_slice", slice_of(key, bounds))
-    counts = sliced.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = cut.where("_hot").groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     slices = Window.partitionBy("_group")  # at most MAX_SLICES rows per group
     before = F.sum("_rows").over(slices.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
     shifts = counts.select(
         "_group", "_slice", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_rows").over(slices).alias("_total")
     )
-    within = Window.partitionBy("_group", "_slice").orderBy(*order)
-    out = (
-        sliced.withColumn("_row", F.row_number().over(within))
-        .join(shifts, ["_group", "_slice"])
-        .withColumn(position, F.col("_row") + F.col("_before"))
-    )
+    within = Window.partitionBy("_group", "_slice")
+    out = cut.withColumn("_row", F.row_number().over(within.orderBy(*order)))
+    if total:
+        out = out.withColumn("_here", F.count(F.lit(1)).over(within))
+    out = out.join(shifts, ["_group", "_slice"], "left")
+    out = out.withColumn(position, F.col("_row") + F.coalesce(F.col("_before"), F.lit(0)))
     if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_group", "_slice", "_row", "_before", "_total")
+        out = out.withColumn(total, F.coalesce(F.col("_total"), F.col("_here")))
+    return out.select(*df.columns, position, *([total] if total else []))
