@@ -14,11 +14,15 @@ def component_metrics(samples: DataFrame, order: tuple[str, ...] = ("ts",)) -> D
     """
     value, kind = F.col("value"), F.col("kind")
     of_gauge, of_timer = kind == "gauge", kind == "timer"
-    last = F.max(F.when(of_gauge, F.struct(*order, "value")))
+    # with a single order column both stay plain values, which Spark aggregates in its hash table
+    if len(order) == 1:
+        last = F.max_by(value, F.when(of_gauge, F.col(order[0])))
+    else:
+        last = F.max(F.when(of_gauge, F.struct(*order, "value")))["value"]
     timed = F.when(of_timer, value)
     return samples.groupBy("name", "kind").agg(
         F.sum(F.when(kind == "counter", value)).alias("counter"),
-        last["value"].alias("gauge"),
+        F.when(kind == "gauge", last).alias("gauge"),
         F.count(timed).alias("timer_count"),
         F.sum(timed).alias("timer_sum"),
         F.min(timed).alias("timer_min"),

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..model import DEFAULT_TRIGGER_BATCH
 from ..plans.ordering import numbered
 
+# Up to this rank Spark cuts each group before the shuffle (its default for this optimization).
+EARLY_LIMIT = 1000
+
 
 def merge_triggers(*inputs: DataFrame) -> DataFrame:
     """Several trigger inputs as one; fields an input lacks are null."""
@@ -46,5 +49,9 @@ def limit_batch(df: DataFrame, n: int = DEFAULT_TRIGGER_BATCH, cap: int | None =
     if cap is not None:
         allowed = cap if 0 < cap <= DEFAULT_TRIGGER_BATCH else DEFAULT_TRIGGER_BATCH
         wanted = min(wanted, allowed, DEFAULT_TRIGGER_BATCH)
-    earliest = Window.partitionBy(by).orderBy("ts", "trigger_id")
-    return df.withColumn("_rank", F.row_number().over(earliest)).where(F.col("_rank") <= wanted).drop("_rank")
+    if wanted > EARLY_LIMIT:
+        ranked = numbered(df, [by], ["ts", "trigger_id"], "_rank")
+    else:
+        earliest = Window.partitionBy(by).orderBy("ts", "trigger_id")
+        ranked = df.withColumn("_rank", F.row_number().over(earliest))
+    return ranked.where(F.col("_rank") <= wanted).drop("_rank")

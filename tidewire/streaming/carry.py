@@ -25,9 +25,9 @@ def _stateful(
     path: str,
     checkpoint: str,
     state_schema: T.StructType,
-    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+    step: Callable[[DataFrame, DataFrame], tuple[DataFrame, ...]],
 ) -> StreamingQuery:
-    """``step(state, new rows) -> (rows to emit, next state)`` for each micro-batch."""
+    """``step(state, new rows) -> (rows to emit, next state, *frames it keeps meanwhile)`` for each micro-batch."""
     state_path = f"{path}-state"
 
     def run(rows: DataFrame, batch_id: int) -> None:
@@ -36,9 +36,11 @@ def _stateful(
             state = spark.read.schema(state_schema).parquet(f"{state_path}/{BATCH}={batch_id - 1}")
         else:
             state = spark.createDataFrame([], state_schema)
-        emitted, following = step(state, rows)
+        emitted, following, *kept = step(state, rows)
         following.write.mode("overwrite").parquet(f"{state_path}/{BATCH}={batch_id}")
         emitted.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        for frame in kept:
+            frame.unpersist()
 
     return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -53,16 +55,17 @@ def stream_dedupe(
     window_us = window_s * 1_000_000
     state_schema = T.StructType([df.schema[id], T.StructField("_opened", T.LongType())])
 
-    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, ...]:
         blocked = state.withColumnRenamed(id, "_id")
         free = rows.join(blocked, rows[id].eqNullSafe(F.col("_id")), "left").where(
             F.col("_opened").isNull() | (micros(ts) >= F.col("_opened") + window_us)
         ).select(*rows.columns)
-        accepted = dedupe_by_message_id(free, id, ts, window_s, order)
+        accepted = dedupe_by_message_id(free, id, ts, window_s, order).persist()
         opened = accepted.select(id, micros(ts).alias("_opened")).unionByName(state)
         now = rows.agg(F.max(micros(ts))).head()[0]
         latest = opened.groupBy(id).agg(F.max("_opened").alias("_opened"))
-        return accepted, latest.where(F.col("_opened") + window_us > now) if now is not None else latest
+        following = latest.where(F.col("_opened") + window_us > now) if now is not None else latest
+        return accepted, following, accepted
 
     return _stateful(df, path, checkpoint, state_schema, step)
 
@@ -87,7 +90,7 @@ def stream_batcher(
         *df.schema.fields, T.StructField("_next", T.LongType()), T.StructField("_open", T.BooleanType())
     ])
 
-    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, ...]:
         waiting = state.where("_open").select(*df.columns)
         both = waiting.unionByName(rows)
         now = both.agg(F.max(micros(ts))).head()[0]
@@ -109,7 +112,7 @@ def stream_batcher(
         )
         open_ = judged.where(~F.col("_closed")).select(*df.columns, F.lit(True).alias("_open"))
         carried = open_.unionByName(counters, allowMissingColumns=True).select(*state_schema.names)
-        return closed.select(*df.columns, "batch_no", "batch_idx"), carried
+        return closed.select(*df.columns, "batch_no", "batch_idx"), carried, judged
 
     return _stateful(df, path, checkpoint, state_schema, step)
 
@@ -130,7 +133,7 @@ def stream_redelivery(
         T.StructField("due_us", T.LongType()), T.StructField("acked", T.BooleanType()),
     ])
 
-    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, ...]:
         attempts = rows.select(
             "consumer", "seq", F.col("attempt").cast("bigint").alias("attempt"),
             (micros("delivered_at") + wait_us).alias("due_us"), (F.col("outcome") == "ack").alias("acked"),

@@ -155,7 +155,7 @@ def batch_error_report(spark, sf):
 
 @query("mq_descriptor", ["messages"], """
 select seq, 'MQSTR' as format, 819 as ccsid, 546 as encoding,
-       case when seq % 7 > 0 then mq_priority end as priority, cast(null as bigint) as persistence,
+       case when seq % 7 > 0 then cast(mq_priority as varchar) end as priority, cast(null as varchar) as persistence,
        case when seq % 30 <= 24 then repeat('x', cast(seq % 30 as int)) end as correlation_id,
        seq % 30 > 24 as new_correlation_id
 from messages
@@ -169,8 +169,8 @@ def mq_descriptor(spark, sf):
     messages = table(spark, sf, "messages").withColumn("metadata", metadata)
     out = op.mq_descriptor(messages, ccsid="819", encoding="none", patterns=["^mq_prio", "_id$"])
     return out.select(
-        "seq", "format", "ccsid", "encoding", F.col("priority").cast("bigint").alias("priority"),
-        F.col("persistence").cast("bigint").alias("persistence"), "correlation_id", "new_correlation_id",
+        "seq", "format", "ccsid", "encoding", F.col("priority").cast("string").alias("priority"),
+        F.col("persistence").cast("string").alias("persistence"), "correlation_id", "new_correlation_id",
     )
 
 
@@ -351,13 +351,14 @@ def resume_durable(spark, sf):
 with samples as (
   select event_type as name, case seq % 3 when 0 then 'counter' when 1 then 'gauge' else 'timer' end as kind,
          cast(value as decimal(12, 2)) as value, ts, seq from messages)
-select name, kind, cast(sum(value) filter (kind = 'counter') * 100 as bigint) as counter,
-       cast(arg_max(value, (ts, seq)) filter (kind = 'gauge') * 100 as bigint) as gauge,
+select name, kind, cast(sum(value) filter (kind = 'counter') as varchar) as counter,
+       cast(arg_max(value, (ts, seq)) filter (kind = 'gauge') as varchar) as gauge,
        count(*) filter (kind = 'timer') as timer_count,
-       cast(sum(value) filter (kind = 'timer') * 100 as bigint) as timer_sum,
-       cast(min(value) filter (kind = 'timer') * 100 as bigint) as timer_min,
-       cast(max(value) filter (kind = 'timer') * 100 as bigint) as timer_max,
-       cast(sum(value) filter (kind = 'timer') * 100 as bigint) // nullif(count(*) filter (kind = 'timer'), 0) as timer_avg
+       cast(sum(value) filter (kind = 'timer') as varchar) as timer_sum,
+       cast(min(value) filter (kind = 'timer') as varchar) as timer_min,
+       cast(max(value) filter (kind = 'timer') as varchar) as timer_max,
+       cast(cast(sum(value) filter (kind = 'timer') * 100 as bigint) // nullif(count(*) filter (kind = 'timer'), 0)
+            as varchar) as timer_avg_cents
 from samples group by name, kind
 """)
 def component_metrics(spark, sf):
@@ -367,9 +368,9 @@ def component_metrics(spark, sf):
         F.col("value").cast("decimal(12,2)").alias("value"), "ts", "seq",
     )
     out = op.component_metrics(samples, ("ts", "seq"))
-    cents = {c: (F.col(c) * 100).cast("bigint") for c in ("counter", "gauge", "timer_sum", "timer_min", "timer_max")}
-    # averages in whole cents, rounded down
-    return out.withColumns({**cents, "timer_avg": F.floor(F.col("timer_avg") * 100).cast("bigint")})
+    exact = {c: F.col(c).cast("string") for c in ("counter", "gauge", "timer_sum", "timer_min", "timer_max")}
+    cents = F.floor(F.col("timer_avg") * 100).cast("bigint").cast("string")  # in whole cents, rounded down
+    return out.withColumns({**exact, "timer_avg_cents": cents}).drop("timer_avg")
 
 
 PROCESSED_SQL = "select seq, upper(event_type) as kind, value * 2 as doubled from messages where retained"

@@ -111,8 +111,8 @@ with opened as (
 @query("parse_event_envelope", ["envelopes"], EVENT_FIELDS_SQL + """
 select doc_id, json_extract_string(event, '$.source') as source,
        json_extract_string(event, '$."detail-type"') as detail_type, json_extract_string(event, '$.region') as region,
-       cast(epoch(cast(json_extract_string(event, '$.time') as timestamptz)) as bigint) as time_s,
-       cast(json_array_length(event, '$.resources') as bigint) as n_resources,
+       cast(cast(epoch(cast(json_extract_string(event, '$.time') as timestamptz)) as bigint) as varchar) as time_s,
+       cast(json_array_length(event, '$.resources') as varchar) as n_resources,
        case when not ok then 'invalid event' end as error
 from opened
 """)
@@ -121,7 +121,8 @@ def parse_event_envelope(spark, sf):
     e = F.col("event")
     good = events.select(
         "doc_id", e["source"].alias("source"), e["detail_type"].alias("detail_type"), e["region"].alias("region"),
-        F.unix_seconds(e["time"]).alias("time_s"), F.size(e["resources"]).cast("bigint").alias("n_resources"),
+        F.unix_seconds(e["time"]).cast("string").alias("time_s"),
+        F.size(e["resources"]).cast("string").alias("n_resources"),
     )
     return good.unionByName(errors.select("doc_id", "error"), allowMissingColumns=True)
 

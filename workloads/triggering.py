@@ -10,7 +10,7 @@ from tidewire import sources as src
 from tidewire.session import new_run_folder
 from tidewire.streaming import read_sink, retrieve_stream, stream_sink
 
-from .reading import EVENT_FIELDS_SQL, EVENTS_SCHEMA, text_map, us
+from .reading import EVENT_FIELDS_SQL, EVENTS_SCHEMA, previous_listing, text_map, us
 from .registry import query
 from .views import derive, table
 
@@ -100,7 +100,7 @@ select doc_id, 'eventbridge' as source, {REFERENCE_SQL} as reference, {TIME_US_S
        json_extract_string(event, '$.detail.bucket.name') as bucket,
        json_extract_string(event, '$.detail.object.key') as key,
        case when json_type(event, '$.detail.object.size') <> 'VARCHAR'
-            then cast(json_extract(event, '$.detail.object.size') as bigint) end as size,
+            then cast(cast(json_extract(event, '$.detail.object.size') as bigint) as varchar) end as size,
        trim(json_extract_string(event, '$.detail.object.etag'), '"') as etag,
        json_extract_string(event, '$.detail.eventName') as event_name
 from opened where ok
@@ -111,7 +111,8 @@ def make_trigger(spark, sf):
         parsed_events(spark, sf), F.lit("eventbridge"), fn.event_reference(e), fn.event_metadata(e), e["time"],
         keep=("doc_id",),
     )
-    return triggers.select("doc_id", "source", "reference", us(), "bucket", "key", "size", "etag", "event_name")
+    size = F.col("size").cast("string").alias("size")
+    return triggers.select("doc_id", "source", "reference", us(), "bucket", "key", size, "etag", "event_name")
 
 
 @query("resolve_location", ["triggers"], """
@@ -241,15 +242,14 @@ def retrieve_stream_query(spark, sf):
 
 
 @query("merge_triggers", ["triggers", "objects"], """
-select source, reference, epoch_us(ts) as ts_us from triggers
+select source, reference, cast(epoch_us(ts) as varchar) as ts_us from triggers
 union all select 's3-polling', bucket || '/' || key, null from objects where doc_id % 10 in (0, 1)
 """)
 def merge_triggers(spark, sf):
-    from .reading import previous_listing
-
     objects = table(spark, sf, "objects")
     polled = src.poll_listing_triggers(objects, previous_listing(objects))
-    return op.merge_triggers(table(spark, sf, "triggers"), polled).select("source", "reference", us())
+    merged = op.merge_triggers(table(spark, sf, "triggers"), polled)
+    return merged.select("source", "reference", fn.micros("ts").cast("string").alias("ts_us"))
 
 
 @query("dedupe_triggers", ["triggers"], """
