@@ -71,7 +71,7 @@ def test_page_by_token_continues_the_listing(spark):
 def test_only_hot_groups_are_cut(spark):
     df = spark.range(10_000).withColumn("c", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 50).cast("string")))
     assert cut_hot_groups(df, ["c"], F.col("id"), 10_000) is None
-    cut = cut_hot_groups(df, ["c"], F.col("id"), 300)
+    cut, _ = cut_hot_groups(df, ["c"], F.col("id"), 300)
     slices = cut.groupBy("c", "_hot").agg(F.countDistinct("_slice").alias("n"), F.max("_slice").alias("m")).collect()
     assert {r.c: r._hot for r in slices} == {r.c: r.c == "hot" for r in slices} and len(slices) == 51
     assert all(r.n > 5 if r._hot else (r.n, r.m) == (1, 0) for r in slices)
@@ -117,6 +117,20 @@ def test_dedupe_window(spark, per_slice, wait):
     assert {r.seq for r in out.collect()} == expected
 
 
+@pytest.mark.parametrize("wait", [3, 17, 60, 400])
+def test_dedupe_window_with_gaps_and_ties(spark, wait):
+    """Runs of times, gaps longer and shorter than the window, many equal times; one id has nearly all rows."""
+    rng = random.Random(wait)
+    seconds, at = [], 0
+    for _ in range(40):
+        seconds += sorted(at + rng.randrange(rng.choice([2, 20, 90])) for _ in range(rng.choice([1, 5, 25])))
+        at = seconds[-1] + rng.choice([1, 10, 70, 900])
+    rows = [("hot" if rng.random() < 0.9 else "cold", s) for s in seconds]
+    out = op.dedupe_by_message_id(log(spark, rows), "channel", "ts", wait, rows_per_slice=60)
+    expected = {i for i, (_, idx) in python_batches(rows, None, wait).items() if idx == 0}
+    assert {r.seq for r in out.collect()} == expected
+
+
 @pytest.mark.parametrize("limit,wait", [(1, 5), (3, 5), (7, 50), (greedy.NO_LIMIT, 9), (4, 10_000)])
 def test_exits(limit, wait):
     us = np.sort(np.random.default_rng(limit % 97).integers(0, 400, 150))

@@ -83,3 +83,31 @@ def test_expressions_stay_in_the_jvm(spark, sf):
         plan = physical(fn(spark, sf))
         assert ("MapInArrow" in plan) == (name in python), name
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_hot_location_is_split_in_the_join(spark, sf):
+    """A third of all triggers point to one object; the join splits that partition at run time."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    triggers = spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 2000).alias("n"), F.col("id").alias("trigger_id"),
+        F.md5(F.col("id").cast("string")).alias("note"),
+    ).select(F.lit("b").alias("bucket"), F.concat(F.lit("k"), "n").alias("key"), "trigger_id", "note")
+    objects = spark.range(2000).select(F.lit("b").alias("bucket"), F.concat(F.lit("k"), "id").alias("key"), F.lit("x").alias("body"))
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        found = op.retrieve_lenient(triggers, objects)
+        assert found.count() == 60_000
+        joined = found.groupBy("body").agg(F.sum("trigger_id").alias("s"))
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)

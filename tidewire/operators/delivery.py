@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import DEFAULT_BATCH_WAIT_MS
-from ..plans.greedy import assign_greedy
+from ..plans.greedy import assign_greedy, first_per_window
 from ..plans.ordering import numbered
 
 
@@ -62,8 +62,7 @@ def dedupe_by_message_id(
     if window_s is None:
         first = Window.partitionBy(id).orderBy(ts, *order)
         return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
-    opened = assign_greedy(df, [id], order, ts, None, window_s * 1_000_000, rows_per_slice, only_first=True)
-    return opened.drop("batch_no", "batch_idx")
+    return first_per_window(df, [id], order, ts, window_s * 1_000_000, rows_per_slice)
 
 
 def ack_outcome(df: DataFrame) -> DataFrame:

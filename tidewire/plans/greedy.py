@@ -18,11 +18,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import micros
+from .openers import accepted_times
 from .ordering import cut_hot_groups
 
 NO_LIMIT = 1 << 62
@@ -30,40 +31,66 @@ NO_LIMIT = 1 << 62
 NOTHING_OPEN = {"_opened": 0, "_count": 0, "_batch": -1}
 
 
+def arrival(ts: str) -> Column:
+    """Microseconds; a message without a time arrived first."""
+    return F.coalesce(micros(ts), F.lit(0))
+
+
 def assign_greedy(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    ts: str,
-    n: int | None,
-    wait_us: int,
+    df: DataFrame, by: Sequence[str], order: Sequence[str], ts: str, n: int, wait_us: int,
     rows_per_slice: int | None = None,
-    only_first: bool = False,
 ) -> DataFrame:
-    """Add ``batch_no`` (from 0 per group) and ``batch_idx`` (from 0 per batch).
+    """Add ``batch_no`` (from 0 per group) and ``batch_idx`` (from 0 per batch)."""
+    timed = df.withColumn("_us", arrival(ts))
+    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
+    if found is None:
+        return _assign(_as_one_slice(timed, by), df, order, n, wait_us)
+    cut, _ = found
+    entered = cut.join(_entries(cut.where("_hot"), n, wait_us), ["_group", "_slice"], "left")
+    return _assign(entered, df, order, n, wait_us)
+
+
+def first_per_window(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], ts: str, window_us: int, rows_per_slice: int | None = None
+) -> DataFrame:
+    """The messages that open a batch when only time closes one.
 
-    ``only_first`` keeps just the message that opened each batch.
+    Without a count limit the tables of the batch plan could grow with the window, so groups that are too large for
+    one task are followed in doubling strides instead (``plans.openers``).
     """
-    limit = n if n is not None else NO_LIMIT
-    arrival = F.coalesce(micros(ts), F.lit(0))  # a message without a time arrived first
-    timed = df.withColumn("_us", arrival)
-    cut = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
-    if cut is not None:
-        entered = cut.join(_entries(cut.where("_hot"), limit, wait_us), ["_group", "_slice"], "left")
-    else:
-        group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
-        entered = timed.withColumns({"_group": group, "_slice": F.lit(0)})
-        entered = entered.withColumns({name: F.lit(None).cast("bigint") for name in NOTHING_OPEN})
-    entered = entered.withColumns(
-        {name: F.coalesce(F.col(name), F.lit(value).cast("bigint")) for name, value in NOTHING_OPEN.items()}
-    )
+    timed = df.withColumn("_us", arrival(ts))
+    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
+    if found is None:
+        return _assign(_as_one_slice(timed, by), df, order, NO_LIMIT, window_us, True).select(*df.columns)
+    cut, bounds = found
+    small = _assign(cut.where(~F.col("_hot")), df, order, NO_LIMIT, window_us, True)
+    large = cut.where("_hot")
+    same_time = Window.partitionBy("_group", "_us").orderBy(*order)
+    opened = large.join(accepted_times(large, bounds, window_us), ["_group", "_us"])
+    opened = opened.withColumn("_rank", F.row_number().over(same_time)).where("_rank = 1")
+    return small.select(*df.columns).unionByName(opened.select(*df.columns))
+
+
+def _as_one_slice(timed: DataFrame, by: Sequence[str]) -> DataFrame:
+    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
+    return timed.withColumns({"_group": group, "_slice": F.lit(0)})
+
+
+def _assign(
+    cut: DataFrame, df: DataFrame, order: Sequence[str], limit: int, wait: int, only_first: bool = False
+) -> DataFrame:
+    """The columns of ``df`` and the batch of each row of ``cut``. A slice without an incoming batch starts afresh."""
+    entered = cut.withColumns({
+        name: F.coalesce(F.col(name) if name in cut.columns else F.lit(None), F.lit(value)).cast("bigint")
+        for name, value in NOTHING_OPEN.items()
+    })
     place = ["_group", "_slice", "_us", *order]
     rows = Window.partitionBy(*place[:2]).orderBy(*place[2:])
     # the window leaves the rows in this order already; saying so costs nothing and makes it certain
     placed = entered.withColumn("_row", F.row_number().over(rows)).sortWithinPartitions(*place)
     placed = placed.select(*df.columns, "_us", "_row", *NOTHING_OPEN)
     schema = T.StructType([*df.schema.fields, _long("batch_no"), _long("batch_idx")])
-    return placed.mapInArrow(_assigner(limit, wait_us, only_first), schema)
+    return placed.mapInArrow(_assigner(limit, wait, only_first), schema)
 
 
 def _long(name: str) -> T.StructField:

@@ -57,8 +57,11 @@ def slice_of(key: Column, bounds: Sequence) -> Column:
     )
 
 
-def cut_hot_groups(df: DataFrame, by: Sequence[str], key: Column, rows_per_slice: int | None = None) -> DataFrame | None:
-    """``df`` with ``_group``, ``_hot`` and ``_slice``, or ``None`` when no group has more rows than a slice.
+def cut_hot_groups(
+    df: DataFrame, by: Sequence[str], key: Column, rows_per_slice: int | None = None
+) -> tuple[DataFrame, list] | None:
+    """``df`` with ``_group``, ``_hot`` and ``_slice``, and the split points; ``None`` when no group has more rows than a
+    slice.
 
     Counts the groups first. At most rows / ``rows_per_slice`` of them can be hot, so their names are few enough to
     send to every task; all other groups are one slice.
@@ -78,7 +81,7 @@ def cut_hot_groups(df: DataFrame, by: Sequence[str], key: Column, rows_per_slice
         flagged = df.withColumns({"_group": F.struct(F.lit(0)), "_hot": F.lit(True)})
     flagged = flagged.withColumn("_hot", F.col("_hot").isNotNull())
     bounds = slice_bounds(flagged.where("_hot"), key, sum(r["_rows"] for r in hot), per_slice)
-    return bind(flagged, "_slice", F.when(F.col("_hot"), slice_of(key, bounds)).otherwise(0))
+    return bind(flagged, "_slice", F.when(F.col("_hot"), slice_of(key, bounds)).otherwise(0)), bounds
 
 
 def numbered(
@@ -99,6 +102,7 @@ def numbered(
         out = df.withColumn(position, F.row_number().over(within.orderBy(*order)).cast("bigint"))
         return out.withColumn(total, F.count(F.lit(1)).over(within)) if total else out
 
+    cut, _ = cut
     counts = cut.where("_hot").groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     slices = Window.partitionBy("_group")  # at most MAX_SLICES rows per group
     before = F.sum("_rows").over(slices.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
