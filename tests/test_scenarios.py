@@ -463,3 +463,37 @@ def test_json_columns(spark):
     rows, bad = op.json_parser(df, T.StructType([T.StructField("a", T.IntegerType())]))
     assert [(r.id, r.a) for r in rows.collect()] == [(1, 1)]
     assert {(r.id, r.content) for r in bad.collect()} == {(2, "{"), (3, '{"a": "x"}'), (4, None)}
+
+
+@pytest.mark.parametrize("text,us", [("100ms", 100_000), ("1.5s", 1_500_000), ("1h30m", 5_400_000_000), ("-2s", -2_000_000), ("0", 0), (".5us", 0), (2, 2_000_000)])
+def test_durations(text, us):
+    assert fn.duration_us(text) == us
+
+
+@pytest.mark.parametrize("bad", ["", "100", "1x", "s", "1s2", "1 s"])
+def test_bad_durations(spark, bad):
+    with pytest.raises(ValueError):
+        fn.duration_us(bad)
+    rows = spark.createDataFrame([("a", i, i * 60) for i in range(4)], "c string, seq int, ms int")
+    df = rows.withColumn("ts", F.timestamp_millis("ms"))
+    # as a batch wait it counts as 100 ms
+    out = op.batch_by_count_or_time(df, ["c"], ["seq"], "ts", 9, bad).orderBy("seq").collect()
+    assert [r.batch_no for r in out] == [0, 0, 1, 1]
+
+
+def test_message_errors(spark):
+    df = spark.createDataFrame([("r", "p", 1), ("", "p", 1), (None, None, 1), ("r", None, 1), ("r", "p", 10)], "route string, raw string, priority int")
+    reasons = [r.e for r in df.select(op.message_error("route", "raw", "priority").alias("e")).collect()]
+    assert reasons == [None, "no destination", "no destination", "unreadable payload", "invalid priority 10"]
+    assert df.where(op.message_error().isNotNull()).count() == 0
+
+
+def test_observed(spark):
+    df, seen = op.observed(spark.range(10), "sent", {"n": F.count(F.lit(1)), "top": F.max("id")})
+    assert df.count() == 10 and seen.get == {"n": 10, "top": 9}
+
+
+def test_large_limit_uses_positions(spark):
+    df = spark.range(5000).select(F.lit("s").alias("source"), F.col("id").alias("ts"), F.col("id").alias("trigger_id"))
+    kept = op.limit_batch(df, 2000)
+    assert kept.count() == 2000 and kept.agg(F.max("ts")).head()[0] == 1999 and kept.columns == df.columns

@@ -23,7 +23,7 @@ def arrivals(spark, sf, tmp_path):
     """Events in time order, as files that are added one by one."""
     folder = tmp_path / "in"
     folder.mkdir()
-    cut = F.expr("event_id div 90")
+    cut = F.expr("event_id div 200")
     events = table(spark, sf, "events").withColumn("part", cut)
     parts = events.agg(F.max("part")).head()[0] + 1
 

@@ -11,7 +11,7 @@ from .delivery import (
     rollback_batch,
 )
 from .events import filter_events, make_trigger, parse_event_envelope
-from .metrics import component_metrics
+from .metrics import component_metrics, observed
 from .processors import apply_processor, json_parser
 from .retrieval import (
     fetch_savings,
@@ -29,6 +29,7 @@ from .sinks import (
     batch_error_report,
     dead_letter,
     descriptor_error,
+    message_error,
     mq_descriptor,
     ordered_write,
     publish_continue,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import duration_us
 from ..model import DEFAULT_BATCH_WAIT_MS
 from ..plans.greedy import assign_greedy, first_per_window
 from ..plans.ordering import numbered
@@ -33,17 +34,25 @@ def batch_by_count_or_time(
     order: Sequence[str],
     ts: str,
     n: int,
-    wait_ms: int = DEFAULT_BATCH_WAIT_MS,
+    wait_ms: float | str = DEFAULT_BATCH_WAIT_MS,
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """The first message opens a batch; the next ones join while it has fewer than ``n`` and they arrive less than
-    ``wait_ms`` after it was opened. ``n <= 0`` means 1, ``wait_ms <= 0`` the default of 100.
+    ``wait_ms`` after it was opened. ``n <= 0`` means 1. The wait is in milliseconds or a text such as ``2s``; one that is
+    not positive, or not a duration, counts as the default of 100 ms.
 
     Adds ``batch_no`` and ``batch_idx``, both from 0. A large channel is cut into slices that are worked out in
     parallel and then linked (``plans.greedy``), so it does not become one task.
     """
-    wait = wait_ms if wait_ms > 0 else DEFAULT_BATCH_WAIT_MS
-    return assign_greedy(df, by, order, ts, n if n > 0 else 1, wait * 1000, rows_per_slice)
+    return assign_greedy(df, by, order, ts, n if n > 0 else 1, batch_wait_us(wait_ms), rows_per_slice)
+
+
+def batch_wait_us(wait_ms: float | str) -> int:
+    try:
+        wait = duration_us(wait_ms, "ms")
+    except ValueError:
+        wait = 0
+    return wait if wait > 0 else DEFAULT_BATCH_WAIT_MS * 1000
 
 
 def dedupe_by_message_id(
@@ -115,12 +124,12 @@ def pending_by_ack_policy(
 
 
 def redeliver(
-    deliveries: DataFrame, now: Column, ack_wait_s: int, max_deliver: int = 0
+    deliveries: DataFrame, now: Column, ack_wait_s: float | str, max_deliver: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """``(due, failed)`` from delivery attempts.
 
-    A message with no acknowledged attempt becomes due again ``ack_wait_s`` after its last attempt, until it has been
-    delivered ``max_deliver`` times; then it has failed. ``max_deliver <= 0`` never gives up. ``due`` carries the
+    A message with no acknowledged attempt becomes due again ``ack_wait_s`` (seconds, or a text such as ``1m30s``) after
+    its last attempt, until it has been delivered ``max_deliver`` times; then it has failed. ``max_deliver <= 0`` never gives up. ``due`` carries the
     number of the next attempt.
     """
     latest = deliveries.groupBy("consumer", "seq").agg(
@@ -128,7 +137,7 @@ def redeliver(
         F.max_by("delivered_at", "attempt").alias("delivered_at"),
         F.bool_or(F.col("outcome") == "ack").alias("_acked"),
     )
-    waited = F.col("delivered_at") + F.expr(f"interval {int(ack_wait_s)} seconds") <= now
+    waited = F.col("delivered_at") + F.expr(f"interval {duration_us(ack_wait_s)} microseconds") <= now
     open_ = latest.where(~F.col("_acked") & waited).drop("_acked")
     if max_deliver <= 0:
         return open_.withColumn("attempt", F.col("attempt") + 1), open_.where(F.lit(False))

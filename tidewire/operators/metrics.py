@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -29,3 +31,12 @@ def component_metrics(samples: DataFrame, order: tuple[str, ...] = ("ts",)) -> D
         F.max(timed).alias("timer_max"),
         F.avg(timed).alias("timer_avg"),
     )
+
+
+def observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """Record aggregates of the rows that pass through, without a pass of their own.
+
+    The observation's values are there once an action on the returned frame has finished.
+    """
+    observation = Observation(name)
+    return df.observe(observation, *[value.alias(key) for key, value in metrics.items()]), observation

@@ -107,6 +107,18 @@ def descriptor_error(priority: str = "priority") -> Column:
     return F.when((p < 0) | (p > MAX_PRIORITY), F.concat(F.lit("invalid priority "), p.cast("string")))
 
 
+def message_error(route: str | None = None, payload: str | None = None, priority: str | None = None) -> Column:
+    """Why a message cannot be sent, or null: no destination, an unreadable payload, a refused descriptor."""
+    reasons = []
+    if route:
+        reasons.append(F.when(F.coalesce(F.col(route), F.lit("")) == "", F.lit("no destination")))
+    if payload:
+        reasons.append(F.when(F.col(payload).isNull(), F.lit("unreadable payload")))
+    if priority:
+        reasons.append(descriptor_error(priority))
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
+
+
 def publish_headers(
     metadata: Column,
     patterns: Sequence[str] | None = None,

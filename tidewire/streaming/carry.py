@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.time import micros
-from ..operators.delivery import batch_by_count_or_time, dedupe_by_message_id
+from ..functions.time import duration_us, micros
+from ..operators.delivery import batch_by_count_or_time, batch_wait_us, dedupe_by_message_id
 from .flow import BATCH
 
 
@@ -75,7 +75,7 @@ def stream_batcher(
     by: Sequence[str],
     ts: str,
     n: int,
-    wait_ms: int,
+    wait_ms: float | str,
     path: str,
     checkpoint: str,
     order: Sequence[str] = ("seq",),
@@ -103,7 +103,7 @@ def stream_batcher(
         judged = batched.withColumn(
             "_closed",
             (F.count(F.lit(1)).over(one_batch) >= max(n, 1))
-            | (F.min(micros(ts)).over(one_batch) + wait_ms * 1000 <= F.lit(now)),
+            | (F.min(micros(ts)).over(one_batch) + batch_wait_us(wait_ms) <= F.lit(now)),
         ).persist()
         closed = judged.where("_closed")
         following = closed.groupBy("_channel").agg((F.max("batch_no") + 1).alias("_next")).unionByName(next_no)
@@ -118,7 +118,7 @@ def stream_batcher(
 
 
 def stream_redelivery(
-    deliveries: DataFrame, ack_wait_s: int, path: str, checkpoint: str, max_deliver: int = 0
+    deliveries: DataFrame, ack_wait_s: float | str, path: str, checkpoint: str, max_deliver: int = 0
 ) -> StreamingQuery:
     """``redeliver`` on a stream of delivery attempts: a row once the newest delivery time seen passes the deadline of
     a message's latest attempt.
@@ -127,7 +127,7 @@ def stream_redelivery(
     messages still inside their deadline, acknowledged or not; so an attempt that comes in after its acknowledgement
     does not reopen the message.
     """
-    wait_us = ack_wait_s * 1_000_000
+    wait_us = duration_us(ack_wait_s)
     state_schema = T.StructType([
         deliveries.schema["consumer"], deliveries.schema["seq"], T.StructField("attempt", T.LongType()),
         T.StructField("due_us", T.LongType()), T.StructField("acked", T.BooleanType()),

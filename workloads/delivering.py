@@ -63,7 +63,7 @@ select queue, batch_no, taken as batch_idx, seq from walk
 """, recursive=True)
 def batch_by_count_or_time(spark, sf):
     messages = table(spark, sf, "messages").select("queue", "seq", "ts")
-    return op.batch_by_count_or_time(messages, ["queue"], ["seq"], "ts", 3, 43_200_000).select(
+    return op.batch_by_count_or_time(messages, ["queue"], ["seq"], "ts", 3, "12h").select(
         "queue", "batch_no", "batch_idx", "seq"
     )
 
