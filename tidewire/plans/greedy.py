@@ -24,9 +24,11 @@ from pyspark.sql import types as T
 
 from ..functions.time import micros
 from .openers import accepted_times
-from .ordering import cut_hot_groups
+from .ordering import ROWS_PER_SLICE, cut_hot_groups
 
 NO_LIMIT = 1 << 62
+# Strides cost more than one pass of a task over a few million rows.
+ROWS_PER_ID = 5 * ROWS_PER_SLICE
 # when the open batch was opened, how many messages it has, its number
 NOTHING_OPEN = {"_opened": 0, "_count": 0, "_batch": -1}
 
@@ -59,7 +61,7 @@ def first_per_window(
     one task are followed in doubling strides instead (``plans.openers``).
     """
     timed = df.withColumn("_us", arrival(ts))
-    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
+    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice or ROWS_PER_ID)
     if found is None:
         return _assign(_as_one_slice(timed, by), df, order, NO_LIMIT, window_us, True).select(*df.columns)
     cut, bounds = found

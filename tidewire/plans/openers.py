@@ -40,7 +40,7 @@ def accepted_times(hot: DataFrame, bounds: Sequence, window_us: int) -> DataFram
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    times = hot.select(*KEY).distinct()
+    times = written(hot.select(*KEY).distinct(), "times")
     # one row per hot group, of which there are few by definition
     starts = written(times.groupBy("_group").agg(F.min("_us").alias("_start"), F.max("_us").alias("_end")), "starts")
     longest = starts.agg(F.max(F.expr("_end - _start"))).head()[0] or 0
