@@ -15,8 +15,8 @@ def maps(df, column="metadata"):
 
 # --- expressions -----------------------------------------------------------------------------------------------
 
-@pytest.fixture(scope="module")
-def contexts(spark):
+@pytest.fixture(scope="module", params=[False, True])
+def contexts(spark, request):
     rows = [
         (1, '{"name": "test", "value": 42}', {"source": "test", "timestamp": "2023-01-01"}),
         (2, "invalid json", {"source": "test"}),
@@ -24,7 +24,8 @@ def contexts(spark):
         (4, "[1, 2]", None),
         (5, "7", {}),
     ]
-    return fn.message_context(spark.createDataFrame(rows, "id int, raw string, metadata map<string,string>"))
+    df = spark.createDataFrame(rows, "id int, raw string, metadata map<string,string>")
+    return fn.message_context(df, parse_once=request.param)
 
 
 def test_context_columns(contexts):
@@ -49,6 +50,15 @@ def test_templates(contexts):
         fn.render_template("a${!b")
 
 
+def test_json_is_parsed_once(spark):
+    df = spark.range(10).select("id", F.lit('{"a": 1}').alias("raw"))
+    look = [F.try_variant_get("json", f"$.{c}", "string").alias(c) for c in "abc"]
+    for once in (False, True):
+        out = fn.message_context(df, parse_once=once).where(F.try_variant_get("json", "$.a", "int") == 1).select("id", *look)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 10 and ("explode" in plan) == once
+
+
 # --- metadata --------------------------------------------------------------------------------------------------
 
 def test_metadata_filter(spark):

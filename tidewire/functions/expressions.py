@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.binding import bind
 from .maps import empty_map
 from .time import col
 
@@ -17,14 +18,22 @@ def parse_json_object(text: Column | str) -> Column:
     return F.when(source.isNotNull(), parsed)
 
 
-def message_context(df: DataFrame, raw: str = "raw", metadata: str = "metadata") -> DataFrame:
+def message_context(
+    df: DataFrame, raw: str = "raw", metadata: str = "metadata", parse_once: bool = False
+) -> DataFrame:
     """Add ``content``, ``json`` and ``metadata``, the columns a template can refer to.
 
-    A message whose payload could not be read (null) has neither content nor json; its metadata stays.
+    A message whose payload could not be read (null) has neither content nor json; its metadata stays. JSON is parsed
+    where it is used, and not at all if it is not; with ``parse_once`` it is always parsed, but just once, which pays
+    when several expressions or filters look into it.
     """
     known = F.coalesce(F.col(metadata), empty_map()) if metadata in df.columns else empty_map()
     content = F.col(raw).cast("string")
-    return df.withColumns({"content": content, "json": parse_json_object(content), "metadata": known})
+    out = df.withColumns({"content": content, "metadata": known})
+    json = parse_json_object(content)
+    if parse_once:
+        return bind(out, "_json", json).drop("json").withColumnRenamed("_json", "json")
+    return out.withColumn("json", json)
 
 
 def split_template(template: str) -> list[tuple[str, str]]:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.binding import bind
+
 
 def apply_processor(df: DataFrame, fn: Callable, schema: T.StructType | str | None = None, arrow: bool = False) -> DataFrame:
     """Run a user transform that may filter, split or enrich messages.
@@ -25,7 +27,7 @@ def json_parser(df: DataFrame, schema: T.StructType, content: str = "content") -
     broken = "_corrupt"
     full = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
-    parsed = df.withColumn("_parsed", F.from_json(F.col(content), full, options))
+    parsed = bind(df, "_parsed", F.from_json(F.col(content), full, options))
     failed = F.col(content).isNull() | F.col("_parsed").isNull() | F.col(f"_parsed.{broken}").isNotNull()
     kept = [c for c in df.columns if c != content]
     rows = parsed.where(~failed).select(*kept, *[F.col(f"_parsed.{n}") for n in schema.names])

@@ -244,30 +244,38 @@ def ack_outcome(spark, sf):
     return op.ack_outcome(messages).select("seq", "outcome")
 
 
+NOW = "2024-01-20 00:00:00"
+
+
 def acks(spark, sf):
-    return table(spark, sf, "deliveries").where("outcome = 'ack'").select("consumer", "seq")
+    """What has been acknowledged by ``NOW``."""
+    done = table(spark, sf, "deliveries").where("outcome = 'ack'")
+    return done.where(F.col("delivered_at") <= F.lit(NOW).cast("timestamp_ntz")).select("consumer", "seq")
+
 
+def consumer_messages(spark, sf):
+    consumer = F.concat(F.lit("c"), (F.col("seq") % 4).cast("string"))
+    return table(spark, sf, "messages").select(consumer.alias("consumer"), "seq", "ts")
 
-@query("pending_by_ack_policy", ["messages", "deliveries"], """
-with m as (select concat('c', seq % 4) as consumer, seq from messages),
-a as (select consumer, seq from deliveries where outcome = 'ack' and seq % 97 > 4),
-below as (select * from a where seq <= (select max(seq) - 500 from messages))
+
+ACKS_SQL = f"""
+with m as (select concat('c', seq % 4) as consumer, seq, ts from messages),
+a as (select consumer, seq from deliveries where outcome = 'ack' and delivered_at <= timestamp '{NOW}')
+"""
+
+
+@query("pending_by_ack_policy", ["messages", "deliveries"], ACKS_SQL + """
 select 'explicit' as policy, consumer, seq from m
 where not exists (select 1 from a where a.consumer = m.consumer and a.seq = m.seq)
 union all
-select 'all', consumer, seq from m left join (select consumer, max(seq) as top from below group by consumer) using (consumer)
+select 'all', consumer, seq from m left join (select consumer, max(seq) as top from a group by consumer) using (consumer)
 where top is null or seq > top
 """)
 def pending_by_ack_policy(spark, sf):
-    messages = table(spark, sf, "messages").select(
-        F.concat(F.lit("c"), (F.col("seq") % 4).cast("string")).alias("consumer"), "seq"
-    )
-    acked = acks(spark, sf).where("seq % 97 > 4")
-    limit = messages.agg(F.max("seq") - 500).scalar()
-    below = acked.where(F.col("seq") <= limit)
+    messages, acked = consumer_messages(spark, sf).drop("ts"), acks(spark, sf)
     parts = [
-        op.pending_by_ack_policy(messages, a, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
-        for policy, a in (("explicit", acked), ("all", below), ("none", acked))
+        op.pending_by_ack_policy(messages, acked, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
+        for policy in ("explicit", "all", "none")
     ]
     return op.merge_triggers(*parts)
 
@@ -286,7 +294,7 @@ select case when attempt < 3 then 'due' else 'failed' end as status, consumer, s
 from latest where not acked and delivered_at + interval '60' second <= timestamp '2024-01-20 00:00:00'
 """)
 def redeliver(spark, sf):
-    now = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    now = F.lit(NOW).cast("timestamp_ntz")
     due, failed = op.redeliver(table(spark, sf, "deliveries"), now, 60, 3)
     parts = [
         df.select(F.lit(status).alias("status"), "consumer", "seq", F.col("attempt").cast("bigint").alias("attempt"))
@@ -317,12 +325,10 @@ def consumer_lag(spark, sf):
     return op.consumer_lag(messages).select("stream", "seq", "delivered", "pending")
 
 
-@query("resume_durable", ["messages", "deliveries"], """
-with m as (select concat('c', seq % 4) as consumer, seq, ts from messages),
+@query("resume_durable", ["messages", "deliveries"], ACKS_SQL + f""",
 o as (select consumer, consumer in ('c0', 'c1') as durable,
-             case when consumer <> 'c1' then max(seq) filter (outcome = 'ack' and seq % 1000 < 700) end as acked_seq,
-             timestamp '2024-01-20 00:00:00' as created_at
-      from deliveries where consumer <> 'c3' group by consumer),
+             case when consumer <> 'c1' then max(seq) end as acked_seq, timestamp '{NOW}' as created_at
+      from a where consumer <> 'c3' group by consumer),
 j as (select *, max(seq) over (partition by consumer) as newest from m join o using (consumer)),
 p as (select unnest(['all', 'last', 'new']) as policy)
 select policy, consumer, seq from j, p
@@ -330,16 +336,14 @@ where case when durable and acked_seq is not null then seq > acked_seq
            when policy = 'all' then true when policy = 'last' then seq = newest else ts > created_at end
 """)
 def resume_durable(spark, sf):
-    messages = table(spark, sf, "messages").select(
-        F.concat(F.lit("c"), (F.col("seq") % 4).cast("string")).alias("consumer"), "seq", "ts"
-    )
-    acked = F.max(F.when((F.col("outcome") == "ack") & (F.col("seq") % 1000 < 700), F.col("seq")))
-    offsets = table(spark, sf, "deliveries").where("consumer <> 'c3'").groupBy("consumer").agg(acked.alias("acked_seq"))
+    """c0 is durable, c1 too but has not acknowledged anything, c2 is not durable, c3 is unknown."""
+    offsets = acks(spark, sf).where("consumer <> 'c3'").groupBy("consumer").agg(F.max("seq").alias("acked_seq"))
     offsets = offsets.select(
         "consumer", F.col("consumer").isin("c0", "c1").alias("durable"),
         F.when(F.col("consumer") != "c1", F.col("acked_seq")).alias("acked_seq"),
-        F.lit("2024-01-20 00:00:00").cast("timestamp_ntz").alias("created_at"),
+        F.lit(NOW).cast("timestamp_ntz").alias("created_at"),
     )
+    messages = consumer_messages(spark, sf)
     parts = [
         op.resume_durable(messages, offsets, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
         for policy in ("all", "last", "new")

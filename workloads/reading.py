@@ -140,19 +140,23 @@ def generate_triggers(spark, sf):
     return src.generate_triggers(timers.withColumns(hour), 3600).select("source", "reference", us())
 
 
-def previous_listing(objects):
-    """An older listing: every tenth object is not there yet, the one after it had other contents."""
-    changed = F.when(F.col("doc_id") % 10 == 1, F.lit("old")).otherwise(F.col("etag"))
-    return objects.where(F.col("doc_id") % 10 != 0).withColumn("etag", changed)
+def previous_listing(spark, sf):
+    """An older listing: only the labelled documents were there, those labelled toxic with other contents."""
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    earlier = table(spark, sf, "objects").join(labels, "doc_id")
+    return earlier.withColumn("etag", F.when(F.col("toxic") == 1, F.lit("old")).otherwise(F.col("etag"))).drop("toxic")
 
 
-@query("poll_listing_triggers", ["objects"], """
+POLLED_SQL = """
 select 's3-polling' as source, bucket || '/' || key as reference, size, etag
-from objects where doc_id % 10 in (0, 1)
-""")
+from objects left join labels using (doc_id) where toxic is null or toxic = 1
+"""
+
+
+@query("poll_listing_triggers", ["objects"], POLLED_SQL)
 def poll_listing_triggers(spark, sf):
-    objects = table(spark, sf, "objects")
-    return src.poll_listing_triggers(objects, previous_listing(objects)).select("source", "reference", "size", "etag")
+    polled = src.poll_listing_triggers(table(spark, sf, "objects"), previous_listing(spark, sf))
+    return polled.select("source", "reference", "size", "etag")
 
 
 @query("file_triggers")

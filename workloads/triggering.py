@@ -10,7 +10,7 @@ from tidewire import sources as src
 from tidewire.session import new_run_folder
 from tidewire.streaming import read_sink, retrieve_stream, stream_sink
 
-from .reading import EVENT_FIELDS_SQL, EVENTS_SCHEMA, previous_listing, text_map, us
+from .reading import EVENT_FIELDS_SQL, EVENTS_SCHEMA, POLLED_SQL, previous_listing, text_map, us
 from .registry import query
 from .views import derive, table
 
@@ -152,18 +152,18 @@ def located(spark, sf):
 
 
 @query("filter_key_affix", ["triggers"], LOCATED_SQL + """
-select trigger_id, bucket, key from located where starts_with(key, 'en/') and ends_with(key, '7.txt')
+select trigger_id, bucket, key from located where starts_with(key, 'en/') and ends_with(key, '.txt')
 """)
 def filter_key_affix(spark, sf):
-    return op.filter_key_affix(located(spark, sf), prefix="en/", suffix="7.txt").select("trigger_id", "bucket", "key")
+    return op.filter_key_affix(located(spark, sf), prefix="en/", suffix=".txt").select("trigger_id", "bucket", "key")
 
 
 @query("filter_object_attrs", ["objects"], """
 select bucket, key, size from objects
-where (ends_with(key, '.html') or ends_with(key, '0.txt')) and size between 500 and 20000
+where (ends_with(key, '.html') or ends_with(key, '.txt')) and size between 500 and 20000
 """)
 def filter_object_attrs(spark, sf):
-    kept = op.filter_object_attrs(table(spark, sf, "objects"), [".html", "0.txt"], 500, 20000)
+    kept = op.filter_object_attrs(table(spark, sf, "objects"), [".html", ".txt"], 500, 20000)
     return kept.select("bucket", "key", "size")
 
 
@@ -228,13 +228,13 @@ def missing_objects(spark, sf):
 
 @query("retrieve_stream", ["triggers", "objects"], LOCATED_SQL + """
 select trigger_id, bucket, key, md5(body) as body_md5 from located join objects using (bucket, key)
-where ends_with(key, '5.txt')
+where ends_with(key, '.txt')
 """)
 def retrieve_stream_query(spark, sf):
     objects = table(spark, sf, "objects")
     events = src.stream_table(spark, sf, EVENTS_SCHEMA, glob="events.parquet")
     triggers = derive(spark, "triggers", events=events, documents=table(spark, sf, "documents"))
-    wanted = op.filter_key_affix(op.resolve_location(triggers), suffix="5.txt")
+    wanted = op.filter_key_affix(op.resolve_location(triggers), suffix=".txt")
     found = retrieve_stream(wanted, objects).select("trigger_id", "bucket", "key", F.md5("body").alias("body_md5"))
     run = new_run_folder(spark, "retrieve_stream")
     stream_sink(found, f"{run}/out", f"{run}/checkpoint").awaitTermination()
@@ -243,11 +243,10 @@ def retrieve_stream_query(spark, sf):
 
 @query("merge_triggers", ["triggers", "objects"], """
 select source, reference, cast(epoch_us(ts) as varchar) as ts_us from triggers
-union all select 's3-polling', bucket || '/' || key, null from objects where doc_id % 10 in (0, 1)
+union all select source, reference, null from (""" + POLLED_SQL + """) p
 """)
 def merge_triggers(spark, sf):
-    objects = table(spark, sf, "objects")
-    polled = src.poll_listing_triggers(objects, previous_listing(objects))
+    polled = src.poll_listing_triggers(table(spark, sf, "objects"), previous_listing(spark, sf))
     merged = op.merge_triggers(table(spark, sf, "triggers"), polled)
     return merged.select("source", "reference", fn.micros("ts").cast("string").alias("ts_us"))
 
