@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, labelled, packing, quality, toxicity
+from . import byte_bpe, chat, html_text, labelled, order_minhash, packing, quality, spread_lines, toxicity
 from .arrow import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,51 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (labelled.crc_fold("doc_id", 4) == 2).alias("held_out"), F.col("quality.score").alias("score"),
         (F.col("quality.score") >= 0.7).cast("int").alias("predicted"), F.col("quality.n_lines").alias("n_lines"),
     )
+
+
+@query
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = order_minhash.with_next(order_minhash.fingerprints(docs), "doc_id", ["text", "fingerprint"])
+    n = F.length("text")
+    quarter = F.floor(n / 4).cast("int")
+    edited = own.withColumn("n_chars", n.cast("bigint")).withColumn(
+        "edited", F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("next_text", F.lit(1), quarter)))
+    both = order_minhash.fingerprints(edited, "edited", "edited_fingerprint")
+    return both.select(
+        "doc_id", "n_chars", hex_digest("edited").alias("edited_sha256"),
+        component_text("fingerprint").alias("fingerprint"), component_text("edited_fingerprint").alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def component_text(fingerprint: str) -> Column:
+    """Nine hex digits for each component."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.hex(x.cast("bigint") + (3 << 31))), "")
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("n_lines", F.size(F.split("text", "\n")).cast("bigint"))
+    out = spread_lines.remove_spread_lines(docs)
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+ORACLES["op6_line_dedup"] = """
+with lines as (
+  select doc_id, coalesce('=' || source, '') as site, unnest(string_split(text, chr(10))) as line,
+         unnest(range(len(string_split(text, chr(10))))) as place
+  from documents where text is not null),
+trimmed as (select *, trim(line, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) as core from lines),
+spread as (select core from trimmed where core <> '' group by core having count(distinct site) >= 5),
+marked as (
+  select t.*, s.core is not null and row_number() over (partition by t.core order by doc_id, place) > 1 as gone
+  from trimmed t left join spread s on t.core = s.core),
+kept as (
+  select doc_id, count(*) as n_lines, sum(gone::int)::bigint as n_removed,
+         coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '') as text
+  from marked group by doc_id)
+select d.doc_id, k.n_lines, coalesce(k.n_removed, 0)::bigint as n_removed, length(k.text) as n_chars, md5(k.text) as text_md5
+from documents d left join kept k using (doc_id)
+"""
