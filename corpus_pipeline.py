@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import labelled, packing, quality, toxicity
+from tidewire.llm import labelled, quality, toxicity
 from tidewire.llm.arrow import bounded_batches
-from tidewire.llm.queries import table, vocabulary_path
+from tidewire.llm.queries import pack_50k, table
 from tidewire.plans.binding import bind
 from tidewire.session import new_run_folder
 
@@ -33,7 +33,7 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences."""
-    return packing.pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
+    return pack_50k(docs)
 
 
 STAGES = [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, labelled, order_minhash, packing, quality, spread_lines, toxicity
+from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, spread_lines, toxicity
 from .arrow import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,8 +85,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
+    return pack_50k(table(spark, sf_dir, "documents"))
+
+
+def pack_50k(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    ranks = (vocabulary_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, vocabulary_path("byte_bpe_50k.json"), ranks=ranks)
 
 
 @query
@@ -146,3 +152,8 @@ kept as (
 select d.doc_id, k.n_lines, coalesce(k.n_removed, 0)::bigint as n_removed, length(k.text) as n_chars, md5(k.text) as text_md5
 from documents d left join kept k using (doc_id)
 """
+
+
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, rows=8)
