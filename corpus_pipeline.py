@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import labelled, quality, toxicity
+from tidewire.llm import labelled, near_dedup, quality, spread_lines, toxicity
 from tidewire.llm.arrow import bounded_batches
 from tidewire.llm.queries import pack_50k, table
 from tidewire.plans.binding import bind
@@ -31,6 +31,24 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return scored.where(F.col("_score") < REJECT_TOXICITY).select(docs.columns)
 
 
+def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated occurrences of lines that many sources share.
+
+    A document of which nothing is left (all of it stands elsewhere) goes; one that had no text before stays.
+    """
+    out = spread_lines.remove_spread_lines(docs, removed="_removed")
+    emptied = (F.col("_removed") > 0) & ~F.col("text").rlike(r"\S")
+    changed = out.where(~emptied).withColumn("n_chars", F.when(
+        F.col("_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
+    return changed.select(docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near duplicates."""
+    found = near_dedup.near_duplicates(docs)
+    return docs.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences."""
     return pack_50k(docs)
@@ -39,10 +57,12 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("quality classifier", keep_good),
     ("toxicity", keep_harmless),
+    ("line dedup", drop_spread_lines),
+    ("MinHash near-dedup", keep_one_of_each),
     ("best-fit packing", pack_sequences),
 ]
 
-# Classifiers, edit of texts by sketches, and packing have no SQL form; tests hold each stage against a brute-force version.
+# The classifiers and packing have no SQL form; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
