@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, spread_lines, toxicity
+from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, search, spread_lines, toxicity
 from .arrow import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,9 @@ from documents d left join kept k using (doc_id)
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, rows=8)
+
+
+@query
+def op4_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return search.search(docs, docs.where("doc_id % 50 = 0"), k=10)
