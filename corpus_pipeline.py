@@ -15,20 +15,24 @@ KEEP_QUALITY = 0.7
 REJECT_TOXICITY = 0.5
 
 
+def _scored(docs: DataFrame, scorer) -> DataFrame:
+    """``_doc`` (all columns) and ``_score``, computed once per row."""
+    whole = docs.select(F.struct(*docs.columns).alias("_doc"))
+    return bind(whole, "_score", scorer(F.col("_doc.text"))["score"])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     labels = table(spark, sf_dir, "labels")
     model = quality.learn_quality(docs, labels, labelled.crc_fold("doc_id", 4) != 2)
-    scored = bind(docs, "_score", quality.quality_scorer(model)(F.col("text"))["score"])
-    return scored.where(F.col("_score") >= KEEP_QUALITY).select(docs.columns)
+    return _scored(docs, quality.quality_scorer(model)).where(F.col("_score") >= KEEP_QUALITY).select("_doc.*")
 
 
 def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity tagger does not reject."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.learn_toxicity(docs, labels, labelled.crc_fold("doc_id", 5) != 0)
-    scored = bind(docs, "_score", toxicity.toxicity_scorer(model)(F.col("text"))["score"])
-    return scored.where(F.col("_score") < REJECT_TOXICITY).select(docs.columns)
+    return _scored(docs, toxicity.toxicity_scorer(model)).where(F.col("_score") < REJECT_TOXICITY).select("_doc.*")
 
 
 def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

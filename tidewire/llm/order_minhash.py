@@ -108,16 +108,17 @@ def with_next(df: DataFrame, key: str, columns: list[str], slices_per_partition:
     spark = df.sparkSession
     slices = slices_per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
     points = df.agg(F.percentile_approx(key, [i / slices for i in range(1, slices)], 20 * slices).alias("p")).first()["p"]
-    sliced = bind(df, "_slice", F.coalesce(slice_of(F.col(key), sorted(set(points or []))), F.lit(0)))
+    rows = df.select(F.struct(*df.columns).alias("_row"), F.col(key).alias("_key"))
+    sliced = bind(rows, "_slice", F.coalesce(slice_of(F.col("_key"), sorted(set(points or []))), F.lit(0)))
     # at most one row per slice
     heads = sorted(
-        ((r["_slice"], r["_head"][0]) for r in sliced.groupBy("_slice").agg(F.min(F.struct(key)).alias("_head")).collect()))
+        (r["_slice"], r["_head"][0]) for r in sliced.groupBy("_slice").agg(F.min(F.struct("_key")).alias("_head")).collect())
     kind = df.schema[key].dataType.simpleString()
-    before = spark.createDataFrame(
-        [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)], f"_head {kind}, _to int")
-    guests = sliced.join(F.broadcast(before), F.col(key).eqNullSafe(F.col("_head"))).drop("_slice", "_head")
+    before = spark.createDataFrame([(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)], f"_head {kind}, _to int")
+    guests = sliced.join(F.broadcast(before), F.col("_key").eqNullSafe(F.col("_head"))).drop("_slice", "_head")
     both = sliced.withColumn("_guest", F.lit(0)).unionByName(
         guests.withColumnRenamed("_to", "_slice").withColumn("_guest", F.lit(1)))
-    order = Window.partitionBy("_slice").orderBy("_guest", key, *columns)
-    led = both.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
-    return led.where("_guest = 0").drop("_guest", "_slice")
+    order = Window.partitionBy("_slice").orderBy("_guest", "_key", *[F.col("_row")[c] for c in columns])
+    led = both.withColumns({f"_lead_{i}": F.lead(F.col("_row")[c]).over(order) for i, c in enumerate(columns)}).where("_guest = 0")
+    named = {f"next_{c}": F.col(f"_lead_{i}").alias(f"next_{c}") for i, c in enumerate(columns)}
+    return led.select(*[F.col("_row")[c].alias(c) for c in df.columns if c not in named], *named.values())

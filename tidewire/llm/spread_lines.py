@@ -78,11 +78,13 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 5, key: str = "doc_id"
     spread = spread_lines(repeated, min_sites)
     again = repeated.join(spread, LINE).where(~F.struct(*ROW, "_place").eqNullSafe(F.col("_first")))
     places = again.groupBy(*ROW).agg(F.sort_array(F.collect_set("_place")).alias("_places"))
-    named = docs.withColumns({"_row_key": F.col(key), "_row_hash": _row_hash(text)})
+    named = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(key).alias("_row_key"), _row_hash(text).alias("_row_hash"))
     same = F.col("_row_key").eqNullSafe(F.col("_key")) & (F.col("_row_hash") == F.col("_text_hash"))
     joined = named.join(places, same, "left")
-    out = joined.withColumns({
+    whole = F.col("_doc")[text]
+    new = {
+        text: F.when(F.col("_places").isNull(), whole).otherwise(without_places(whole, F.col("_places"))),
         removed: F.coalesce(F.size("_places"), F.lit(0)).cast("bigint"),
-        text: F.when(F.col("_places").isNull(), F.col(text)).otherwise(without_places(F.col(text), F.col("_places"))),
-    })
-    return out.select(*docs.columns, *([removed] if removed not in docs.columns else []))
+    }
+    names = [*docs.columns, *([removed] if removed not in docs.columns else [])]
+    return joined.select(*[(new[c] if c in new else F.col("_doc")[c]).alias(c) for c in names])
