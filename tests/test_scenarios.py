@@ -195,7 +195,7 @@ def test_envelopes(envelopes):
     assert {r.id for r in events.select("id").collect()} == {0, 1, 10, 11, 12}
     reasons = {r.id: r.error for r in errors.collect()}
     assert reasons == {
-        2: "message body is nil", 3: "invalid event", 4: "invalid inner event", 5: "event is not an object",
+        2: "no message body", 3: "invalid event", 4: "invalid inner event", 5: "event is not an object",
         6: "event field has the wrong type", 7: "event field has the wrong type", 8: "event field has the wrong type",
         9: "invalid event time",
     }

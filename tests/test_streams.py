@@ -133,8 +133,8 @@ def test_retrieval(spark, sf, arrivals, tmp_path):
     def start(folder):
         events = src.stream_table(spark, str(folder), EVENTS_SCHEMA, max_files=1)
         triggers = derive(spark, "triggers", events=events, documents=table(spark, sf, "documents"))
-        found = retrieve_stream(op.resolve_location(triggers), objects).select("trigger_id", "key")
-        return stream_sink(found, str(tmp_path / "out"), str(tmp_path / "check"))
+        return retrieve_stream(op.resolve_location(triggers), lambda: objects, str(tmp_path / "out"), str(tmp_path / "check"),
+                               lambda df: df.select("trigger_id", "key"))
 
     run_in_two_starts(arrivals, start)
     batch = op.retrieve_lenient(op.resolve_location(table(spark, sf, "triggers")), objects)

@@ -71,6 +71,15 @@ def _closing_brace(template: str, start: int) -> int:
     raise ValueError(f"unclosed expression in template: {template!r}")
 
 
+def render_strict(template: str) -> Column:
+    """``struct(value, error)``: a null piece (a missing key, a failed ``try_`` function) is an error that names the
+    expression, and there is no value then. For ``error`` columns of the publish policies."""
+    sql = [text for kind, text in split_template(template) if kind == "sql"]
+    failed = [F.when(F.expr(text).isNull(), F.lit(f"no value for {text}")) for text in sql]
+    error = F.coalesce(*failed, F.lit(None).cast("string"))
+    return F.struct(F.when(error.isNull(), render_template(template)).alias("value"), error.alias("error"))
+
+
 def render_template(template: str) -> Column:
     """String column for a template whose expressions are Spark SQL over the message's columns.
 

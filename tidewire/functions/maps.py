@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .time import col
@@ -35,10 +34,20 @@ def set_metadata(metadata: Column | str, key: str, value: Column) -> Column:
     return merge_maps(col(metadata), F.create_map(F.lit(key), value.cast("string")))
 
 
+def _check_pattern(pattern: str) -> None:
+    """A bad pattern fails while the query is built, by the rules of the engine that will run it."""
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
+    except Py4JJavaError as error:
+        raise ValueError(f"bad pattern: {pattern!r}") from error
+
+
 def key_predicate(patterns: Sequence[str], invert: bool):
     """``Column -> Column`` test for a metadata key: any pattern found in it (or none, if inverted)."""
     for pattern in patterns:
-        re.compile(pattern)  # a bad pattern fails while the query is built
+        _check_pattern(pattern)
     if not patterns:
         return lambda key: F.lit(bool(invert))
     regex = "|".join(f"(?:{pattern})" for pattern in patterns)

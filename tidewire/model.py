@@ -14,10 +14,6 @@ MESSAGE = T.StructType([
     T.StructField("metadata", STRING_MAP),
 ])
 
-TRIGGER_FIELDS = ["source", "reference", "metadata", "ts", "bucket", "key", "size", "etag", "event_name"]
-OBJECT_FIELDS = ["bucket", "key", "size", "etag", "modified", "body", "user_metadata"]
-DELIVERY_FIELDS = ["consumer", "seq", "attempt", "delivered_at", "outcome"]
-
 # Where a trigger can come from.
 SOURCE_EVENTBRIDGE = "eventbridge"
 SOURCE_POLLING = "s3-polling"

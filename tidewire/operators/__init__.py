@@ -10,7 +10,7 @@ from .delivery import (
     resume_durable,
     rollback_batch,
 )
-from .events import filter_events, make_trigger, parse_event_envelope
+from .events import filter_events, judge_event_envelopes, make_trigger, parse_event_envelope
 from .metrics import component_metrics, observed
 from .processors import apply_processor, json_parser
 from .retrieval import (
@@ -29,6 +29,7 @@ from .sinks import (
     batch_error_report,
     dead_letter,
     descriptor_error,
+    judge_transactions,
     message_error,
     mq_descriptor,
     ordered_write,

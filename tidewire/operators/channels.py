@@ -22,7 +22,7 @@ def subject_predicate(subject: Column, pattern: str) -> Column:
         prefix = pattern[:-1]
         return subject.startswith(prefix) & (F.length(subject) > len(prefix))
     parts = {"*": r"[^.]+", ">": r".+"}
-    return subject.rlike("^" + r"\.".join(parts.get(t, re.escape(t)) for t in tokens) + "$")
+    return subject.rlike(r"(?s)\A" + r"\.".join(parts.get(t, re.escape(t)) for t in tokens) + r"\z")
 
 
 def filter_subject(df: DataFrame, column: str, *patterns: str) -> DataFrame:
@@ -42,7 +42,7 @@ def topic_predicate(topic: Column, pattern: str) -> Column:
     regex = "/".join("[^/]*" if x == "+" else re.escape(x) for x in levels if x != "#")
     if levels[-1] == "#":
         regex = f"{regex}(/.*)?" if len(levels) > 1 else ".*"
-    test = topic == pattern if "+" not in levels and levels[-1] != "#" else topic.rlike(f"^{regex}$")
+    test = topic == pattern if "+" not in levels and levels[-1] != "#" else topic.rlike(rf"(?s)\A{regex}\z")
     return test & ~topic.startswith("$") if levels[0] in ("+", "#") else test
 
 

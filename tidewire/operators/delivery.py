@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.time import duration_us
 from ..model import DEFAULT_BATCH_WAIT_MS
 from ..plans.greedy import assign_greedy, first_per_window
+from ..plans.joins import null_safe_join
 from ..plans.ordering import numbered
 
 
@@ -59,19 +60,21 @@ def dedupe_by_message_id(
     df: DataFrame,
     id: str = "msg_id",
     ts: str = "ts",
-    window_s: int | None = None,
+    window_s: float | str | None = None,
     order: Sequence[str] = ("seq",),
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """First message per id within a time window.
 
-    An accepted message blocks its id for ``window_s`` seconds; what is dropped meanwhile does not extend that.
-    ``None`` blocks forever, which needs one row per id and task only.
+    An accepted message blocks its id for ``window_s`` seconds (or a text such as ``2m``); what is dropped meanwhile does
+    not extend that. ``None`` blocks forever, which needs one row per id and task only. A window that is not positive
+    blocks nothing: every message is kept. A message without a time came before all others.
     """
     if window_s is None:
         first = Window.partitionBy(id).orderBy(ts, *order)
         return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
-    return first_per_window(df, [id], order, ts, window_s * 1_000_000, rows_per_slice)
+    window_us = duration_us(window_s)
+    return first_per_window(df, [id], order, ts, window_us, rows_per_slice) if window_us > 0 else df
 
 
 def ack_outcome(df: DataFrame) -> DataFrame:
@@ -118,9 +121,9 @@ def pending_by_ack_policy(
         return messages.where(F.lit(False))
     if policy == "all":
         covered = acks.groupBy(consumer).agg(F.max(seq).alias("_covered"))
-        open_ = messages.join(covered, [consumer], "left")
+        open_ = null_safe_join(messages, covered, [consumer], "left")
         return open_.where(F.col("_covered").isNull() | (F.col(seq) > F.col("_covered"))).drop("_covered")
-    return messages.join(acks.select(consumer, seq), [consumer, seq], "left_anti")
+    return null_safe_join(messages, acks.select(consumer, seq), [consumer, seq], "left_anti")
 
 
 def redeliver(
@@ -147,7 +150,7 @@ def redeliver(
 
 def rollback_batch(deliveries: DataFrame, nacked: DataFrame, on: Sequence[str] = ("batch_id",)) -> DataFrame:
     """Every message of a rejected batch again, at its old place, as the next attempt."""
-    back = deliveries.join(nacked.select(*on).distinct(), list(on), "left_semi")
+    back = null_safe_join(deliveries, nacked.select(*on).distinct(), on, "left_semi")
     return back.withColumn("attempt", F.col("attempt") + 1)
 
 

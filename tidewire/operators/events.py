@@ -12,11 +12,13 @@ from ..functions.maps import empty_map
 from ..functions.time import col
 from ..plans.binding import bind
 
+# A date and a time with seconds and an offset; anything less would be completed from the clock.
+RFC3339 = r"(?i)\A\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})\z"
 _TEXT_FIELDS = {"source": "$.source", "detail_type": "$['detail-type']", "region": "$.region", "account": "$.account"}
 
 
-def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """Queue bodies to ``(events, errors)``.
+def judge_event_envelopes(df: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``event`` and ``error`` to queue bodies, one of which is null: one pass for both outcomes.
 
     A body with a non-empty string ``Message`` wraps the event as JSON text in it; any other body is the event itself.
     A null body, invalid JSON, or a field of the wrong type is an error row (``error`` says which); the rest get an
@@ -44,9 +46,9 @@ def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame,
     for path in _TEXT_FIELDS.values():
         mistyped = mistyped | wrong(path, "STRING")
     time_text = F.try_variant_get(v, "$.time", "string")
-    time = F.try_to_timestamp(time_text)
+    time = F.try_to_timestamp(F.when(time_text.rlike(RFC3339), time_text))
     error = (
-        F.when(F.col(body).isNull(), F.lit("message body is nil"))
+        F.when(F.col(body).isNull(), F.lit("no message body"))
         .when(v.isNull() & inner.isNotNull(), F.lit("invalid inner event"))
         .when(v.isNull(), F.lit("invalid event"))
         .when(~F.coalesce(inner, F.col(body)).rlike(r"^[ \t\r\n]*\{"), F.lit("event is not an object"))
@@ -59,10 +61,18 @@ def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame,
         time.alias("time"),
         F.coalesce(F.try_variant_get(v, "$.resources", "array<string>"), F.array().cast("array<string>")).alias("resources"),
     )
-    parsed = bind(opened, "error", error)
-    events = bind(parsed.where(F.col("error").isNull()), "event", event)
-    errors = parsed.where(F.col("error").isNotNull())
-    return events.select(*[c for c in df.columns if c != body], "event"), errors.select(*df.columns, "error")
+    parsed = bind(opened, "_error", error)
+    judged = bind(parsed, "_parsed", F.when(F.col("_error").isNull(), event))
+    kept = [c for c in df.columns if c not in ("event", "error")]
+    return judged.select(*kept, F.col("_parsed").alias("event"), F.col("_error").alias("error"))
+
+
+def parse_event_envelope(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
+    """``(events, errors)`` of ``judge_event_envelopes``; use that one, or write by whether ``error`` is null, to parse once
+    for both."""
+    judged = judge_event_envelopes(df, body)
+    events = judged.where(F.col("error").isNull()).drop(body, "error")
+    return events, judged.where(F.col("error").isNotNull()).drop("event")
 
 
 def glob_to_like(glob: str) -> str:

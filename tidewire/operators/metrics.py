@@ -1,4 +1,4 @@
-"""Counters, gauges and timers recorded by components."""
+"""Counters, gauges and timers: summaries of recorded samples."""
 
 from __future__ import annotations
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.maps import empty_map, merge_maps, stringify_metadata
 from ..functions.time import micros
 from ..plans.binding import bind
+from ..plans.joins import null_safe_join
 
 LOCATION = ["bucket", "key"]
 
@@ -83,7 +84,10 @@ def _fetch(triggers: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def retrieve_lenient(triggers: DataFrame, objects: DataFrame) -> DataFrame:
-    """One row per trigger whose object exists; the others are dropped. Fields both sides have come from the object."""
+    """One row per trigger whose object exists; the others are dropped. Fields both sides have come from the object.
+
+    A listing names each location once; if it does not, a trigger gives a row for each of the location's objects.
+    """
     return _fetch(triggers, objects)
 
 
@@ -99,7 +103,7 @@ def retrieve_strict(
     per_location = wanted.groupBy(batch, *LOCATION).agg(F.count(F.lit(1)).alias("_n"))
     absent = per_location.join(objects.select(*LOCATION), LOCATION, "left_anti")
     failures = absent.groupBy(batch).agg(F.sum("_n").alias("n_failed"))
-    clean = wanted.join(failures, [batch], "left_anti")
+    clean = null_safe_join(wanted, failures.select(batch), [batch], "left_anti")
     return _fetch(clean, objects), failures
 
 
@@ -136,7 +140,7 @@ def fetch_savings(triggers: DataFrame, objects: DataFrame, keep: Column, by: str
     per_location = triggers.groupBy(by, *LOCATION, F.coalesce(keep, F.lit(False)).alias("_keep")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    present = objects.select(*LOCATION, F.lit(True).alias("_present"))
+    present = objects.select(*LOCATION).distinct().withColumn("_present", F.lit(True))
     joined = per_location.join(present, LOCATION, "left")
 
     def total(test: Column) -> Column:

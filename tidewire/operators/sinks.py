@@ -19,6 +19,7 @@ from ..model import (
     MAX_PRIORITY,
     RESERVED_HEADERS,
 )
+from ..plans.joins import null_safe_join
 
 
 def route_by_expression(df: DataFrame, template: str, col: str = "route") -> DataFrame:
@@ -45,19 +46,30 @@ def publish_fail_fast(df: DataFrame, error: Column, batch: Sequence[str], idx: s
     """
     judged = df.withColumn("_error", error)
     first = judged.where(F.col("_error").isNotNull()).groupBy(*batch).agg(F.min(idx).alias("_first"))
-    joined = judged.join(first, list(batch), "left")
+    joined = null_safe_join(judged, first, batch, "left")
     at, stop = F.col(idx), F.col("_first")
     status = F.when(stop.isNull() | (at < stop), "sent").when(at == stop, "failed").otherwise("not_attempted")
     message = F.when(at == stop, F.concat(F.lit("batch #"), at.cast("string"), F.lit(": "), F.col("_error")))
     return joined.withColumns({"status": status, "error": message}).drop("_error", "_first")
 
 
-def publish_transactional(df: DataFrame, error: Column, batch: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """``(written, rolled_back)``: one failing message takes its whole batch back."""
+def judge_transactions(df: DataFrame, error: Column, batch: Sequence[str]) -> DataFrame:
+    """Add ``error`` and ``rolled_back``: whether some message of the row's batch fails. One pass for both outcomes; a
+    null batch key is a batch like any other."""
     judged = df.withColumn("error", error)
-    bad = judged.where(F.col("error").isNotNull()).select(*batch).distinct()
-    written = judged.join(bad, list(batch), "left_anti").drop("error")
-    return written, judged.join(bad, list(batch), "left_semi")
+    bad = judged.where(F.col("error").isNotNull()).select(*batch).distinct().withColumn("_bad", F.lit(True))
+    joined = null_safe_join(judged, bad, batch, "left")
+    return joined.withColumn("rolled_back", F.col("_bad").isNotNull()).drop("_bad")
+
+
+def publish_transactional(df: DataFrame, error: Column, batch: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """``(written, rolled_back)``: one failing message takes its whole batch back.
+
+    To use both without reading the input twice, write ``judge_transactions`` by its ``rolled_back`` column.
+    """
+    judged = judge_transactions(df, error, batch)
+    written = judged.where(~F.col("rolled_back")).drop("rolled_back", "error")
+    return written, judged.where("rolled_back").drop("rolled_back")
 
 
 def _whole_number(text: str | None, default: int) -> int:

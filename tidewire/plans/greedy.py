@@ -27,6 +27,7 @@ from .openers import accepted_times
 from .ordering import ROWS_PER_SLICE, cut_hot_groups
 
 NO_LIMIT = 1 << 62
+FIRST_US = -62_135_596_800_000_000  # the start of year 1, before any time a log can hold
 # Strides cost more than one pass of a task over a few million rows.
 ROWS_PER_ID = 5 * ROWS_PER_SLICE
 # when the open batch was opened, how many messages it has, its number
@@ -35,7 +36,7 @@ NOTHING_OPEN = {"_opened": 0, "_count": 0, "_batch": -1}
 
 def arrival(ts: str) -> Column:
     """Microseconds; a message without a time arrived first."""
-    return F.coalesce(micros(ts), F.lit(0))
+    return F.coalesce(micros(ts), F.lit(FIRST_US))
 
 
 def assign_greedy(

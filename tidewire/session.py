@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     # ... also when the join's partitioning would otherwise have been reused downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the last of repeated JSON keys counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.maps import empty_map, stringify_metadata
@@ -39,14 +39,30 @@ def generate_triggers(timers: DataFrame, every_s: int) -> DataFrame:
     )
 
 
-def poll_listing_triggers(current: DataFrame, previous: DataFrame) -> DataFrame:
-    """A trigger for each object that is new, or changed, since the previous listing (by bucket, key and etag)."""
+def timer_triggers(spark: SparkSession, timer_id: str, every_s: int) -> DataFrame:
+    """``generate_triggers`` as a stream: a trigger every ``every_s`` seconds for as long as the stream runs."""
+    if every_s <= 0:
+        raise ValueError("every_s must be positive")
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return ticks.where(F.col("value") % every_s == 0).select(
+        F.lit(SOURCE_GENERATE).alias("source"), F.lit(timer_id).alias("reference"), empty_map().alias("metadata"),
+        F.col("timestamp").alias("ts"),
+    )
+
+
+def poll_listing_triggers(current: DataFrame, previous: DataFrame, polled_at: Column | None = None) -> DataFrame:
+    """A trigger for each object that is new, or changed, since the previous listing (by bucket, key and etag).
+
+    Its ``ts`` is ``polled_at``, or else the object's ``modified``; with neither it is null, and rules on age drop it.
+    """
     fresh = current.join(previous.select("bucket", "key", "etag"), ["bucket", "key", "etag"], "left_anti")
+    stamp = F.col("modified") if "modified" in current.columns else F.lit(None).cast("timestamp")
+    stamp = stamp if polled_at is None else polled_at
     return fresh.select(
         F.lit(SOURCE_POLLING).alias("source"),
         F.concat_ws("/", "bucket", "key").alias("reference"),
         stringify_metadata({c: F.col(c) for c in ("bucket", "key", "size", "etag")}).alias("metadata"),
-        "bucket", "key", "size", "etag",
+        "bucket", "key", "size", "etag", stamp.alias("ts"),
     )
 
 

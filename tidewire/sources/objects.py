@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +13,17 @@ from ..plans.ordering import numbered
 
 
 def read_objects(spark: SparkSession, folder: str, bucket: str) -> DataFrame:
-    """Files below ``folder`` as object rows; a query that does not use ``body`` never opens the files."""
+    """Files below ``folder`` as object rows; a query that uses neither ``body`` nor ``etag`` never opens the files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    root = folder.rstrip("/") + "/"
-    return files.select(
+    root = (folder if "://" in folder or ":/" in folder else os.path.abspath(folder)).rstrip("/") + "/"
+    root = re.sub(r"^(\w+):/+", r"/", root) if root.startswith("file:") else root
+    # the root is stripped once, where it first stands: the same folder names may follow below it
+    return files.withColumn("_root", F.lit(root)).select(
         F.lit(bucket).alias("bucket"),
-        F.substring_index(F.col("path"), root, -1).alias("key"),
+        F.expr("substring(path, locate(_root, path) + length(_root))").alias("key"),
         F.col("length").alias("size"),
+        F.md5("content").alias("etag"),
+        empty_map().alias("user_metadata"),
         F.col("modificationTime").alias("modified"),
         F.col("content").alias("body"),
     )

@@ -1,7 +1,7 @@
-from .carry import stream_batcher, stream_dedupe, stream_redelivery
+from .carry import open_batches, stream_batcher, stream_dedupe, stream_redelivery
 from .flow import read_sink, retrieve_stream, stream_flow, stream_sink
 
 __all__ = [
-    "read_sink", "retrieve_stream", "stream_batcher", "stream_dedupe", "stream_flow", "stream_redelivery",
+    "open_batches", "read_sink", "retrieve_stream", "stream_batcher", "stream_dedupe", "stream_flow", "stream_redelivery",
     "stream_sink",
 ]

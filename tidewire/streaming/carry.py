@@ -8,16 +8,18 @@ its own. Messages are expected in time order from one micro-batch to the next.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.time import duration_us, micros
 from ..operators.delivery import batch_by_count_or_time, batch_wait_us, dedupe_by_message_id
-from .flow import BATCH
+from ..plans.greedy import arrival
+from ..plans.joins import null_safe_join
+from .flow import BATCH, start
 
 
 def _stateful(
@@ -26,8 +28,12 @@ def _stateful(
     checkpoint: str,
     state_schema: T.StructType,
     step: Callable[[DataFrame, DataFrame], tuple[DataFrame, ...]],
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """``step(state, new rows) -> (rows to emit, next state, *frames it keeps meanwhile)`` for each micro-batch."""
+    """``step(state, new rows) -> (rows to emit, next state, *frames it keeps meanwhile)`` for each micro-batch.
+
+    The state of the last two micro-batches is kept: a replay needs its predecessor's.
+    """
     state_path = f"{path}-state"
 
     def run(rows: DataFrame, batch_id: int) -> None:
@@ -36,38 +42,46 @@ def _stateful(
             state = spark.read.schema(state_schema).parquet(f"{state_path}/{BATCH}={batch_id - 1}")
         else:
             state = spark.createDataFrame([], state_schema)
+        rows = rows.persist()
         emitted, following, *kept = step(state, rows)
         following.write.mode("overwrite").parquet(f"{state_path}/{BATCH}={batch_id}")
         emitted.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        for frame in kept:
+        for frame in (*kept, rows):
             frame.unpersist()
+        _forget(spark, f"{state_path}/{BATCH}={batch_id - 2}")
+
+    return start(df, run, checkpoint, trigger)
+
 
-    return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _forget(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the shared file system that no replay can ask for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stream_dedupe(
-    df: DataFrame, id: str, ts: str, window_s: int, path: str, checkpoint: str, order: Sequence[str] = ("seq",)
+    df: DataFrame, id: str, ts: str, window_s: float | str, path: str, checkpoint: str, order: Sequence[str] = ("seq",),
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """``dedupe_by_message_id`` on a stream. Carried: for each id whose window is still open, when it was opened.
 
     A late message is held against that window too, so it is dropped rather than accepted a second time.
     """
-    window_us = window_s * 1_000_000
+    window_us = duration_us(window_s)
     state_schema = T.StructType([df.schema[id], T.StructField("_opened", T.LongType())])
 
     def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, ...]:
-        blocked = state.withColumnRenamed(id, "_id")
-        free = rows.join(blocked, rows[id].eqNullSafe(F.col("_id")), "left").where(
-            F.col("_opened").isNull() | (micros(ts) >= F.col("_opened") + window_us)
+        free = null_safe_join(rows, state, [id], "left").where(
+            F.col("_opened").isNull() | (arrival(ts) >= F.col("_opened") + window_us)
         ).select(*rows.columns)
         accepted = dedupe_by_message_id(free, id, ts, window_s, order).persist()
-        opened = accepted.select(id, micros(ts).alias("_opened")).unionByName(state)
+        opened = accepted.select(id, arrival(ts).alias("_opened")).unionByName(state)
         now = rows.agg(F.max(micros(ts))).head()[0]
         latest = opened.groupBy(id).agg(F.max("_opened").alias("_opened"))
         following = latest.where(F.col("_opened") + window_us > now) if now is not None else latest
         return accepted, following, accepted
 
-    return _stateful(df, path, checkpoint, state_schema, step)
+    return _stateful(df, path, checkpoint, state_schema, step, trigger)
 
 
 def stream_batcher(
@@ -79,11 +93,15 @@ def stream_batcher(
     path: str,
     checkpoint: str,
     order: Sequence[str] = ("seq",),
+    trigger: Mapping | None = None,
+    now: Callable[[], Column] | None = None,
 ) -> StreamingQuery:
     """``batch_by_count_or_time`` on a stream: a batch is emitted, whole, once it is full or its time is up.
 
     Carried: the messages of each channel's open batch (fewer than ``n``), and the number of its next batch. Time is
-    the newest message time seen, so a quiet channel's batch is closed by traffic on the others.
+    the newest message time seen, so a quiet channel's batch is closed by traffic on the others; or ``now()``, such as
+    ``F.current_timestamp``, whose passing closes batches at the next micro-batch. What is open in the end is read, or
+    drained, with ``open_batches``. A message without a time came first and waits for no time.
     """
     by = list(by)
     state_schema = T.StructType([
@@ -93,17 +111,18 @@ def stream_batcher(
     def step(state: DataFrame, rows: DataFrame) -> tuple[DataFrame, ...]:
         waiting = state.where("_open").select(*df.columns)
         both = waiting.unionByName(rows)
-        now = both.agg(F.max(micros(ts))).head()[0]
+        newest = both.agg(F.max(micros(ts)).alias("t"), F.max(micros(now())).alias("n") if now else F.lit(None).alias("n")).head()
+        reached = newest["n"] if newest["n"] is not None else newest["t"]
         next_no = state.where(~F.col("_open")).select(F.struct(*by).alias("_channel"), "_next")
         batched = batch_by_count_or_time(both, by, order, ts, n, wait_ms).withColumn("_channel", F.struct(*by))
-        batched = batched.join(next_no, ["_channel"], "left").withColumn(
+        batched = null_safe_join(batched, next_no, ["_channel"], "left").withColumn(
             "batch_no", F.col("batch_no") + F.coalesce(F.col("_next"), F.lit(0))
         )
         one_batch = Window.partitionBy("_channel", "batch_no")  # at most n rows
         judged = batched.withColumn(
             "_closed",
             (F.count(F.lit(1)).over(one_batch) >= max(n, 1))
-            | (F.min(micros(ts)).over(one_batch) + batch_wait_us(wait_ms) <= F.lit(now)),
+            | F.coalesce(F.min(arrival(ts)).over(one_batch) + batch_wait_us(wait_ms) <= F.lit(reached), F.lit(False)),
         ).persist()
         closed = judged.where("_closed")
         following = closed.groupBy("_channel").agg((F.max("batch_no") + 1).alias("_next")).unionByName(next_no)
@@ -114,11 +133,28 @@ def stream_batcher(
         carried = open_.unionByName(counters, allowMissingColumns=True).select(*state_schema.names)
         return closed.select(*df.columns, "batch_no", "batch_idx"), carried, judged
 
-    return _stateful(df, path, checkpoint, state_schema, step)
+    return _stateful(df, path, checkpoint, state_schema, step, trigger)
+
+
+def open_batches(spark: SparkSession, path: str, by: Sequence[str], order: Sequence[str] = ("seq",)) -> DataFrame:
+    """The messages of batches that a stopped ``stream_batcher`` has not emitted, with the numbers they would get.
+
+    Reads the newest state below ``path``. An open batch has fewer than ``n`` messages, so each channel's is small.
+    """
+    state = spark.read.parquet(f"{path}-state")
+    last = state.agg(F.max(BATCH)).head()[0]
+    state = state.where(F.col(BATCH) == last).drop(BATCH)
+    counters = state.where(~F.col("_open")).select(*by, F.col("_next").alias("_no"))
+    waiting = null_safe_join(state.where("_open").drop("_open", "_next"), counters, by, "left")
+    place = Window.partitionBy(*by).orderBy(*order)
+    return waiting.withColumns({
+        "batch_no": F.coalesce("_no", F.lit(0)), "batch_idx": (F.row_number().over(place) - 1).cast("bigint"),
+    }).drop("_no")
 
 
 def stream_redelivery(
-    deliveries: DataFrame, ack_wait_s: float | str, path: str, checkpoint: str, max_deliver: int = 0
+    deliveries: DataFrame, ack_wait_s: float | str, path: str, checkpoint: str, max_deliver: int = 0,
+    trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """``redeliver`` on a stream of delivery attempts: a row once the newest delivery time seen passes the deadline of
     a message's latest attempt.
@@ -152,4 +188,4 @@ def stream_redelivery(
         )
         return emitted, latest.where(~up)
 
-    return _stateful(deliveries, path, checkpoint, state_schema, step)
+    return _stateful(deliveries, path, checkpoint, state_schema, step, trigger)

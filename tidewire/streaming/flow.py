@@ -1,31 +1,42 @@
 """Continuous input, processing and output. The query's checkpoint plays the part of the acknowledgement: input counts
-as taken once the micro-batch it came in is written."""
+as taken once the micro-batch it came in is written.
+
+``trigger`` says how long a stream runs: ``ONCE`` (the default) processes what is available and stops, and goes on from there
+when started again with the same checkpoint; ``{"processingTime": "1 second"}`` keeps running.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.retrieval import retrieve_lenient
 
 BATCH = "write_id"
+ONCE = {"availableNow": True}
+Processor = Callable[[DataFrame], DataFrame]
+
+
+def start(df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, trigger: Mapping | None) -> StreamingQuery:
+    return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**(trigger or ONCE)).start()
 
 
-def stream_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+def stream_sink(
+    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: Mapping | None = None, by: str | None = None
+) -> StreamingQuery:
     """Write each micro-batch to its own folder, replacing it: a replayed micro-batch takes effect once.
 
-    Processes what is available and stops; start it again with the same checkpoint to go on.
+    ``by`` names a column with the outcome of each row (``sent``, ``dead``): one pass then writes a folder per outcome.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").format(fmt).save(f"{path}/{BATCH}={batch_id}")
+        writer = rows.write.mode("overwrite").format(fmt)
+        (writer.partitionBy(by) if by else writer).save(f"{path}/{BATCH}={batch_id}")
 
-    return (
-        df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return start(df, write, checkpoint, trigger)
 
 
 def read_sink(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -33,21 +44,30 @@ def read_sink(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(path).drop(BATCH)
 
 
-def stream_flow(source: DataFrame, *processors: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Input, any number of DataFrame-to-DataFrame processors, output."""
+def stream_flow(
+    source: DataFrame, *processors: Processor, path: str, checkpoint: str, trigger: Mapping | None = None, by: str | None = None
+) -> StreamingQuery:
+    """Input, any number of DataFrame-to-DataFrame processors, output. ``by``: see ``stream_sink``."""
     out = source
     for processor in processors:
         out = out.transform(processor)
-    return stream_sink(out, path, checkpoint)
+    return stream_sink(out, path, checkpoint, trigger=trigger, by=by)
 
 
-def retrieve_stream(triggers: DataFrame, objects: DataFrame) -> DataFrame:
-    """Join a trigger stream to the object table, which is read anew for every micro-batch.
+def retrieve_stream(
+    triggers: DataFrame, objects: Callable[[], DataFrame], path: str, checkpoint: str,
+    then: Processor | None = None, trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Join each micro-batch of triggers to the object table as it is at that time, and write the found rows.
 
-    Filter the triggers first: bodies are fetched for the survivors only.
+    ``objects`` is called for every micro-batch, so objects that land after the start are seen; the join runs as a batch
+    job, where a hot location is split. Filter the triggers first: bodies are fetched for the survivors only. ``then`` is
+    applied to the found rows.
     """
-    return retrieve_lenient(triggers, objects)
 
+    def run(found: Processor | None, rows: DataFrame, batch_id: int) -> None:
+        out = retrieve_lenient(rows, objects())
+        out = found(out) if found else out
+        out.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
-def max_micros(df: DataFrame, ts: str) -> int | None:
-    return df.agg(F.max(F.unix_micros(F.col(ts).cast("timestamp")))).head()[0]
+    return start(triggers, partial(run, then), checkpoint, trigger)

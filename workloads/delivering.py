@@ -44,6 +44,13 @@ def batch_by_count(spark, sf):
     return batches(spark, sf).select("queue", "batch_no", "batch_idx", "seq")
 
 
+@query("batch_by_count_sliced", ["messages"], BATCHES_SQL + "select queue, batch_no, batch_idx, seq from batched")
+def batch_by_count_sliced(spark, sf):
+    messages = table(spark, sf, "messages")
+    return op.batch_by_count(messages, ["queue"], ["ts", "seq"], 5, rows_per_slice=20).select(
+        "queue", "batch_no", "batch_idx", "seq")
+
+
 GREEDY_SQL = """
 placed as (select queue, seq, epoch_us(ts) as us, row_number() over (partition by queue order by ts, seq) as n
            from messages),
@@ -68,6 +75,16 @@ def batch_by_count_or_time(spark, sf):
     )
 
 
+@query("batch_by_count_or_time_sliced", ["messages"], "with " + GREEDY_SQL + """
+select queue, batch_no, taken as batch_idx, seq from walk
+""", recursive=True)
+def batch_by_count_or_time_sliced(spark, sf):
+    messages = table(spark, sf, "messages").select("queue", "seq", "ts")
+    return op.batch_by_count_or_time(messages, ["queue"], ["seq"], "ts", 3, "12h", rows_per_slice=20).select(
+        "queue", "batch_no", "batch_idx", "seq"
+    )
+
+
 DEDUPE_SQL = """
 with opened(topic, ts) as (
   select topic, min(ts) from messages group by topic
@@ -84,6 +101,12 @@ def dedupe_by_message_id(spark, sf):
     return op.dedupe_by_message_id(messages, "topic", "ts", 172_800).select("topic", "seq")
 
 
+@query("dedupe_by_message_id_sliced", ["messages"], DEDUPE_SQL, recursive=True)
+def dedupe_by_message_id_sliced(spark, sf):
+    messages = table(spark, sf, "messages").select("topic", "seq", "ts")
+    return op.dedupe_by_message_id(messages, "topic", "ts", "48h", rows_per_slice=12).select("topic", "seq")
+
+
 @query("dedupe_by_message_id_forever", ["messages"], """
 select msg_id, arg_min(seq, (ts, seq)) as seq from messages group by msg_id
 """)
@@ -136,11 +159,54 @@ def publish_fail_fast(spark, sf):
 select queue, batch_no, seq, max(err is not null) over (partition by queue, batch_no) as rolled_back from batched
 """)
 def publish_transactional(spark, sf):
-    written, back = op.publish_transactional(batches(spark, sf), bad_priority(), ["queue", "batch_no"])
-    columns = ["queue", "batch_no", "seq"]
-    return written.select(*columns, F.lit(False).alias("rolled_back")).unionByName(
-        back.select(*columns, F.lit(True).alias("rolled_back"))
-    )
+    judged = op.judge_transactions(batches(spark, sf), bad_priority(), ["queue", "batch_no"])
+    return judged.select("queue", "batch_no", "seq", "rolled_back")
+
+
+NULL_BATCHES_SQL = """
+with batched as (
+  select case when seq % 3 > 0 then queue end as batch, seq as batch_idx,
+         case when mq_priority > 9 and seq % 500 < 60 then 'invalid priority ' || mq_priority end as err
+  from messages)
+"""
+
+
+def null_batches(spark, sf):
+    """Batches named by queue, a third of all messages under no name; few messages fail."""
+    messages = table(spark, sf, "messages")
+    batch = F.when(F.col("seq") % 3 > 0, F.col("queue"))
+    error = F.when(F.col("seq") % 500 < 60, bad_priority())
+    return messages.select(batch.alias("batch"), F.col("seq").alias("batch_idx"), "mq_priority", error.alias("err"))
+
+
+@query("publish_fail_fast_null_batch", ["messages"], NULL_BATCHES_SQL + """
+, firsts as (select *, min(case when err is not null then batch_idx end) over (partition by batch) as f from batched)
+select batch, batch_idx,
+       case when f is null or batch_idx < f then 'sent' when batch_idx = f then 'failed' else 'not_attempted' end as status,
+       case when batch_idx = f then 'batch #' || batch_idx || ': ' || err end as error
+from firsts
+""")
+def publish_fail_fast_null_batch(spark, sf):
+    out = op.publish_fail_fast(null_batches(spark, sf), F.col("err"), ["batch"])
+    return out.select("batch", "batch_idx", "status", "error")
+
+
+@query("publish_transactional_null_batch", ["messages"], NULL_BATCHES_SQL + """
+select batch, batch_idx, max(err is not null) over (partition by batch) as rolled_back from batched
+""")
+def publish_transactional_null_batch(spark, sf):
+    judged = op.judge_transactions(null_batches(spark, sf), F.col("err"), ["batch"])
+    return judged.select("batch", "batch_idx", "rolled_back")
+
+
+@query("rollback_batch_null_batch", ["messages"], NULL_BATCHES_SQL + """
+select batch, batch_idx, 2 as attempt from (
+  select *, max(err is not null) over (partition by batch) as nacked from batched) where nacked
+""")
+def rollback_batch_null_batch(spark, sf):
+    delivered = null_batches(spark, sf).withColumn("attempt", F.lit(1))
+    back = op.rollback_batch(delivered, delivered.where("err is not null"), ["batch"])
+    return back.select("batch", "batch_idx", "attempt")
 
 
 @query("batch_error_report", ["messages"], BATCHES_SQL + """
@@ -280,6 +346,26 @@ def pending_by_ack_policy(spark, sf):
     return op.merge_triggers(*parts)
 
 
+@query("pending_null_consumer", ["messages", "deliveries"], ACKS_SQL + """
+, m2 as (select nullif(consumer, 'c3') as consumer, seq from m), a2 as (select nullif(consumer, 'c3') as consumer, seq from a)
+select 'explicit' as policy, consumer, seq from m2
+where not exists (select 1 from a2 where a2.consumer is not distinct from m2.consumer and a2.seq = m2.seq)
+union all
+select 'all', consumer, seq from (
+  select m2.*, (select max(seq) from a2 where a2.consumer is not distinct from m2.consumer) as top from m2)
+where top is null or seq > top
+""")
+def pending_null_consumer(spark, sf):
+    unnamed = F.nullif(F.col("consumer"), F.lit("c3"))
+    messages = consumer_messages(spark, sf).drop("ts").withColumn("consumer", unnamed)
+    acked = acks(spark, sf).withColumn("consumer", unnamed)
+    parts = [
+        op.pending_by_ack_policy(messages, acked, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
+        for policy in ("explicit", "all")
+    ]
+    return op.merge_triggers(*parts)
+
+
 REDELIVER_SQL = """
 with latest as (
   select consumer, seq, max(attempt) as attempt, arg_max(delivered_at, attempt) as delivered_at,
@@ -325,6 +411,17 @@ def consumer_lag(spark, sf):
     return op.consumer_lag(messages).select("stream", "seq", "delivered", "pending")
 
 
+@query("consumer_lag_sliced", ["messages"], """
+select event_type as stream, seq,
+       count(*) over (partition by event_type order by seq rows unbounded preceding) as delivered,
+       count(*) over (partition by event_type order by seq rows between 1 following and unbounded following) as pending
+from messages
+""")
+def consumer_lag_sliced(spark, sf):
+    messages = table(spark, sf, "messages").select(F.col("event_type").alias("stream"), "seq")
+    return op.consumer_lag(messages, rows_per_slice=150).select("stream", "seq", "delivered", "pending")
+
+
 @query("resume_durable", ["messages", "deliveries"], ACKS_SQL + f""",
 o as (select consumer, consumer in ('c0', 'c1') as durable,
              case when consumer <> 'c1' then max(seq) end as acked_seq, timestamp '{NOW}' as created_at
@@ -422,6 +519,26 @@ def stream_sink_query(spark, sf):
     return read_sink(spark, f"{run}/out")
 
 
+FLOW_SQL = """
+select seq, concat('store.', event_type) as route, case when mq_priority <= 9 then 'sent' else 'dead' end as outcome
+from messages where starts_with(subject, 'events.click.') or starts_with(subject, 'events.view.')
+"""
+
+
+@query("stream_pipeline", ["messages"], FLOW_SQL)
+def stream_pipeline_query(spark, sf):
+    """Sent and dead messages in one pass, a folder each."""
+    run = new_run_folder(spark, "stream_pipeline")
+    outcome = F.when(bad_priority().isNull(), "sent").otherwise("dead").alias("outcome")
+    stream_flow(
+        messages_stream(spark, sf),
+        lambda df: op.filter_subject(df, "subject", "events.click.>", "events.view.>"),
+        lambda df: op.route_by_expression(df, "store.${!event_type}").select("seq", "route", outcome),
+        path=f"{run}/out", checkpoint=f"{run}/checkpoint", by="outcome",
+    ).awaitTermination()
+    return read_sink(spark, f"{run}/out").select("seq", "route", "outcome")
+
+
 @query("stream_flow", ["messages"], """
 select seq, concat('store.', event_type) as route from messages
 where (starts_with(subject, 'events.click.') or starts_with(subject, 'events.view.')) and mq_priority <= 9

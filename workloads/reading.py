@@ -62,9 +62,19 @@ def stream_message_log(spark, sf):
     return read_sink(spark, f"{run}/out").select("msg_id", "seq", us(), "channel", "raw")
 
 
+ARRIVALS, FILES_EACH = 5, 4
+
+
 def events_stream(spark, sf):
-    configure(spark)
-    return src.stream_table(spark, sf, EVENTS_SCHEMA, glob="events.parquet")
+    """The events as a log that arrived in ``ARRIVALS`` lots, in time order; each is a micro-batch."""
+    events = table(spark, sf, "events")
+    us = fn.micros("ts")
+    first, last = events.agg(F.min(us), F.max(us)).first()
+    lot = F.floor((us - first) / ((last - first) // ARRIVALS + 1))
+    folder = new_run_folder(spark, "arrivals")
+    for i in range(ARRIVALS):
+        events.where(lot == i).repartition(FILES_EACH).write.mode("append").parquet(folder)
+    return src.stream_table(spark, folder, EVENTS_SCHEMA, max_files=FILES_EACH)
 
 
 def messages_stream(spark, sf):
@@ -86,6 +96,14 @@ def page_objects(spark, sf):
     return src.page_objects(table(spark, sf, "objects"), 100).select("bucket", "key", "page")
 
 
+@query("page_objects_sliced", ["objects"], """
+select bucket, key, cast((row_number() over (partition by bucket order by key) - 1) // 7 + 1 as bigint) as page
+from objects
+""")
+def page_objects_sliced(spark, sf):
+    return src.page_objects(table(spark, sf, "objects"), 7, rows_per_slice=20).select("bucket", "key", "page")
+
+
 @query("object_messages", ["objects"], """
 select bucket, key, md5(body) as raw_md5,
        concat('doc_id=', doc_id, ';etag=custom-', etag, ';size=', size) as metadata
@@ -117,14 +135,12 @@ select doc_id, json_extract_string(event, '$.source') as source,
 from opened
 """)
 def parse_event_envelope(spark, sf):
-    events, errors = op.parse_event_envelope(table(spark, sf, "envelopes"))
     e = F.col("event")
-    good = events.select(
+    return op.judge_event_envelopes(table(spark, sf, "envelopes")).select(
         "doc_id", e["source"].alias("source"), e["detail_type"].alias("detail_type"), e["region"].alias("region"),
         F.unix_seconds(e["time"]).cast("string").alias("time_s"),
-        F.size(e["resources"]).cast("string").alias("n_resources"),
+        F.when(e.isNotNull(), F.size(e["resources"])).cast("string").alias("n_resources"), "error",
     )
-    return good.unionByName(errors.select("doc_id", "error"), allowMissingColumns=True)
 
 
 @query("generate_triggers", ["messages"], """
@@ -159,11 +175,17 @@ def poll_listing_triggers(spark, sf):
     return polled.select("source", "reference", "size", "etag")
 
 
-@query("file_triggers")
+@query("file_triggers", ["messages"], """
+select distinct 'file' as source, 'route=' || event_type || '.' || qos as folder, true as has_rows from messages
+""")
 def file_triggers(spark, sf):
-    configure(spark)
-    found = src.file_triggers(spark, sf, "*.parquet")
-    return found.select("source", F.substring_index("reference", "/", -1).alias("reference"), "size")
+    """Messages are written by route; each file found there is a trigger, and the routes are those of the messages."""
+    folder = new_run_folder(spark, "found")
+    routed = op.route_by_expression(table(spark, sf, "messages"), "${!event_type}.${!qos}")
+    op.write_routes(routed.select("route", "seq"), folder)
+    found = src.file_triggers(spark, folder, "*.parquet")
+    route = F.element_at(F.split("reference", "/"), -2)
+    return found.select("source", route.alias("folder"), (F.col("size") > 0).alias("has_rows")).distinct()
 
 
 @query("message_context", ["messages"], """

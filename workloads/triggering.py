@@ -8,9 +8,9 @@ from tidewire import functions as fn
 from tidewire import operators as op
 from tidewire import sources as src
 from tidewire.session import new_run_folder
-from tidewire.streaming import read_sink, retrieve_stream, stream_sink
+from tidewire.streaming import read_sink, retrieve_stream
 
-from .reading import EVENT_FIELDS_SQL, EVENTS_SCHEMA, POLLED_SQL, previous_listing, text_map, us
+from .reading import EVENT_FIELDS_SQL, POLLED_SQL, events_stream, previous_listing, text_map, us
 from .registry import query
 from .views import derive, table
 
@@ -195,6 +195,18 @@ def retrieve_strict(spark, sf):
     return rows.select("batch_id", "trigger_id", "key", "size")
 
 
+@query("retrieve_strict_null_batch", ["triggers", "objects"], LOCATED_SQL + """
+, wanted as (select *, case when trigger_id % 3 > 0 then trigger_id // 8 % 50 end as batch_id from located),
+judged as (select w.*, o.doc_id is null as failed from wanted w left join objects o using (bucket, key))
+select batch_id, trigger_id from (
+  select *, max(failed) over (partition by batch_id) as bad from judged) where not bad
+""")
+def retrieve_strict_null_batch(spark, sf):
+    batch = F.when(F.col("trigger_id") % 3 > 0, F.expr("trigger_id div 8 % 50"))
+    rows, _ = op.retrieve_strict(located(spark, sf).withColumn("batch_id", batch), table(spark, sf, "objects"))
+    return rows.select("batch_id", "trigger_id")
+
+
 @query("retrieve_strict_failures", ["triggers", "objects"], LOCATED_SQL + """
 select trigger_id // 8 as batch_id, cast(count(*) as bigint) as n_failed
 from located left join objects using (bucket, key) where doc_id is null group by all
@@ -231,13 +243,13 @@ select trigger_id, bucket, key, md5(body) as body_md5 from located join objects
 where ends_with(key, '.txt')
 """)
 def retrieve_stream_query(spark, sf):
-    objects = table(spark, sf, "objects")
-    events = src.stream_table(spark, sf, EVENTS_SCHEMA, glob="events.parquet")
-    triggers = derive(spark, "triggers", events=events, documents=table(spark, sf, "documents"))
+    triggers = derive(spark, "triggers", events=events_stream(spark, sf), documents=table(spark, sf, "documents"))
     wanted = op.filter_key_affix(op.resolve_location(triggers), suffix=".txt")
-    found = retrieve_stream(wanted, objects).select("trigger_id", "bucket", "key", F.md5("body").alias("body_md5"))
     run = new_run_folder(spark, "retrieve_stream")
-    stream_sink(found, f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    retrieve_stream(
+        wanted, lambda: table(spark, sf, "objects"), f"{run}/out", f"{run}/checkpoint",
+        lambda df: df.select("trigger_id", "bucket", "key", F.md5("body").alias("body_md5")),
+    ).awaitTermination()
     return read_sink(spark, f"{run}/out")
 
 
@@ -274,6 +286,13 @@ def order_triggers(spark, sf):
     return op.order_triggers(table(spark, sf, "triggers")).select("rank", "trigger_id", "source")
 
 
+@query("order_triggers_sliced", ["triggers"], """
+select cast(row_number() over (order by ts, trigger_id) as bigint) as rank, trigger_id, source from triggers
+""")
+def order_triggers_sliced(spark, sf):
+    return op.order_triggers(table(spark, sf, "triggers"), rows_per_slice=700).select("rank", "trigger_id", "source")
+
+
 @query("expire_triggers", ["triggers"], """
 select trigger_id, epoch_us(ts) as ts_us from triggers
 where ts >= timestamp '2024-01-25 00:00:00' - interval '864000' second
