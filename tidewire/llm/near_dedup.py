@@ -6,11 +6,12 @@ rows of a band share a bucket. ``bands_for`` chooses so many bands that a pair a
 below 1e-6.
 
 Pairs within a bucket are not listed. In each round every bucket picks one centre at random (by a hash of the round), and
-every member that is not yet in the centre's component is tried against one centre, the one it meets in most buckets.
+every member that is not yet in the centre's component is tried against the ``TRIES`` centres it meets in most buckets.
 Tried pairs are estimated by their signatures, those that may be links confirmed on the full shingle sets, and links joined
-into components by alternating large-star and small-star. Rounds go on while the pairs of members in different components
-outnumber the bucket entries; those that are left in the end, which rounds cannot rule out, are all tried. So every pair that
-shares a bucket is either in one component or was compared: no link is lost, and work follows the number of entries.
+into components by alternating large-star and small-star. After ``ROUNDS`` rounds most buckets lie in one component and are
+done. Members of the others are compared by signature across components, in blocks of bounded size, and a pair is only
+written where it may be a link, in the first bucket the two share. So every pair that shares a bucket is in one component or
+was compared, and no link is lost.
 
 Words are cut at ASCII white space; A-Z are lower-cased. With fewer than five words the whole sequence is the one shingle.
 Null texts and texts without words have an empty set and are linked with nothing. Rows with one key are one document; a null
@@ -23,6 +24,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -37,8 +39,11 @@ from .components import components, stored
 
 WORDS = 5
 MISSED = 1e-6
-ROUNDS = 6
-SURE = 5.0  # standard errors an estimate may lie below the threshold
+ROUNDS = 2
+TRIES = 6
+SIGNATURE = 704  # minima kept at least, for the estimates
+SURE = 4.5  # standard errors an estimate may lie below the threshold
+BLOCK = 1_024
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SKETCH = pa.struct([("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.binary())])
 
@@ -133,13 +138,56 @@ def shared_shingles(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa
         yield pa.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in sets], type=pa.int64())
 
 
+def _comparer(n_bands: int, rows: int, least: int, percent: int) -> Callable:
+    """Pairs of one group (consecutive rows, two blocks of a bucket) that may be links and first meet in its band."""
+
+    def pairs(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        rep, comp, n = (group[c].to_numpy() for c in ("rep", "comp", "n"))
+        low, high, band = group["low"].to_numpy(), group["high"].to_numpy(), group["band"].iat[0]
+        sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(group), -1)
+        bands = sig[:, :n_bands * rows].reshape(len(group), n_bands, rows)
+        for at in range(0, len(group), 32):
+            i, j = np.nonzero(
+                (comp[at:at + 32, None] != comp) & (rep[at:at + 32, None] != rep)
+                & np.where(low[at:at + 32, None] & high[at:at + 32, None], rep[at:at + 32, None] < rep, low[at:at + 32, None] & ~low)
+                & (np.minimum(n[at:at + 32, None], n) * 100 >= percent * np.maximum(n[at:at + 32, None], n)))
+            i += at
+            for part in range(0, len(i), 16_384):
+                a, b = i[part:part + 16_384], j[part:part + 16_384]
+                likely = (sig[a] == sig[b]).sum(axis=1) >= least
+                a, b = a[likely], b[likely]
+                first = (bands[a] == bands[b]).all(axis=2).argmax(axis=1) == band
+                a, b = rep[a[first]], rep[b[first]]
+                if len(a):
+                    yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            group = batch["group"].to_numpy()
+            cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if held and held[0]["group"].iat[0] != group[start]:
+                    yield from pairs(pd.concat(held))
+                    held = []
+                held.append(batch[start:stop])
+        if held:
+            yield from pairs(pd.concat(held))
+
+    return compare
+
+
 class _Search:
     """The tables of one run: classes (rep, n, sig), bucket entries (bucket, rep), shingle sets (rep, shingles)."""
 
     def __init__(self, docs: DataFrame, key: str, text: str, percent: int, rows: int):
         self.folder = new_run_folder(docs.sparkSession, "near")
         self.percent, self.n_bands = percent, bands_for(percent, rows)
-        self.n_hashes = self.n_bands * rows
+        self.n_hashes, self.rows = max(self.n_bands * rows, SIGNATURE), rows
+        t = percent / 100
+        self.least = math.floor(self.n_hashes * (t - SURE * math.sqrt(t * (1 - t) / self.n_hashes)))
         texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         sketched = texts.select("key", sketcher(self.n_hashes)(F.col("text")).alias("s")).select("key", "s.*")
         self.sketches = stored(sketched, self.folder, "sketches")
@@ -147,9 +195,9 @@ class _Search:
         self.reps = linked.groupBy("h1", "h2").agg(F.min("key").alias("rep"))
         first = linked.withColumnRenamed("key", "rep").join(self.reps, ["h1", "h2", "rep"], "left_semi")
         self.classes = stored(first.dropDuplicates(["rep", "h1", "h2"]).select("rep", "n", "sig"), self.folder, "classes")
-        band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.n_bands - 1)), lambda k: F.xxhash64(
-            k, F.substring(F.col("sig"), k * rows + 1, F.lit(rows)))))
-        entries = self.classes.select("rep", band.alias("bucket"))
+        hashes = F.transform(F.sequence(F.lit(0), F.lit(self.n_bands - 1)), lambda k: F.xxhash64(
+            k, F.substring(F.col("sig"), k * rows + 1, F.lit(rows))))
+        entries = self.classes.select("rep", F.posexplode(hashes).alias("band", "bucket"))
         shared = entries.groupBy("bucket").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y")
         self.entries = stored(entries.join(shared, "bucket", "left_semi"), self.folder, "entries")
         self.n_entries = self.entries.count()
@@ -165,13 +213,7 @@ class _Search:
         if self.labels is None:
             return self.entries.withColumn("comp", F.col("rep"))
         joined = self.entries.join(self.labels, "rep", "left")
-        return joined.select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
-
-    def crossing(self) -> int:
-        """How many pairs of entries of one bucket are in different components."""
-        sizes = self.labelled().groupBy("bucket", "comp").agg(F.count(F.lit(1)).cast("double").alias("m"))
-        total = sizes.groupBy("bucket").agg((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))).alias("p"))
-        return int(total.agg(F.sum("p")).first()[0] or 0) // 2
+        return joined.select("bucket", "band", "rep", F.coalesce("comp", "rep").alias("comp"))
 
     def star_pairs(self) -> DataFrame:
         entries = stored(self.labelled(), self.folder, f"labelled-{self.round}")
@@ -182,14 +224,30 @@ class _Search:
         met = entries.join(centre, "bucket").where("comp <> centre_comp")
         met = self.untried(met.groupBy(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"), "rep").agg(
             F.count(F.lit(1)).alias("times")))
-        best = met.groupBy("rep").agg(F.max(F.struct("times", "a", "b")).alias("p"))
-        return best.select("p.a", "p.b").distinct()
+        # a member has one centre in each of its buckets, so at most as many as there are bands
+        best = met.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("times", "a", "b")), asc=False).alias("p"))
+        return best.select(F.explode(F.slice("p", 1, TRIES)).alias("p")).select("p.a", "p.b").distinct()
+
+    def open_pairs(self) -> DataFrame:
+        """All pairs that share a bucket, are in different components, and may be links by their signatures.
 
-    def all_pairs(self) -> DataFrame:
+        A bucket of m members is cut into blocks; a task sees two blocks at a time.
+        """
         entries = stored(self.labelled(), self.folder, f"labelled-{self.round}")
-        other = entries.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("other"))
-        pairs = entries.withColumnRenamed("rep", "a").join(other, "bucket").where("a < b and comp <> other")
-        return self.untried(pairs.select("a", "b").distinct())
+        mixed = entries.groupBy("bucket").agg(
+            F.min("comp").alias("x"), F.max("comp").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")
+        ).where("x <> y").select("bucket", "blocks")
+        members = entries.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        members = members.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+        lo, hi = F.least("block", "other"), F.greatest("block", "other")
+        dealt = members.select(
+            F.xxhash64("bucket", lo, hi).alias("group"), "band", "rep", "comp", (F.col("block") == lo).alias("low"),
+            (F.col("block") == hi).alias("high"))
+        full = dealt.join(self.classes, "rep").repartition("group").sortWithinPartitions("group", "rep")
+        kind = self.classes.schema["rep"].dataType.simpleString()
+        found = full.select("group", "band", "rep", "comp", "low", "high", "n", "sig").mapInPandas(
+            _comparer(self.n_bands, self.rows, self.least, self.percent), f"a {kind}, b {kind}")
+        return self.untried(found.distinct())
 
     def untried(self, pairs: DataFrame) -> DataFrame:
         return pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti")
@@ -198,16 +256,13 @@ class _Search:
         """Compare pairs of classes, add the links to the components, and return how many links there were."""
         pairs = stored(pairs, self.folder, f"pairs-{self.round}")
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        t = self.percent / 100
-        least = math.floor(self.n_hashes * (t - SURE * math.sqrt(t * (1 - t) / self.n_hashes)))
-
         def beside(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
             for side in ("a", "b"):
                 df = df.join(table.select(F.col("rep").alias(side), F.col(column).alias(f"{column}_{side}")), side)
             return df
 
         guessed = bind(beside(pairs, self.classes, "sig"), "equal", equal_bytes("sig_a", "sig_b"))
-        likely = stored(guessed.where(F.col("equal") >= least).select("a", "b").distinct(), self.folder, f"likely-{self.round}")
+        likely = stored(guessed.where(F.col("equal") >= self.least).select("a", "b").distinct(), self.folder, f"likely-{self.round}")
         shared = bind(beside(likely, self.sets, "shingles"), "shared", shared_shingles("shingles_a", "shingles_b"))
         union = (F.length("shingles_a") + F.length("shingles_b")) / 8 - F.col("shared")
         links = stored(shared.where(F.col("shared") * 100 >= union * self.percent).select("a", "b"), self.folder, f"links-{self.round}")
@@ -236,9 +291,7 @@ class _Search:
             return
         for _ in range(ROUNDS):
             self.try_pairs(self.star_pairs())
-            if self.crossing() <= self.n_entries:
-                break
-        self.try_pairs(self.all_pairs())
+        self.try_pairs(self.open_pairs())
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
