@@ -252,8 +252,11 @@ class _Search:
     def untried(self, pairs: DataFrame) -> DataFrame:
         return pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti")
 
-    def try_pairs(self, pairs: DataFrame) -> int:
-        """Compare pairs of classes, add the links to the components, and return how many links there were."""
+    def try_pairs(self, pairs: DataFrame, estimated: bool = False) -> int:
+        """Compare pairs of classes, add the links to the components, and return how many links there were.
+
+        ``estimated``: their signatures have been compared already.
+        """
         pairs = stored(pairs, self.folder, f"pairs-{self.round}")
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
         def beside(df: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -261,8 +264,11 @@ class _Search:
                 df = df.join(table.select(F.col("rep").alias(side), F.col(column).alias(f"{column}_{side}")), side)
             return df
 
-        guessed = bind(beside(pairs, self.classes, "sig"), "equal", equal_bytes("sig_a", "sig_b"))
-        likely = stored(guessed.where(F.col("equal") >= self.least).select("a", "b").distinct(), self.folder, f"likely-{self.round}")
+        likely = pairs
+        if not estimated:
+            guessed = bind(beside(pairs, self.classes, "sig"), "equal", equal_bytes("sig_a", "sig_b"))
+            likely = guessed.where(F.col("equal") >= self.least).select("a", "b").distinct()
+            likely = stored(likely, self.folder, f"likely-{self.round}")
         shared = bind(beside(likely, self.sets, "shingles"), "shared", shared_shingles("shingles_a", "shingles_b"))
         union = (F.length("shingles_a") + F.length("shingles_b")) / 8 - F.col("shared")
         links = stored(shared.where(F.col("shared") * 100 >= union * self.percent).select("a", "b"), self.folder, f"links-{self.round}")
@@ -291,7 +297,7 @@ class _Search:
             return
         for _ in range(ROUNDS):
             self.try_pairs(self.star_pairs())
-        self.try_pairs(self.open_pairs())
+        self.try_pairs(self.open_pairs(), estimated=True)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
