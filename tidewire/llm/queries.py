@@ -109,7 +109,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = order_minhash.with_next(order_minhash.fingerprints(docs), "doc_id", ["text", "fingerprint"])
+    own = order_minhash.with_next(docs, "doc_id", ["text"], computed={"fingerprint": lambda row: order_minhash.fingerprint(row["text"])})
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = own.withColumn("n_chars", n.cast("bigint")).withColumn(
