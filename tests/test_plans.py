@@ -4,9 +4,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tidewire import operators as op
 from tidewire.plans import numbered
+from workloads.catalog import QUERIES
 from workloads.triggering import located
 from workloads.views import table
 
@@ -17,7 +17,7 @@ def physical(df) -> str:
 
 
 def test_body_is_not_read_unless_used(spark, sf):
-    plan = physical(queries()["retrieved_routes"](spark, sf))
+    plan = physical(QUERIES["retrieved_routes"](spark, sf))
     assert "text:string" not in plan and "html:string" not in plan
     fetched = op.retrieve_lenient(located(spark, sf), table(spark, sf, "objects")).select("trigger_id", "body")
     assert "text:string" in physical(fetched)
@@ -38,19 +38,19 @@ def test_filter_after_retrieval_also_moves_below_the_join(spark, sf):
 
 def test_expiry_and_policy_reach_the_scan(spark, sf):
     for name in ("expire_triggers",):
-        assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", physical(queries()[name](spark, sf)))
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", physical(QUERIES[name](spark, sf)))
     new = op.deliver_policy(table(spark, sf, "messages"), "new", F.lit("2024-01-15").cast("timestamp_ntz"))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(ts", physical(new))
 
 
 def test_top_rows_per_group_are_cut_before_the_shuffle(spark, sf):
     for name in ("dedupe_triggers", "limit_batch", "retained_last_value", "dedupe_by_message_id_forever"):
-        plan = physical(queries()[name](spark, sf))
+        plan = physical(QUERIES[name](spark, sf))
         assert re.search(r"Exchange hashpartitioning(?s:.*?)WindowGroupLimit [^\n]*Partial", plan), name
 
 
 def test_no_products(spark, sf):
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_") or name == "retrieve_stream":
             continue  # run as streams
         plan = physical(fn(spark, sf))
@@ -76,8 +76,9 @@ def test_wide_rows_are_shuffled_once(spark, sf):
 
 
 def test_expressions_stay_in_the_jvm(spark, sf):
-    python = {"batch_by_count_or_time", "dedupe_by_message_id", "apply_processor_arrow"}
-    for name, fn in queries().items():
+    python = {"apply_processor_arrow"} | {
+        f"{name}{form}" for name in ("batch_by_count_or_time", "dedupe_by_message_id") for form in ("", "_sliced")}
+    for name, fn in QUERIES.items():
         if name.startswith("stream_") or name == "retrieve_stream":
             continue
         plan = physical(fn(spark, sf))
@@ -111,3 +112,16 @@ def test_hot_location_is_split_in_the_join(spark, sf):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
+def test_payloads_do_not_pass_through_python(spark, sf):
+    messages = table(spark, sf, "messages").select("queue", "seq", "ts", "raw")
+    plan = physical(op.batch_by_count_or_time(messages, ["queue"], ["seq"], "ts", 3))
+    (line,) = [x for x in plan.splitlines() if "MapInArrow" in x]
+    assert "raw" not in line
+
+
+def test_nothing_is_broadcast_by_force(spark, sf):
+    for name in ("order_triggers_sliced", "consumer_lag_sliced", "dedupe_by_message_id_sliced"):
+        text = QUERIES[name](spark, sf)._jdf.queryExecution().toString()
+        assert "ResolvedHint" not in text and "strategy=broadcast" not in text

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +37,9 @@ def set_metadata(metadata: Column | str, key: str, value: Column) -> Column:
 
 def _check_pattern(pattern: str) -> None:
     """A bad pattern fails while the query is built, by the rules of the engine that will run it."""
-    from py4j.protocol import Py4JJavaError
-
     try:
         SparkSession.active()._jvm.java.util.regex.Pattern.compile(pattern)
-    except Py4JJavaError as error:
+    except IllegalArgumentException as error:
         raise ValueError(f"bad pattern: {pattern!r}") from error
 
 

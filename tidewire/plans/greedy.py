@@ -91,9 +91,13 @@ def _assign(
     rows = Window.partitionBy(*place[:2]).orderBy(*place[2:])
     # the window leaves the rows in this order already; saying so costs nothing and makes it certain
     placed = entered.withColumn("_row", F.row_number().over(rows)).sortWithinPartitions(*place)
-    placed = placed.select(*df.columns, "_us", "_row", *NOTHING_OPEN)
-    schema = T.StructType([*df.schema.fields, _long("batch_no"), _long("batch_idx")])
-    return placed.mapInArrow(_assigner(limit, wait, only_first), schema)
+    # times and places go through Arrow, the messages do not: they meet again in the same partitioning
+    names = [cut.schema["_group"], cut.schema["_slice"], T.StructField("_row", T.IntegerType())]
+    schema = T.StructType([*names, _long("batch_no"), _long("batch_idx")])
+    narrow = placed.select("_group", "_slice", "_row", "_us", *NOTHING_OPEN)
+    assigned = narrow.mapInArrow(_assigner(limit, wait, only_first), schema)
+    joined = placed.drop("batch_no", "batch_idx").join(assigned, ["_group", "_slice", "_row"])
+    return joined.select(*[c for c in df.columns if c not in ("batch_no", "batch_idx")], "batch_no", "batch_idx")
 
 
 def _long(name: str) -> T.StructField:
@@ -102,6 +106,7 @@ def _long(name: str) -> T.StructField:
 
 def _assigner(limit: int, wait: int, only_first: bool):
     state_columns = ["_us", "_row", *NOTHING_OPEN]
+    kept_columns = ["_group", "_slice", "_row"]
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, count, batch = 0, 0, -1
@@ -130,7 +135,7 @@ def _assigner(limit: int, wait: int, only_first: bool):
                     batch_idx[at:at + taken] = np.arange(count, count + taken)
                     count += taken
                     at += taken
-            kept = [i for i, name in enumerate(rb.schema.names) if name not in state_columns]
+            kept = [rb.schema.get_field_index(name) for name in kept_columns]
             out = pa.RecordBatch.from_arrays(
                 [rb.column(i) for i in kept] + [pa.array(batch_no), pa.array(batch_idx)],
                 names=[rb.schema.names[i] for i in kept] + ["batch_no", "batch_idx"],

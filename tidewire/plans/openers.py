@@ -41,11 +41,11 @@ def accepted_times(hot: DataFrame, bounds: Sequence, window_us: int) -> DataFram
         return spark.read.parquet(f"{folder}/{name}")
 
     times = written(hot.select(*KEY).distinct(), "times")
-    # one row per hot group, of which there are few by definition
+    # one row per hot group
     starts = written(times.groupBy("_group").agg(F.min("_us").alias("_start"), F.max("_us").alias("_end")), "starts")
     longest = starts.agg(F.max(F.expr("_end - _start"))).head()[0] or 0
 
-    successors = _successors(times, bounds, window_us).join(F.broadcast(starts.drop("_end")), ["_group"])
+    successors = _successors(times, bounds, window_us).join(starts.drop("_end"), ["_group"])
     levels = [written(successors, "level-0")]
     while (window_us << len(levels)) <= longest:
         levels.append(written(_doubled(levels[-1], window_us << (len(levels) - 1)), f"level-{len(levels)}"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import micros
+from ..session import new_run_folder
 from .binding import bind
 
 ROWS_PER_SLICE = 1_000_000
@@ -63,24 +64,25 @@ def cut_hot_groups(
     """``df`` with ``_group``, ``_hot`` and ``_slice``, and the split points; ``None`` when no group has more rows than a
     slice.
 
-    Counts the groups first. At most rows / ``rows_per_slice`` of them can be hot, so their names are few enough to
-    send to every task; all other groups are one slice.
+    Counts the groups first. The names of the hot ones stay a table; all other groups are one slice.
     """
     per_slice = rows_per_slice or ROWS_PER_SLICE
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > per_slice).collect()
-    if not hot:
+    hot = counts.where(F.col("_rows") > per_slice)
+    rows = hot.agg(F.sum("_rows")).first()[0]
+    if not rows:
         return None
     # a struct is never null itself, so a null channel is a group like any other, in windows and joins
     if by:
         grouped = df.withColumn("_group", F.struct(*[F.col(c) for c in by]))
-        names = T.StructType([T.StructField("_group", T.StructType([df.schema[c] for c in by]))])
-        named = df.sparkSession.createDataFrame([(tuple(r[c] for c in by),) for r in hot], names)
-        flagged = grouped.join(F.broadcast(named.withColumn("_hot", F.lit(True))), ["_group"], "left")
+        # written, so that its size is known: Spark sends it to the tasks if it is small, and shuffles it if not
+        folder = new_run_folder(df.sparkSession, "hot")
+        hot.select(F.struct(*[F.col(c) for c in by]).alias("_group"), F.lit(True).alias("_hot")).write.parquet(folder)
+        flagged = grouped.join(df.sparkSession.read.parquet(folder), ["_group"], "left")
     else:
         flagged = df.withColumns({"_group": F.struct(F.lit(0)), "_hot": F.lit(True)})
     flagged = flagged.withColumn("_hot", F.col("_hot").isNotNull())
-    bounds = slice_bounds(flagged.where("_hot"), key, sum(r["_rows"] for r in hot), per_slice)
+    bounds = slice_bounds(flagged.where("_hot"), key, rows, per_slice)
     return bind(flagged, "_slice", F.when(F.col("_hot"), slice_of(key, bounds)).otherwise(0)), bounds
 
 
