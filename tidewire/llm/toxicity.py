@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -107,31 +106,41 @@ def _aggregate(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.column_stack([most, np.log1p(total), np.minimum(total / lengths * 20, 1)])
 
 
-def _telling(names_in: Sequence[set[str]], y: np.ndarray) -> set[str]:
-    """Features that mark toxic documents, chosen greedily: each explains ``NEW_DOCS`` or more toxic documents that the ones
-    before it leave unexplained, and all but a few of the documents it stands in are toxic. A word that merely keeps
-    company with a marked one explains nothing new and is not chosen."""
-    clean_in = Counter(n for here, label in zip(names_in, y) if not label for n in here)
-    toxic_in: dict[str, list[int]] = {}
-    for i in np.flatnonzero(y):
-        for n in names_in[i]:
-            toxic_in.setdefault(n, []).append(int(i))
-    share, open_docs, chosen = y.mean(), set(np.flatnonzero(y).tolist()), set()
-    heap = [(-len(d), n) for n, d in toxic_in.items() if len(d) >= PURITY * (len(d) + clean_in[n])]
+def _telling(marks_in: Sequence[np.ndarray], y: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` features mark toxic documents, chosen greedily: each explains ``NEW_DOCS`` or more toxic documents that
+    the ones before it leave unexplained, and all but a few of the documents it stands in are toxic. A word that merely
+    keeps company with a marked one explains nothing new and is not chosen."""
+    toxic = np.flatnonzero(y)
+    clean_in = np.bincount(np.concatenate([marks_in[i] for i in np.flatnonzero(y == 0)]), minlength=n)
+    marks = np.concatenate([marks_in[i] for i in toxic])
+    order = np.argsort(marks, kind="stable")
+    docs = np.repeat(toxic, [len(marks_in[i]) for i in toxic])[order]
+    ends = np.cumsum(np.bincount(marks, minlength=n))
+    sizes = np.diff(ends, prepend=0)
+    share, open_docs, chosen = y.mean(), y > 0, np.zeros(n, bool)
+    pure = (sizes > 0) & (sizes >= PURITY * (sizes + clean_in))
+    heap = [(-int(sizes[m]), int(m)) for m in np.flatnonzero(pure & (sizes >= NEW_DOCS))]
     heapq.heapify(heap)
     while heap:
-        gain, n = heapq.heappop(heap)
-        fresh = [i for i in toxic_in[n] if i in open_docs]
-        if heap and len(fresh) < -heap[0][0] and len(fresh) < -gain:
-            heapq.heappush(heap, (-len(fresh), n))  # its gain has shrunk meanwhile
+        gain, m = heapq.heappop(heap)
+        here = docs[ends[m] - sizes[m]:ends[m]]
+        fresh = int(open_docs[here].sum())
+        if heap and fresh < -heap[0][0] and fresh < -gain:
+            heapq.heappush(heap, (-fresh, m))  # its gain has shrunk meanwhile
             continue
-        if len(fresh) < NEW_DOCS or -len(fresh) * np.log(share) < EVIDENCE:
+        if fresh < NEW_DOCS or -fresh * np.log(share) < EVIDENCE:
             break
-        chosen.add(n)
-        open_docs.difference_update(fresh)
-    # words that alone would have been chosen, had their documents not been explained already
-    return chosen | {n for n, d in toxic_in.items() if len(d) >= PURITY * (len(d) + clean_in[n]) and len(d) >= 0.02 * y.sum()
-                     and -len(d) * np.log(share) > 3 * EVIDENCE}
+        chosen[m] = True
+        open_docs[here] = False
+    # features that alone would have been chosen, had their documents not been explained already
+    return chosen | (pure & (sizes >= 0.02 * y.sum()) & (-sizes * np.log(share) > 3 * EVIDENCE))
+
+
+def _marks(words: Sequence[str]) -> tuple[np.ndarray, int]:
+    """Numbers of the features of each word that can mark a document (0 for none), and how many numbers there are."""
+    names = [[xxhash.xxh64_intdigest(n) | 1 if len(n) > 3 else 0 for n in word_names(w)[:WIDTH - 1]] for w in words]
+    distinct, marks = np.unique(np.array([[0] * (WIDTH - 1), *names], dtype=np.uint64), return_inverse=True)
+    return marks.reshape(-1, WIDTH - 1)[1:].astype(np.int32), len(distinct)
 
 
 def fit_toxicity(rows: Sequence[tuple[str, int]], rounds: int = 40) -> Toxicity:
@@ -140,17 +149,20 @@ def fit_toxicity(rows: Sequence[tuple[str, int]], rounds: int = 40) -> Toxicity:
     y = np.array([label for _, label in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Toxicity(None, None, float(y.mean()) if len(y) else 0.0)
-    words = [text.split() for text, _ in rows]
-    kinds = {w: i for i, w in enumerate(dict.fromkeys(w for row in words for w in row))}
-    names, features = [word_names(w) for w in kinds], word_features(list(kinds))
-    names_in = [{n for w in set(row) for n in names[kinds[w]][:WIDTH - 1] if len(n) > 3} for row in words]
-    telling = _telling(names_in, y)
-    is_telling = np.array([any(n in telling for n in row[:WIDTH - 1]) for row in names], dtype=bool)
+    kinds: dict[str, int] = {}
+    words = [np.array([kinds.setdefault(w, len(kinds)) for w in text.split()], dtype=np.int64) for text, _ in rows]
+    if not kinds:
+        return Toxicity(None, None, float(y.mean()))
+    features = word_features(list(kinds))
+    marks, n = _marks(list(kinds))
+    telling = _telling([np.setdiff1d(marks[row], [0]) for row in words], y, n)
+    telling[0] = False
+    is_telling = telling[marks].any(axis=1)
     # the tagger learns from as many clean documents as toxic ones
     fitted = np.sort(np.concatenate([np.flatnonzero(y == 1), np.flatnonzero(y == 0)[:int((y == 1).sum())]]))
     words, y, share = [words[i] for i in fitted], y[fitted], y.mean()
     lengths = np.array([len(r) for r in words], dtype=np.int64)
-    items = np.array([kinds[w] for row in words for w in row], dtype=np.int64)
+    items = np.concatenate(words)
     labels = (is_telling[items] & (np.repeat(y, lengths) > 0)).astype(np.int8) if len(items) else np.zeros(0, np.int8)
     full = lengths > 0
     model = Toxicity(crf.fit(features, items, lengths[full], labels, N_FEATURES, rounds=rounds), None, float(share))
