@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -21,6 +23,16 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers that start from now on find this package where the driver has it. On a cluster that does not share
+    the folder, ship the package with ``--py-files``; the entry is of no effect there."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """The batch's texts; a null is an empty text."""
     return [text or "" for text in column.to_pylist()]

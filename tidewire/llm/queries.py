@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, search, spread_lines, toxicity
-from .arrow import bounded_batches
+from .arrow import bounded_batches, find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     bounded_batches(spark)
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
