@@ -41,8 +41,10 @@ BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside rail widget widgets footer masthead topbar cookie cookies consent gdpr notice notices "
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comments "
-    "comment commentlist disqus respond replies reply pagination pager toolbar hidden".split()
+    "comment commentlist disqus respond replies reply pagination pager toolbar".split()
 )
+STATES = frozenset("has with no without is not".split())  # "has-sidebar" is said of what stands beside one
+OF_CONTENT = frozenset("article post entry content story main title section".split())
 # <p> and the like are closed by the next block
 IMPLIED = {
     "p": BLOCKS - {"br", "button", "option"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
@@ -140,11 +142,20 @@ class LineVisitor(HTMLParser):
                 return True
             if name == "role" and value in ROLES:
                 return True
-            if name in ("class", "id") and value and not BOILERPLATE.isdisjoint(_WORDS.findall(value.lower())):
+            if name in ("class", "id") and value and any(map(self.names_boilerplate, value.lower().split())):
                 return True
         return False
 
 
+    def names_boilerplate(self, token) -> bool:
+        words = _WORDS.findall(token)
+        if not words or words[0] in STATES:
+            return False
+        if "header" in words and not any(part for _, _, part in self.stack[-1:]):
+            return OF_CONTENT.isdisjoint(words)
+        return token == "hidden" or not BOILERPLATE.isdisjoint(words)
+
+
 def smoothed_ratios(lines: list[Line], radius: int = 2) -> np.ndarray:
     """Text-to-tag ratios of the lines, smoothed by a Gaussian of the given radius (its edges are renormalised)."""
     ratios = np.array([len(line.text) / max(1, line.tags) for line in lines])
