@@ -1,4 +1,7 @@
-"""Small literal cases of the message model's rules."""
+"""Small literal cases of the message model's rules.
+
+Fixed values: the messages, names and numbers in these cases are given by the scenarios to be replayed.
+"""
 
 import pytest
 from pyspark.sql import functions as F
