@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, search, spread_lines, toxicity
+from . import byte_bpe, chat, html_text, labelled, near_dedup, order_minhash, packing, quality, search, spread_lines, structure_queries, toxicity
 from .arrow import bounded_batches, find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return search.search(docs, docs.where("doc_id % 50 = 0"), k=10)
+
+
+QUERIES.update(structure_queries.QUERIES)
+ORACLES.update(structure_queries.ORACLES)
