@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.ordering import numbered
-from . import prefix_trie
+from . import merkle, prefix_trie, recompression
 
 # CRC-32 of a text's bytes in DuckDB, bit by bit over the reflected polynomial
 CRC_SQL = """xor(4294967295::ubigint, list_reduce(
@@ -15,6 +15,107 @@ CRC_SQL = """xor(4294967295::ubigint, list_reduce(
         lambda x, z: xor(x >> 1, 3988292384::ubigint * (x & 1::ubigint)))))"""
 
 
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .queries import table
+
+    docs = table(spark, sf_dir, "documents").select(*FIELDS)
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    changed = merkle.record_digest(*["_changed" if c == "n_chars" else c for c in FIELDS])
+    manifest = merkle.build_manifest(
+        docs.withColumn("_changed", F.col("n_chars") + 1), "doc_id", "lang", merkle.record_digest(*FIELDS), F.when(tampered, changed))
+    return merkle.prove(manifest).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+LEAF_SQL = "sha256(concat({}))"
+OP11_SQL = f"""
+with recursive given as (
+  select doc_id, lang, case when doc_id is not null and {CRC_SQL.format("doc_id::varchar")} % 7 = 0 then 1 else 0 end as added,
+         {LEAF_SQL.format(", ".join(map(_field_sql, FIELDS)))} as leaf, source, n_chars, text
+  from documents),
+presented as (
+  select doc_id, lang, leaf, {LEAF_SQL.format(", ".join(_field_sql("(n_chars + added)" if c == "n_chars" else c) for c in FIELDS))} as shown
+  from given),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+         count(*) over (partition by lang) as n, row_number() over (order by lang nulls first, doc_id nulls first, leaf) as id
+  from presented),
+nodes(lang, level, place, n, digest) as (
+  select lang, 0, place, n, leaf from leaves
+  union all
+  select lang, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by place))
+  from nodes where n > 1 group by lang, level + 1, place // 2, (n + 1) // 2),
+subroots as (
+  select lang, digest as subroot, row_number() over (order by encode(lang) nulls first) - 1 as place, count(*) over () as n
+  from nodes where n = 1),
+tops(level, place, n, digest) as (
+  select 0, place, n, subroot from subroots
+  union all
+  select level + 1, place // 2, (n + 1) // 2, sha256(string_agg(digest, '' order by place))
+  from tops where n > 1 group by level + 1, place // 2, (n + 1) // 2),
+steps as (  -- the sibling of every node, by tree
+  select a.lang, false as top, a.level, a.place, b.digest as sibling
+  from nodes a left join nodes b on a.lang is not distinct from b.lang and a.level = b.level and b.place = xor(a.place, 1) where a.n > 1
+  union all
+  select null, true, a.level, a.place, b.digest
+  from tops a left join tops b on a.level = b.level and b.place = xor(a.place, 1) where a.n > 1),
+walks(id, lang, top, level, place, folded, proof, digest) as (
+  select id, lang, false, 0, place, shown, '', null from leaves
+  union all
+  select w.id, w.lang, w.top or s.sibling is null and s.level is null,
+         case when s.level is null then 0 else w.level + 1 end,
+         case when s.level is null then r.place else w.place // 2 end,
+         case when s.level is null then w.folded
+              else sha256(case when w.place % 2 = 1 then s.sibling || w.folded else w.folded || coalesce(s.sibling, '') end) end,
+         w.proof || coalesce(s.sibling, ''), null
+  from walks w
+  left join steps s on s.top = w.top and (w.top or s.lang is not distinct from w.lang) and s.level = w.level and s.place = w.place
+  left join subroots r on r.lang is not distinct from w.lang
+  where not (w.top and s.level is null)),
+ended as (
+  select id, folded, proof from walks w
+  where top and not exists (select 1 from steps s where s.top and s.level = w.level and s.place = w.place))
+select l.doc_id, l.leaf, r.subroot, t.digest as root, sha256(e.proof) as proof_sha256, e.folded as folded_root,
+       e.folded = t.digest as verified
+from leaves l join ended e using (id)
+join subroots r on r.lang is not distinct from l.lang
+join tops t on t.n = 1
+"""
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .queries import hex_digest, table
+
+    kept = recompression.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", hex_digest("text").alias("kept_sha256"))
+
+
+OP12_SQL = """
+with texts as (
+  select doc_id, row_number() over (order by doc_id, text) as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+places as (select doc_id, id, words, unnest(range(1, len(words) - 48)) as place from texts where len(words) >= 50),
+windows as (select doc_id, id, place, md5(array_to_string(words[place:place + 49], ' ')) as name from places),
+judged as (select *, min(doc_id) over (partition by name) as least from windows),
+gone as (
+  select id, list_distinct(flatten(list(range(place, place + 50)))) as places from judged where least < doc_id group by id),
+kept as (
+  select t.doc_id, len(t.words) as n_words, coalesce(len(g.places), 0) as n_removed,
+         case when g.places is null then t.words
+              else list_filter(t.words, lambda w, i: not list_contains(g.places, i)) end as words
+  from texts t left join gone g using (id))
+select doc_id, n_words, n_removed::bigint as n_removed, sha256(array_to_string(words, ' ')) as kept_sha256 from kept
+"""
+
+
 def rebuilt_conversations(talks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every conversation c with the first h turns of conversation c - c % 20 in place of its own first h; h = crc32(c) % 4.
 
@@ -90,5 +191,5 @@ select v.node as conv_id, v.depth::bigint as depth, v.parent as parent_conv_id,
 from valued v join totals t using (node, depth) left join ends e using (node, depth)
 """
 
-QUERIES = {"op13_prefix_trie": op13_prefix_trie}
-ORACLES = {"op13_prefix_trie": OP13_SQL}
+QUERIES = {"op11_merkle_manifest": op11_merkle_manifest, "op12_substring_dedup": op12_substring_dedup, "op13_prefix_trie": op13_prefix_trie}
+ORACLES = {"op11_merkle_manifest": OP11_SQL, "op12_substring_dedup": OP12_SQL, "op13_prefix_trie": OP13_SQL}
