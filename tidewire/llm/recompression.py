@@ -58,7 +58,7 @@ def words_of(text: str) -> list[bytes]:
 def _round(kind: str, number: int, names: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Where the symbols of the next round start, their names, and (pair rounds) which of the present ones are right ones."""
     same_doc = doc[1:] == doc[:-1]
-    salt = np.uint64(2 * number + 1) * MIX
+    salt = np.uint64((2 * number + 1) * int(MIX) & 0xFFFFFFFFFFFFFFFF)
     head = np.ones(len(names), dtype=bool)
     if kind == "r":
         head[1:] = ~((names[1:] == names[:-1]) & same_doc)
@@ -303,7 +303,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text:
     named ``n_words`` or ``n_removed`` are replaced, other names do not matter.
     """
     number = F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY))
-    named = docs.select(number.alias("_key"), F.xxhash64(text).alias("_row"), F.struct(*docs.columns).alias("_doc"))
+    named = docs.select(number.alias("_key"), F.xxhash64(key, text).alias("_row"), F.struct(*docs.columns).alias("_doc"))
     keys = "_key bigint, _row bigint"
 
     names = named.mapInArrow(_name_asker(window, text), f"name bigint, {keys}, known array<bigint>")
