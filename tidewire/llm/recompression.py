@@ -182,6 +182,7 @@ def _name_asker(window: int, text: str) -> Callable:
                 yield rows(_mixed(portion.row[own].view(np.uint64)), own, _lists(names[mine].view(np.int64), starts, pa.int64()), portion)
                 hot = np.unique(np.concatenate([hot[-HOT_NAMES:], names[told]]))
             asked = np.concatenate([np.flatnonzero(~known), told])
+            asked = asked[np.argsort(doc[asked], kind="stable")]  # a document's rows together: they compress
             yield rows(names[asked], doc[asked], None, portion)
 
     return ask
@@ -264,7 +265,9 @@ def _window_asker(window: int, text: str) -> Callable:
             starts = np.flatnonzero(once)
             extra = np.flatnonzero(~once)
             more = _lists(place[extra], np.searchsorted(extra, starts), pa.int32())
-            yield rows(s1[starts], s2[starts], doc[starts], pa.array(place[starts]), more, portion)
+            by = np.lexsort((place[starts], doc[starts]))  # a document's rows together: they compress
+            starts = starts[by]
+            yield rows(s1[starts], s2[starts], doc[starts], pa.array(place[starts]), more.take(pa.array(by)), portion)
 
     return ask
 

@@ -100,13 +100,13 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = """
 with texts as (
-  select doc_id, row_number() over (order by doc_id, text) as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+  select doc_id, coalesce(doc_id, -9223372036854775808) as key, row_number() over () as id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
   from documents),
-places as (select doc_id, id, words, unnest(range(1, len(words) - 48)) as place from texts where len(words) >= 50),
-windows as (select doc_id, id, place, md5(array_to_string(words[place:place + 49], ' ')) as name from places),
-judged as (select *, min(doc_id) over (partition by name) as least from windows),
+places as (select key, id, words, unnest(range(1, len(words) - 48)) as place from texts where len(words) >= 50),
+windows as (select key, id, place, md5(array_to_string(words[place:place + 49], ' ')) as name from places),
+judged as (select *, min(key) over (partition by name) as least from windows),
 gone as (
-  select id, list_distinct(flatten(list(range(place, place + 50)))) as places from judged where least < doc_id group by id),
+  select id, list_distinct(flatten(list(range(place, place + 50)))) as places from judged where least < key group by id),
 kept as (
   select t.doc_id, len(t.words) as n_words, coalesce(len(g.places), 0) as n_removed,
          case when g.places is null then t.words
