@@ -1,12 +1,24 @@
 """Inputs the fixtures lack: null keys and times, odd windows, odd texts, objects that land later."""
 
+import time
+
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewire import functions as fn
 from tidewire import operators as op
 from tidewire import sources as src
-from tidewire.streaming import open_batches, read_sink, retrieve_stream, stream_batcher
+from tidewire.streaming import flow, open_batches, read_sink, retrieve_stream, stream_batcher, stream_dedupe, stream_redelivery, stream_sink
+
+
+@pytest.fixture
+def few_partitions(spark):
+    """State of a handful of keys in two stores."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_batch_policies_with_null_keys(spark):
@@ -116,21 +128,98 @@ def test_objects_that_land_after_the_start(spark, tmp_path):
     assert {(r.id, r.body) for r in read_sink(spark, paths["out"]).collect()} == {(n, f"body{n}") for n in (1, 2, 3)}
 
 
-def test_batches_without_times_are_carried(spark, tmp_path):
+def test_batches_without_times_are_carried(spark, few_partitions, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([("q", 1, None), ("q", 2, None)], "queue string, seq bigint, ts timestamp").write.parquet(folder)
     rows = spark.readStream.schema("queue string, seq bigint, ts timestamp").parquet(folder)
     stream_batcher(rows, ["queue"], "ts", 3, 1000, out, str(tmp_path / "check")).awaitTermination()
-    left = open_batches(spark, out, ["queue"]).orderBy("seq").collect()
+    left = open_batches(spark, str(tmp_path / "check"), ["queue"]).orderBy("seq").collect()
     assert [(r.seq, r.batch_no, r.batch_idx) for r in left] == [(1, 0, 0), (2, 0, 1)]
 
 
-def test_wall_clock_closes_batches(spark, tmp_path):
+def run_until(query, done):
+    """Lets a running stream go on until ``done()``, for two minutes at most, without new input."""
+    try:
+        end = time.monotonic() + 120
+        while not done() and time.monotonic() < end:
+            assert query.exception() is None
+            time.sleep(0.3)
+    finally:
+        query.stop()
+
+
+def emitted(spark, out):
+    def count():
+        try:
+            return read_sink(spark, out).count()
+        except AnalysisException:
+            return 0
+    return count
+
+
+def test_wall_clock_closes_a_quiet_channel(spark, few_partitions, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
-    spark.sql("select 'q' queue, 1L seq, timestamp'2024-01-01' ts").write.parquet(folder)
+    spark.sql("select 'q' queue, 1L seq, current_timestamp() ts").write.parquet(folder)
     rows = spark.readStream.schema("queue string, seq bigint, ts timestamp").parquet(folder)
-    stream_batcher(rows, ["queue"], "ts", 3, 1000, out, str(tmp_path / "check"), now=F.current_timestamp).awaitTermination()
-    assert [r.seq for r in read_sink(spark, out).collect()] == [1]
+    query = stream_batcher(rows, ["queue"], "ts", 3, 1000, out, str(tmp_path / "check"), clock="processing",
+                           trigger={"processingTime": "1 second"})
+    run_until(query, lambda: emitted(spark, out)() >= 1)
+    assert [(r.seq, r.batch_no, r.batch_idx) for r in read_sink(spark, out).collect()] == [(1, 0, 0)]
+
+
+def test_wall_clock_redelivers_without_traffic(spark, few_partitions, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.sql("""select * from values ('c', 1L, 1, 'ack'), ('c', 2L, 1, null), (null, 3L, 3, 'nack'), ('c', 4L, 1, 'none')
+                 as t(consumer, seq, attempt, outcome)""").withColumn("delivered_at", F.current_timestamp()).write.parquet(folder)
+    rows = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    query = stream_redelivery(rows, 1, out, str(tmp_path / "check"), 3, clock="processing", trigger={"processingTime": "1 second"})
+    run_until(query, lambda: emitted(spark, out)() >= 3)
+    got = {(r.consumer, r.seq, r.attempt, r.status) for r in read_sink(spark, out).collect()}
+    assert got == {("c", 2, 2, "due"), (None, 3, 3, "failed"), ("c", 4, 2, "due")}
+
+
+def test_late_acknowledgements_and_attempts(spark, few_partitions, tmp_path):
+    """Deliveries that come in out of order: an acknowledgement before its attempt, one in time, one too late, a late attempt."""
+    folder, out, schema = tmp_path / "in", str(tmp_path / "out"), "consumer string, seq bigint, attempt int, t bigint, outcome string"
+
+    def arrive(name, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(str(folder / name))
+        df = spark.readStream.schema(schema).json(f"{folder}/*").withColumn("delivered_at", F.timestamp_seconds("t"))
+        stream_redelivery(df, 60, out, str(tmp_path / "check")).awaitTermination()
+        return sorted((r.seq, r.attempt) for r in read_sink(spark, out).collect())
+
+    assert arrive("a", ("c", 1, 1, 1000, "ack"), ("c", 2, 1, 1000, None), ("c", 3, 1, 1000, "none")) == []
+    assert arrive("b", ("c", 1, 1, 1000, "none"), ("c", 2, 1, 1000, "ack"), ("c", 9, 1, 1059, "ack")) == []
+    assert arrive("c", ("c", 9, 1, 1060, "ack")) == [(3, 2)]  # 3 is due, 1 and 2 were acknowledged
+    assert arrive("d", ("c", 3, 1, 1000, "ack"), ("c", 4, 1, 900, "none")) == [(3, 2), (4, 2)]  # 3 is out already, 4 at once
+    assert arrive("e", ("c", 2000, 1, 2000, "ack")) == [(3, 2), (4, 2)]
+
+
+def test_state_of_closed_windows_is_dropped(spark, few_partitions, tmp_path):
+    folder, check = tmp_path / "in", str(tmp_path / "check")
+    for name, rows in (("a", [("x", 1, 1000), ("y", 2, 1001), (None, 3, 1001), (None, 4, 1002)]), ("b", [("z", 5, 5000)])):
+        spark.createDataFrame(rows, "id string, seq bigint, t bigint").coalesce(1).write.json(str(folder / name))
+        df = spark.readStream.schema("id string, seq bigint, t bigint").json(f"{folder}/*").withColumn("ts", F.timestamp_seconds("t"))
+        stream_dedupe(df, "id", "ts", 100, str(tmp_path / "out"), check).awaitTermination()
+    assert sorted(r.seq for r in read_sink(spark, str(tmp_path / "out")).collect()) == [1, 2, 3, 5]
+    state = spark.read.format("statestore").option("path", check).option("stateVarName", "opened").load()
+    assert [r.key[0] for r in state.collect()] == ["z"]
+
+
+def test_readers_see_whole_micro_batches_only(spark, few_partitions, tmp_path):
+    out, check, folder = str(tmp_path / "out"), str(tmp_path / "check"), str(tmp_path / "in")
+    spark.sql("select 1L seq, 'sent' outcome union all select 2L, 'dead'").write.parquet(folder)
+    rows = spark.readStream.schema("seq bigint, outcome string").parquet(folder)
+    flow._write_whole(out, "parquet", "outcome", {}, spark.sql("select 7L seq, 'sent' outcome"), 100)
+    # a writer that is still at work, or has died, has a folder that the manifest does not name
+    spark.sql("select 8L seq, 'sent' outcome").write.parquet(f"{out}/{flow.BATCH}=0-dead")
+    assert [r.seq for r in read_sink(spark, out).collect()] == [7]
+    for _ in range(2):  # started again, nothing is taken twice
+        stream_sink(rows, out, check, by="outcome").awaitTermination()
+    assert sorted(r.seq for r in read_sink(spark, out).collect()) == [1, 2, 7]
+    # the crash after the manifest was written and before the query noted its progress: the same micro-batch once more
+    flow._write_whole(out, "parquet", "outcome", {}, spark.sql("select 1L seq, 'sent' outcome"), 0)
+    assert sorted(r.seq for r in read_sink(spark, out).collect()) == [1, 2, 7]
 
 
 def test_timer_stream(spark):

@@ -133,14 +133,16 @@ def redeliver(
 
     A message with no acknowledged attempt becomes due again ``ack_wait_s`` (seconds, or a text such as ``1m30s``) after
     its last attempt, until it has been delivered ``max_deliver`` times; then it has failed. ``max_deliver <= 0`` never gives up. ``due`` carries the
-    number of the next attempt.
+    number of the next attempt. An attempt without an outcome is not acknowledged, one without a delivery time has waited long
+    enough, and a null consumer or message is one like any other.
     """
     latest = deliveries.groupBy("consumer", "seq").agg(
         F.max("attempt").alias("attempt"),
         F.max_by("delivered_at", "attempt").alias("delivered_at"),
-        F.bool_or(F.col("outcome") == "ack").alias("_acked"),
+        F.coalesce(F.bool_or(F.col("outcome") == "ack"), F.lit(False)).alias("_acked"),
     )
     waited = F.col("delivered_at") + F.expr(f"interval {duration_us(ack_wait_s)} microseconds") <= now
+    waited = F.col("delivered_at").isNull() | waited
     open_ = latest.where(~F.col("_acked") & waited).drop("_acked")
     if max_deliver <= 0:
         return open_.withColumn("attempt", F.col("attempt") + 1), open_.where(F.lit(False))
@@ -170,13 +172,14 @@ def resume_durable(
 
     ``offsets`` has one row per consumer: ``durable``, ``acked_seq`` (null before the first acknowledgement) and
     ``created_at``. A durable consumer continues after ``acked_seq``; any other, or one that never acknowledged,
-    starts by the policy: ``all``, ``last``, or ``new`` (the default). A consumer without a row gets nothing.
+    starts by the policy: ``all``, ``last``, or ``new`` (the default). A consumer without a row gets nothing; a
+    null consumer is one like any other.
     """
     known = offsets.select(consumer, F.col("durable").alias("_durable"), F.col("acked_seq").alias("_acked"),
                            F.col("created_at").alias("_created"))
     if default_policy == "last":
         newest = messages.groupBy(consumer).agg(F.max(seq).alias("_newest"))
-        known = known.join(newest, [consumer], "left")
+        known = null_safe_join(known, newest, [consumer], "left")
         start = F.col(seq) == F.col("_newest")
     elif default_policy == "all":
         start = F.lit(True)
@@ -184,4 +187,4 @@ def resume_durable(
         start = F.col(ts) > F.col("_created")
     resumes = F.col("_durable") & F.col("_acked").isNotNull()
     wanted = F.when(resumes, F.col(seq) > F.col("_acked")).otherwise(start)
-    return messages.join(known, [consumer]).where(wanted).select(*messages.columns)
+    return null_safe_join(messages, known, [consumer], "inner").where(wanted).select(*messages.columns)

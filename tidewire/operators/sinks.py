@@ -42,15 +42,21 @@ def publish_fail_fast(df: DataFrame, error: Column, batch: Sequence[str], idx: s
     """Add ``status``: in each batch, messages before the first error are ``sent``, that one ``failed``, the rest
     ``not_attempted``; ``error`` names its place.
 
-    First errors are aggregated on their own and joined back, so a huge batch is never gathered.
+    A message without a place comes after all that have one. Of several messages at the failing place, those with an error
+    ``failed``, the others were ``sent``. First errors are aggregated on their own and joined back, so a huge batch is never gathered.
     """
     judged = df.withColumn("_error", error)
-    first = judged.where(F.col("_error").isNotNull()).groupBy(*batch).agg(F.min(idx).alias("_first"))
+    bad = judged.where(F.col("_error").isNotNull())
+    first = bad.groupBy(*batch).agg(F.lit(True).alias("_stopped"), F.min(idx).alias("_first"))
     joined = null_safe_join(judged, first, batch, "left")
     at, stop = F.col(idx), F.col("_first")
-    status = F.when(stop.isNull() | (at < stop), "sent").when(at == stop, "failed").otherwise("not_attempted")
-    message = F.when(at == stop, F.concat(F.lit("batch #"), at.cast("string"), F.lit(": "), F.col("_error")))
-    return joined.withColumns({"status": status, "error": message}).drop("_error", "_first")
+    before = F.when(stop.isNull(), at.isNotNull()).otherwise(F.coalesce(at < stop, F.lit(False)))
+    here = at.eqNullSafe(stop) & F.col("_stopped").isNotNull()
+    sent = F.col("_stopped").isNull() | before | (here & F.col("_error").isNull())
+    status = F.when(sent, "sent").when(here, "failed").otherwise("not_attempted")
+    place = F.coalesce(at.cast("string"), F.lit("?"))
+    message = F.when(here, F.concat(F.lit("batch #"), place, F.lit(": "), F.col("_error")))
+    return joined.withColumns({"status": status, "error": message}).drop("_error", "_first", "_stopped")
 
 
 def judge_transactions(df: DataFrame, error: Column, batch: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.maps import empty_map, stringify_metadata
 from ..model import SOURCE_FILE, SOURCE_GENERATE, SOURCE_POLLING
+from ..plans.joins import null_safe_join
 
 TICKS_PER_BLOCK = 10_000
 
@@ -51,11 +52,15 @@ def timer_triggers(spark: SparkSession, timer_id: str, every_s: int) -> DataFram
 
 
 def poll_listing_triggers(current: DataFrame, previous: DataFrame, polled_at: Column | None = None) -> DataFrame:
-    """A trigger for each object that is new, or changed, since the previous listing (by bucket, key and etag).
+    """A trigger for each object that is new, or changed, since the previous listing: by bucket, key and etag, or by size and
+    ``modified`` (those that both listings have) where there is no etag. A null bucket or key is one like any other.
 
     Its ``ts`` is ``polled_at``, or else the object's ``modified``; with neither it is null, and rules on age drop it.
     """
-    fresh = current.join(previous.select("bucket", "key", "etag"), ["bucket", "key", "etag"], "left_anti")
+    untagged = [c for c in ("size", "modified") if c in current.columns and c in previous.columns]
+    version = {f"_{c}": F.when(F.col("etag").isNull(), F.col(c)) for c in untagged}
+    same = ["bucket", "key", "etag", *version]
+    fresh = null_safe_join(current.withColumns(version), previous.withColumns(version).select(*same), same, "left_anti")
     stamp = F.col("modified") if "modified" in current.columns else F.lit(None).cast("timestamp")
     stamp = stamp if polled_at is None else polled_at
     return fresh.select(

@@ -1,4 +1,4 @@
-from .carry import open_batches, stream_batcher, stream_dedupe, stream_redelivery
+from .stateful import open_batches, stream_batcher, stream_dedupe, stream_redelivery
 from .flow import read_sink, retrieve_stream, stream_flow, stream_sink
 
 __all__ = [

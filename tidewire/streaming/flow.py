@@ -7,15 +7,19 @@ when started again with the same checkpoint; ``{"processingTime": "1 second"}``
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.retrieval import retrieve_lenient
 
 BATCH = "write_id"
+MANIFEST = "_manifest"
 ONCE = {"availableNow": True}
 Processor = Callable[[DataFrame], DataFrame]
 
@@ -27,21 +31,48 @@ def start(df: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str,
 def stream_sink(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: Mapping | None = None, by: str | None = None
 ) -> StreamingQuery:
-    """Write each micro-batch to its own folder, replacing it: a replayed micro-batch takes effect once.
+    """Write each micro-batch to a folder of its own, and name it in a manifest once it is whole.
+
+    Readers (``read_sink``) take folders from the manifest only, so a micro-batch is seen whole or not at all, all its outcomes at
+    once. A micro-batch that is run again after a crash gets another folder if it had not been named; if it had, it is left as it is.
+    Folders that a crash left unnamed stay unseen.
 
     ``by`` names a column with the outcome of each row (``sent``, ``dead``): one pass then writes a folder per outcome.
     """
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        writer = rows.write.mode("overwrite").format(fmt)
-        (writer.partitionBy(by) if by else writer).save(f"{path}/{BATCH}={batch_id}")
-
-    return start(df, write, checkpoint, trigger)
+    return start(df, partial(_write_whole, path, fmt, by, {}), checkpoint, trigger)
+
+
+def _write_whole(path: str, fmt: str, by: str | None, started: dict, rows: DataFrame, batch_id: int) -> None:
+    spark = rows.sparkSession
+    # only the first micro-batch after a start can have been written before
+    again, started["on"] = not started, True
+    if again and batch_id in {row.batch_id for row in _committed(spark, path).collect()}:
+        return
+    folder = f"{batch_id}-{uuid.uuid4().hex}"
+    writer = rows.write.format(fmt)
+    (writer.partitionBy(by) if by else writer).save(f"{path}/{BATCH}={folder}")
+    # one file, which appears under its name when it is whole
+    entry = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(folder).alias(BATCH))
+    entry.coalesce(1).write.mode("append").json(f"{path}/{MANIFEST}")
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    """(``batch_id``, folder) of the micro-batches that are whole; none before the first."""
+    schema = f"batch_id bigint, {BATCH} string"
+    try:
+        return spark.read.schema(schema).json(f"{path}/{MANIFEST}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_sink(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Everything a ``stream_sink`` has written so far."""
-    return spark.read.format(fmt).load(path).drop(BATCH)
+    """Everything a ``stream_sink`` has committed so far: whole micro-batches, whatever is being written meanwhile."""
+    # the manifest is listed before the folders: what it names is complete by then
+    whole = _committed(spark, path).select(BATCH).distinct()
+    rows = spark.read.format(fmt).load(path)
+    return rows.withColumn(BATCH, F.col(BATCH).cast("string")).join(whole, BATCH, "left_semi").drop(BATCH)
 
 
 def stream_flow(
@@ -68,6 +99,7 @@ def retrieve_stream(
     def run(found: Processor | None, rows: DataFrame, batch_id: int) -> None:
         out = retrieve_lenient(rows, objects())
         out = found(out) if found else out
-        out.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        write(out, batch_id)
 
+    write = partial(_write_whole, path, "parquet", None, {})
     return start(triggers, partial(run, then), checkpoint, trigger)

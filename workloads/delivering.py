@@ -191,6 +191,24 @@ def publish_fail_fast_null_batch(spark, sf):
     return out.select("batch", "batch_idx", "status", "error")
 
 
+@query("publish_fail_fast_null_place", ["messages"], NULL_BATCHES_SQL + """
+, placed as (select * replace (case when batch_idx % 7 > 0 then batch_idx // 2 end as batch_idx), batch_idx as seq from batched),
+firsts as (
+  select *, bool_or(err is not null) over (partition by batch) as stopped,
+         coalesce(batch_idx, 1000000000) as place,
+         min(case when err is not null then coalesce(batch_idx, 1000000000) end) over (partition by batch) as f from placed)
+select batch, seq, case when not stopped or place < f or place = f and err is null then 'sent'
+                        when place = f then 'failed' else 'not_attempted' end as status,
+       case when place = f then 'batch #' || coalesce(batch_idx::varchar, '?') || ': ' || err end as error
+from firsts
+""")
+def publish_fail_fast_null_place(spark, sf):
+    """Two messages share a place, every seventh has none."""
+    place = F.when(F.col("batch_idx") % 7 > 0, F.expr("batch_idx div 2"))
+    placed = null_batches(spark, sf).withColumn("seq", F.col("batch_idx")).withColumn("batch_idx", place)
+    return op.publish_fail_fast(placed, F.col("err"), ["batch"]).select("batch", "seq", "status", "error")
+
+
 @query("publish_transactional_null_batch", ["messages"], NULL_BATCHES_SQL + """
 select batch, batch_idx, max(err is not null) over (partition by batch) as rolled_back from batched
 """)
@@ -389,6 +407,35 @@ def redeliver(spark, sf):
     return op.merge_triggers(*parts)
 
 
+@query("redeliver_null_outcome", ["deliveries"], """
+with unsettled as (
+  select nullif(consumer, 'c3') as consumer, seq, attempt, case when seq % 11 > 0 then delivered_at end as delivered_at,
+         case when seq % 7 > 0 then nullif(outcome, 'none') end as outcome
+  from deliveries),
+latest as (
+  select consumer, seq, max(attempt) as attempt, max(delivered_at) as delivered_at,
+         coalesce(bool_or(outcome = 'ack'), false) as acked
+  from unsettled group by consumer, seq)
+select case when attempt < 3 then 'due' else 'failed' end as status, consumer, seq,
+       cast(case when attempt < 3 then attempt + 1 else attempt end as bigint) as attempt
+from latest
+where not acked and (delivered_at is null or delivered_at + interval '60' second <= timestamp '2024-01-20 00:00:00')
+""")
+def redeliver_null_outcome(spark, sf):
+    """Attempts without an outcome, without a delivery time, and of a consumer without a name."""
+    unsettled = table(spark, sf, "deliveries").withColumns({
+        "consumer": F.nullif(F.col("consumer"), F.lit("c3")),
+        "delivered_at": F.when(F.col("seq") % 11 > 0, F.col("delivered_at")),
+        "outcome": F.when(F.col("seq") % 7 > 0, F.nullif(F.col("outcome"), F.lit("none"))),
+    })
+    due, failed = op.redeliver(unsettled, F.lit(NOW).cast("timestamp_ntz"), 60, 3)
+    parts = [
+        df.select(F.lit(status).alias("status"), "consumer", "seq", F.col("attempt").cast("bigint").alias("attempt"))
+        for status, df in (("due", due), ("failed", failed))
+    ]
+    return op.merge_triggers(*parts)
+
+
 @query("rollback_batch", ["messages"], BATCHES_SQL + """
 select queue, batch_no, batch_idx, seq, 2 as attempt from batched b
 where exists (select 1 from batched x where x.queue = b.queue and x.batch_no = b.batch_no and x.err is not null)
@@ -448,6 +495,31 @@ def resume_durable(spark, sf):
     return op.merge_triggers(*parts)
 
 
+@query("resume_null_consumer", ["messages", "deliveries"], ACKS_SQL + f""",
+m2 as (select nullif(consumer, 'c0') as consumer, seq, ts from m), a2 as (select nullif(consumer, 'c0') as consumer, seq from a),
+o as (select consumer, consumer is null as durable, max(seq) as acked_seq, timestamp '{NOW}' as created_at
+      from a2 where consumer is distinct from 'c3' group by consumer),
+j as (select m2.*, o.durable, o.acked_seq, o.created_at, max(m2.seq) over (partition by m2.consumer) as newest
+      from m2 join o on m2.consumer is not distinct from o.consumer),
+p as (select unnest(['all', 'last', 'new']) as policy)
+select policy, consumer, seq from j, p
+where case when durable and acked_seq is not null then seq > acked_seq
+           when policy = 'all' then true when policy = 'last' then seq = newest else ts > created_at end
+""")
+def resume_null_consumer(spark, sf):
+    """The durable consumer has no name."""
+    unnamed = F.nullif(F.col("consumer"), F.lit("c0"))
+    offsets = acks(spark, sf).where("consumer <> 'c3'").groupBy(unnamed.alias("consumer")).agg(F.max("seq").alias("acked_seq"))
+    offsets = offsets.select(
+        "consumer", F.col("consumer").isNull().alias("durable"), "acked_seq", F.lit(NOW).cast("timestamp_ntz").alias("created_at"))
+    messages = consumer_messages(spark, sf).withColumn("consumer", unnamed)
+    parts = [
+        op.resume_durable(messages, offsets, policy).select(F.lit(policy).alias("policy"), "consumer", "seq")
+        for policy in ("all", "last", "new")
+    ]
+    return op.merge_triggers(*parts)
+
+
 @query("component_metrics", ["messages"], """
 with samples as (
   select event_type as name, case seq % 3 when 0 then 'counter' when 1 then 'gauge' else 'timer' end as kind,

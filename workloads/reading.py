@@ -175,6 +175,29 @@ def poll_listing_triggers(spark, sf):
     return polled.select("source", "reference", "size", "etag")
 
 
+@query("poll_null_etag", ["objects"], """
+with now as (select * replace (case when doc_id % 3 > 0 then etag end as etag, case when doc_id % 5 > 0 then bucket end as bucket) from objects),
+before as (
+  select bucket, key, case when toxic = 1 and etag is not null then 'old' else etag end as etag,
+         case when toxic = 1 and etag is null then size + 1 else size end as size
+  from now join labels using (doc_id))
+select 's3-polling' as source, doc_key as key, size, etag from (select *, key as doc_key from now) n
+where not exists (
+  select 1 from before b where b.bucket is not distinct from n.bucket and b.key = n.key and b.etag is not distinct from n.etag
+    and (n.etag is not null or b.size = n.size))
+""")
+def poll_null_etag(spark, sf):
+    """A third of the objects have an etag, a fifth no bucket; the changed ones have another etag, or another size."""
+    now = table(spark, sf, "objects").withColumns({
+        "etag": F.when(F.col("doc_id") % 3 > 0, F.col("etag")), "bucket": F.when(F.col("doc_id") % 5 > 0, F.col("bucket"))})
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    changed = F.col("toxic") == 1
+    before = now.join(labels, "doc_id").withColumns({
+        "size": F.when(changed & F.col("etag").isNull(), F.col("size") + 1).otherwise(F.col("size")),
+        "etag": F.when(changed & F.col("etag").isNotNull(), F.lit("old")).otherwise(F.col("etag"))})
+    return src.poll_listing_triggers(now, before).select("source", "key", "size", "etag")
+
+
 @query("file_triggers", ["messages"], """
 select distinct 'file' as source, 'route=' || event_type || '.' || qos as folder, true as has_rows from messages
 """)
