@@ -3,7 +3,6 @@
 import time
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewire import functions as fn
@@ -152,7 +151,7 @@ def emitted(spark, out):
     def count():
         try:
             return read_sink(spark, out).count()
-        except AnalysisException:
+        except FileNotFoundError:
             return 0
     return count
 

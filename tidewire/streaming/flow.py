@@ -68,11 +68,15 @@ def _committed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sink(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Everything a ``stream_sink`` has committed so far: whole micro-batches, whatever is being written meanwhile."""
-    # the manifest is listed before the folders: what it names is complete by then
-    whole = _committed(spark, path).select(BATCH).distinct()
-    rows = spark.read.format(fmt).load(path)
-    return rows.withColumn(BATCH, F.col(BATCH).cast("string")).join(whole, BATCH, "left_semi").drop(BATCH)
+    """Everything a ``stream_sink`` has committed so far: whole micro-batches, whatever is being written meanwhile.
+
+    The manifest has one short name per micro-batch. Raises ``FileNotFoundError`` before the first.
+    """
+    folders = sorted({row[BATCH] for row in _committed(spark, path).collect()})
+    if not folders:
+        raise FileNotFoundError(f"no micro-batch is committed below {path}")
+    rows = spark.read.format(fmt).option("basePath", path).load([f"{path}/{BATCH}={folder}" for folder in folders])
+    return rows.drop(BATCH)
 
 
 def stream_flow(
