@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewire import operators as op
 from tidewire.plans import numbered
+from tidewire.sources import page_objects
 from workloads.catalog import QUERIES
 from workloads.triggering import located
 from workloads.views import table
@@ -60,19 +61,29 @@ def test_no_products(spark, sf):
 def test_large_inputs_are_not_gathered_by_group(spark, sf):
     messages = table(spark, sf, "messages").select("event_type", "seq", "raw")
     plan = physical(numbered(messages, ["event_type"], ["seq"], "p", "t", rows_per_slice=100))
+    # windows run over the counts of slices; rows meet those by group and slice
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("raw" not in line and "_group" in line for line in windows)
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert wide and all("_slice" in line or "_group" in line for line in wide)
-    # the wide rows are shuffled once, by group and slice; the join reuses that
-    windows = [line for line in plan.splitlines() if "Window [row_number" in line]
-    assert windows and all("_slice" in line for line in windows)
+    assert all("_slice" in line or "_group" in line for line in wide)
     assert "SinglePartition" not in plan
 
 
-def test_wide_rows_are_shuffled_once(spark, sf):
+def test_wide_rows_are_dealt_out_once(spark, sf):
+    """The range exchange comes before the write; afterwards the rows are only scanned, or meet the small counts."""
     messages = table(spark, sf, "messages").select("event_type", "seq", "raw")
     plan = physical(numbered(messages, ["event_type"], ["seq"], "p", rows_per_slice=100))
-    # below the join: one exchange for the rows, one or two for the narrow counts
-    assert plan.count("Exchange hashpartitioning") <= 4
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_bodies_are_not_sorted_to_be_paged(spark, sf):
+    for name in ("page_objects", "page_objects_sliced"):
+        objects = table(spark, sf, "objects")
+        per_slice = 100 if name.endswith("sliced") else None
+        plan = physical(page_objects(objects, 50, rows_per_slice=per_slice).select("key", "page", "body"))
+        assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
+        assert "SortMergeJoin" not in plan and not [x for x in plan.splitlines() if "Sort [" in x and "body" in x]
+        assert all("body" not in x for x in plan.splitlines() if "Window [" in x)
 
 
 def test_expressions_stay_in_the_jvm(spark, sf):

@@ -1,5 +1,5 @@
 from .binding import bind
 from .greedy import assign_greedy
-from .ordering import cut_hot_groups, numbered, slice_bounds, slice_of
+from .ordering import dealt_by_range, flag_hot, numbered, slice_of, slice_table, sliced
 
-__all__ = ["assign_greedy", "bind", "cut_hot_groups", "numbered", "slice_bounds", "slice_of"]
+__all__ = ["assign_greedy", "bind", "dealt_by_range", "flag_hot", "numbered", "slice_of", "slice_table", "sliced"]

@@ -7,7 +7,9 @@ into slices of bounded size (``plans.ordering``):
 
 1. every slice, in parallel and on times alone, works out for each possible position of its first *new* batch which
    batch is open at its end. Positions beyond ``n`` rows, or beyond ``wait`` after the slice's first row, cannot occur;
-2. those small tables are chained per group in slice order, which gives each slice its incoming open batch;
+2. such a table is a function from the batch that is open before a slice to the one open after it. Functions of ``RADIX``
+   neighbouring slices are composed into one, those again, until a group has one; then the incoming batches are handed down
+   the same tree. No task ever has more than ``RADIX`` tables of a group, and the rounds grow with the logarithm of its slices;
 3. every slice, in parallel, assigns its rows from there.
 """
 
@@ -16,20 +18,22 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from ..functions.time import micros
+from ..session import new_run_folder
 from .openers import accepted_times
-from .ordering import ROWS_PER_SLICE, cut_hot_groups
+from .ordering import ROWS_PER_SLICE, flag_hot, group_of, slice_table, sliced
 
 NO_LIMIT = 1 << 62
 FIRST_US = -62_135_596_800_000_000  # the start of year 1, before any time a log can hold
 # Strides cost more than one pass of a task over a few million rows.
 ROWS_PER_ID = 5 * ROWS_PER_SLICE
+RADIX = 32
 # when the open batch was opened, how many messages it has, its number
 NOTHING_OPEN = {"_opened": 0, "_count": 0, "_batch": -1}
 
@@ -45,12 +49,10 @@ def assign_greedy(
 ) -> DataFrame:
     """Add ``batch_no`` (from 0 per group) and ``batch_idx`` (from 0 per batch)."""
     timed = df.withColumn("_us", arrival(ts))
-    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice)
-    if found is None:
+    cut = sliced(timed, by, ["_us", *order], rows_per_slice)
+    if cut is None:
         return _assign(_as_one_slice(timed, by), df, order, n, wait_us)
-    cut, _ = found
-    entered = cut.join(_entries(cut.where("_hot"), n, wait_us), ["_group", "_slice"], "left")
-    return _assign(entered, df, order, n, wait_us)
+    return _assign(cut.join(_entries(cut, n, wait_us), ["_group", "_slice"], "left"), df, order, n, wait_us)
 
 
 def first_per_window(
@@ -62,21 +64,20 @@ def first_per_window(
     one task are followed in doubling strides instead (``plans.openers``).
     """
     timed = df.withColumn("_us", arrival(ts))
-    found = cut_hot_groups(timed, by, F.col("_us"), rows_per_slice or ROWS_PER_ID)
-    if found is None:
+    per_id = rows_per_slice or ROWS_PER_ID
+    flagged = flag_hot(timed, by, per_id)
+    if flagged is None:
         return _assign(_as_one_slice(timed, by), df, order, NO_LIMIT, window_us, True).select(*df.columns)
-    cut, bounds = found
-    small = _assign(cut.where(~F.col("_hot")), df, order, NO_LIMIT, window_us, True)
-    large = cut.where("_hot")
+    small = _assign(flagged.where(~F.col("_hot")).withColumn("_slice", F.lit(0)), df, order, NO_LIMIT, window_us, True)
+    large = flagged.where("_hot")
     same_time = Window.partitionBy("_group", "_us").orderBy(*order)
-    opened = large.join(accepted_times(large, bounds, window_us), ["_group", "_us"])
+    opened = large.join(accepted_times(large, per_id, window_us), ["_group", "_us"])
     opened = opened.withColumn("_rank", F.row_number().over(same_time)).where("_rank = 1")
     return small.select(*df.columns).unionByName(opened.select(*df.columns))
 
 
 def _as_one_slice(timed: DataFrame, by: Sequence[str]) -> DataFrame:
-    group = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
-    return timed.withColumns({"_group": group, "_slice": F.lit(0)})
+    return timed.withColumns({"_group": group_of(by), "_slice": F.lit(0)})
 
 
 def _assign(
@@ -163,22 +164,53 @@ def exits(us: np.ndarray, limit: int, wait: int) -> tuple[np.ndarray, np.ndarray
     return last, size - last, started
 
 
-def _entries(sliced: DataFrame, limit: int, wait: int) -> DataFrame:
-    """The batch that is open when each slice of a hot group begins: one row per (group, slice)."""
-    rows = Window.partitionBy("_group", "_slice").orderBy("_us")
-    narrow = sliced.select("_group", "_slice", "_us").withColumn("_row", F.row_number().over(rows))
-    narrow = narrow.sortWithinPartitions("_group", "_slice", "_us")
-    keys = [sliced.schema["_group"], sliced.schema["_slice"]]
-    lists = [
-        T.StructField(name, T.ArrayType(T.LongType())) for name in ("head_us", "exit_us", "exit_count", "exit_started")
-    ]
-    tables = narrow.mapInArrow(
-        _tabulator(limit, wait), T.StructType([*keys, _long("size"), _long("last_us"), *lists])
-    )
-    slices = Window.partitionBy("_group").orderBy("_slice")
-    chained = tables.withColumn("_first", F.row_number().over(slices) == 1).sortWithinPartitions("_group", "_slice")
-    states = [_long("_opened"), _long("_count"), _long("_batch")]
-    return chained.mapInArrow(_chainer(limit, wait), T.StructType([*keys, *states]))
+TABLE = [("size", pa.int64()), ("last_us", pa.int64()), ("whole", pa.bool_()), *[
+    (name, pa.list_(pa.int64())) for name in ("head_us", "exit_us", "exit_count", "exit_started")]]
+State = tuple[int, int, int]  # when the open batch was opened, how many it has, its number
+
+
+def _entries(rows: DataFrame, limit: int, wait: int) -> DataFrame:
+    """The batch that is open when each slice begins, for groups of several slices: one row per (group, slice)."""
+    spark = rows.sparkSession
+    folder = new_run_folder(spark, "batches")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    slices = written(slice_table(rows).where(F.col("_slices") > 1).select("_group", "_slice", "_number", "_slices"), "slices")
+    within = Window.partitionBy("_group", "_slice").orderBy("_us")
+    narrow = rows.select("_group", "_slice", "_us").join(slices.drop("_slices"), ["_group", "_slice"])
+    narrow = narrow.withColumn("_row", F.row_number().over(within)).sortWithinPartitions("_group", "_slice", "_us")
+    keys = [rows.schema["_group"], _long("_number")]
+    schema = T.StructType([*keys, *from_arrow_type(pa.struct(TABLE)).fields])
+    level = narrow.select("_group", "_number", "_us", "_row").mapInArrow(_tabulator(limit, wait), schema)
+
+    names = [name for name, _ in TABLE]
+    most = slices.agg(F.max("_slices")).first()[0] or 0
+    families = []
+    while most > 1:
+        family = level.groupBy("_group", F.floor(F.col("_number") / RADIX).alias("_number")).agg(
+            F.sort_array(F.collect_list(F.struct(F.col("_number").alias("number"), *names))).alias("_tables"))
+        families.append(written(family, f"level-{len(families)}"))
+        most = -(-most // RADIX)
+        if most > 1:
+            composed = families[-1].withColumn("_table", _composed(limit, wait)("_tables"))
+            level = composed.select("_group", "_number", *[F.col(f"_table.{name}").alias(name) for name in names])
+
+    nothing = F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in NOTHING_OPEN.items()])
+    states = None
+    for i, family in reversed(list(enumerate(families))):
+        met = family.withColumn("_entry", nothing) if states is None else family.join(states, ["_group", "_number"])
+        handed = met.withColumn("_into", _handed_down(limit, wait)("_tables", "_entry"))
+        each = F.explode(F.arrays_zip(F.col("_tables.number").alias("number"), F.col("_into").alias("into"))).alias("_each")
+        states = handed.select("_group", each).select(
+            "_group", F.col("_each.number").alias("_number"), F.col("_each.into").alias("_entry"))
+        if i:
+            states = written(states, f"states-{i}")
+    if states is None:
+        return slices.select("_group", "_slice", *[F.lit(v).cast("bigint").alias(c) for c, v in NOTHING_OPEN.items()])
+    return slices.join(states, ["_group", "_number"]).select("_group", "_slice", "_entry.*")
 
 
 def _tabulator(limit: int, wait: int):
@@ -187,15 +219,10 @@ def _tabulator(limit: int, wait: int):
         head: pa.RecordBatch | None = None
 
         def flush() -> pa.RecordBatch:
-            us = np.concatenate(held)
-            last, count, started = exits(us, limit, wait)
-            # a batch opened before this slice closes within `limit` rows and before first + wait
-            reach = min(len(us), limit + 1, int(np.searchsorted(us, us[0] + wait, side="left")) + 1)
-            lists = [us[:reach], us[last[:reach]], count[:reach], started[:reach]]
-            arrays = [head.column(0), head.column(1), pa.array([len(us)]), pa.array([int(us[-1])])]
-            arrays += [pa.array([x.astype(np.int64)], type=pa.list_(pa.int64())) for x in lists]
-            names = ["_group", "_slice", "size", "last_us", "head_us", "exit_us", "exit_count", "exit_started"]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
+            table = tabulated(np.concatenate(held), limit, wait)
+            return pa.RecordBatch.from_arrays(
+                [head.column(0), head.column(1), *[pa.array([table[name]], type=kind) for name, kind in TABLE]],
+                names=["_group", "_number", *[name for name, _ in TABLE]])
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -216,31 +243,86 @@ def _tabulator(limit: int, wait: int):
     return tabulate
 
 
-def _chainer(limit: int, wait: int):
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened, count, batch = 0, 0, -1
-        for rb in batches:
-            table = {name: rb.column(i) for i, name in enumerate(rb.schema.names)}
-            into: list[tuple[int, int, int]] = []
-            for i in range(rb.num_rows):
-                if table["_first"][i].as_py():
-                    opened, count, batch = 0, 0, -1
-                into.append((opened, count, batch))
-                size = table["size"][i].as_py()
-                heads = table["head_us"][i].values.to_numpy()
-                entry = 0
-                if batch >= 0 and count < limit:
-                    if table["last_us"][i].as_py() < opened + wait and count + size <= limit:
-                        count += size  # the whole slice joins the open batch
-                        continue
-                    entry = min(int(np.searchsorted(heads, opened + wait, side="left")), limit - count)
-                opened = int(table["exit_us"][i].values[entry].as_py())
-                count = int(table["exit_count"][i].values[entry].as_py())
-                batch += int(table["exit_started"][i].values[entry].as_py())
-            states = pd.DataFrame(into, columns=["_opened", "_count", "_batch"], dtype="int64")
-            yield pa.RecordBatch.from_arrays(
-                [table["_group"], table["_slice"]] + [pa.array(states[c].to_numpy()) for c in states],
-                names=["_group", "_slice", "_opened", "_count", "_batch"],
-            )
+def tabulated(us: np.ndarray, limit: int, wait: int) -> dict:
+    """The table of one slice: for each place where its first new batch may start, the batch that is open at its end.
 
-    return chain
+    A batch that is open before the slice ends within ``limit`` rows and before its first time + ``wait``, so no new one can
+    start later than that for the first time; ``whole``: the open batch may also take the whole slice.
+    """
+    last, count, started = exits(us, limit, wait)
+    reach = min(len(us), limit + 1, int(np.searchsorted(us, us[0] + wait, side="left")) + 1)
+    return {
+        "size": len(us), "last_us": int(us[-1]), "whole": reach == len(us), "head_us": us[:reach], "exit_us": us[last[:reach]],
+        "exit_count": count[:reach], "exit_started": started[:reach]}
+
+
+def after(table: dict, state: State, limit: int, wait: int) -> State:
+    """The batch that is open after a slice, or a run of slices, from the one before it."""
+    opened, count, batch = state
+    entry = 0
+    if batch >= 0 and count < limit:
+        if table["last_us"] < opened + wait and count + table["size"] <= limit:
+            return opened, count + table["size"], batch
+        entry = min(int(np.searchsorted(table["head_us"], opened + wait, side="left")), limit - count)
+    return int(table["exit_us"][entry]), int(table["exit_count"][entry]), batch + int(table["exit_started"][entry])
+
+
+def compose(first: dict, second: dict, limit: int, wait: int) -> dict:
+    """The table of two neighbouring runs of slices."""
+    # a new batch starts in the first run ...
+    ends = [after(second, (int(u), int(c), int(s)), limit, wait)
+            for u, c, s in zip(first["exit_us"], first["exit_count"], first["exit_started"])]
+    exits_ = [np.array(x, dtype=np.int64) for x in zip(*ends)]
+    heads = first["head_us"]
+    if first["whole"]:  # ... or an open batch takes all of that, and it starts in the second
+        room = min(max(0, limit + 1 - first["size"]), len(second["head_us"]))
+        in_time = int(np.searchsorted(second["head_us"], heads[0] + wait, side="left")) + 1
+        room = min(room, in_time)
+        heads = np.concatenate([heads, second["head_us"][:room]])
+        exits_ = [np.concatenate([a, second[name][:room]]) for a, name in zip(exits_, ("exit_us", "exit_count", "exit_started"))]
+    return {
+        "size": first["size"] + second["size"], "last_us": second["last_us"],
+        "whole": bool(first["whole"] and second["whole"] and len(heads) == len(first["head_us"]) + len(second["head_us"])),
+        "head_us": heads, "exit_us": exits_[0], "exit_count": exits_[1], "exit_started": exits_[2]}
+
+
+def _tables(row: list) -> list[dict]:
+    return [{k: np.array(v, dtype=np.int64) if isinstance(v, list) else v for k, v in table.items()} for table in row]
+
+
+def _composed(limit: int, wait: int):
+    kind = pa.struct(TABLE)
+
+    @F.arrow_udf(from_arrow_type(kind))
+    def composed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            out = []
+            for i in range(len(rows)):  # one at a time: the tables of a family are the most a task holds
+                table, *others = _tables(rows[i].as_py())
+                for other in others:
+                    table = compose(table, other, limit, wait)
+                table.pop("number", None)
+                out.append({k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in table.items()})
+            yield pa.array(out, type=kind)
+
+    return composed
+
+
+def _handed_down(limit: int, wait: int):
+    kind = pa.list_(pa.struct([(name, pa.int64()) for name in NOTHING_OPEN]))
+
+    @F.arrow_udf(from_arrow_type(kind))
+    def handed_down(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        """The batch that is open before each table of a family."""
+        for families, entries in batches:
+            out = []
+            for i in range(len(families)):
+                state = tuple(entries[i].as_py().values())
+                into = []
+                for table in _tables(families[i].as_py()):
+                    into.append(dict(zip(NOTHING_OPEN, state)))
+                    state = after(table, state, limit, wait)
+                out.append(into)
+            yield pa.array(out, type=kind)
+
+    return handed_down

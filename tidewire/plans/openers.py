@@ -19,20 +19,17 @@ grows with the logarithm of span / window. Each table is written to the shared f
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_run_folder
-from .binding import bind
-from .ordering import slice_of
+from .ordering import dealt_by_range
 
 KEY = ["_group", "_us"]
 
 
-def accepted_times(hot: DataFrame, bounds: Sequence, window_us: int) -> DataFrame:
-    """(``_group``, ``_us``) of every accepted message. ``bounds`` are the split points of ``_us``."""
+def accepted_times(hot: DataFrame, rows_per_slice: int, window_us: int) -> DataFrame:
+    """(``_group``, ``_us``) of every accepted message."""
     spark = hot.sparkSession
     folder = new_run_folder(spark, "openers")
 
@@ -45,7 +42,7 @@ def accepted_times(hot: DataFrame, bounds: Sequence, window_us: int) -> DataFram
     starts = written(times.groupBy("_group").agg(F.min("_us").alias("_start"), F.max("_us").alias("_end")), "starts")
     longest = starts.agg(F.max(F.expr("_end - _start"))).head()[0] or 0
 
-    successors = _successors(times, bounds, window_us).join(starts.drop("_end"), ["_group"])
+    successors = _successors(times, rows_per_slice, window_us).join(starts.drop("_end"), ["_group"])
     levels = [written(successors, "level-0")]
     while (window_us << len(levels)) <= longest:
         levels.append(written(_doubled(levels[-1], window_us << (len(levels) - 1)), f"level-{len(levels)}"))
@@ -69,12 +66,14 @@ def _block(size_us: int):
     return number
 
 
-def _successors(times: DataFrame, bounds: Sequence, window_us: int) -> DataFrame:
+def _successors(times: DataFrame, rows_per_slice: int, window_us: int) -> DataFrame:
     """(group, time, ``_exit``): the first time that is at least a window later, or null."""
     nothing, us = F.lit(None).cast("bigint"), F.col("_us")
     known = times.select("_group", us.alias("_x"), us.alias("_known"), nothing.alias("_us"))
     asked = times.select("_group", (us + window_us).alias("_x"), nothing.alias("_known"), "_us")
-    points = bind(known.unionByName(asked), "_slice", slice_of(F.col("_x"), bounds))
+    points = known.unionByName(asked)
+    points = dealt_by_range(points, ["_group"], ["_x", "_known", "_us"], rows_per_slice, 2 * times.count())
+    points = points.withColumn("_group", F.col("_group._group"))
     # downwards from the latest: the smallest time seen so far, a known one before an equal asked one
     down = Window.partitionBy("_group", "_slice").orderBy(F.col("_x").desc(), F.col("_known").asc_nulls_last())
     placed = points.withColumn("_here", F.min("_known").over(down.rowsBetween(Window.unboundedPreceding, 0)))

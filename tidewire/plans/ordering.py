@@ -1,9 +1,11 @@
 """Positions inside ordered groups, without ever putting a large group into one task.
 
-A plain ``row_number() over (partition by channel order by ts)`` sends a whole channel to one task. Here the groups
-that are too large for that, and only those, are cut by split points of the order column. Every (group, slice) is
-numbered on its own and shifted by the number of the group's rows in earlier slices. The slice of a row depends only
-on its values, so every pass, and every retried task, agrees on it. The wide rows are shuffled once, by (group, slice).
+A plain ``row_number() over (partition by channel order by ts)`` sends a whole channel to one task. Where a group is too large for
+that, all rows are dealt out by range instead: Spark samples the group and *all* order columns together and cuts where rows are, so a
+million rows with one time are cut too. Each range is sorted and written with a running number; a range's rows of one group are a slice.
+Positions are the running number, shifted by the counts of the group's earlier slices. What is written is read from then on, so
+every pass, and every retried task, agrees on it. Rows are shuffled once, whole; where they are wide and have a key, number the
+keys and join them back (``sources.objects.page_objects``).
 """
 
 from __future__ import annotations
@@ -13,38 +15,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.time import micros
 from ..session import new_run_folder
-from .binding import bind
 
 ROWS_PER_SLICE = 1_000_000
-# Bounds the split points and the sample they come from, not the rows: slices just get longer beyond it.
-MAX_SLICES = 10_000
-SAMPLE_PER_SLICE = 20
-
-
-def slice_key(df: DataFrame, name: str) -> Column:
-    """The order column in a form whose literals sort the same on the driver (times as microseconds)."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return micros(name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    return F.col(name)
-
-
-def slice_bounds(df: DataFrame, key: Column, rows: int, per_slice: int) -> list:
-    """Split points that cut ``rows`` rows into about equal slices, from a sample of one narrow column.
-
-    The sample has about ``SAMPLE_PER_SLICE`` values for each of at most ``MAX_SLICES`` slices.
-    """
-    slices = min(MAX_SLICES, math.ceil(rows / per_slice))
-    fraction = min(1.0, SAMPLE_PER_SLICE * slices / rows)
-    values = df.select(key.alias("k")).where("k is not null").sample(fraction, seed=1)
-    sample = sorted(row.k for row in values.collect())
-    return sorted({sample[(i * len(sample)) // slices] for i in range(1, slices)}) if sample else []
+RUN_BITS = 33  # monotonically_increasing_id: the task above, the row in it below
 
 
 def slice_of(key: Column, bounds: Sequence) -> Column:
@@ -58,32 +33,61 @@ def slice_of(key: Column, bounds: Sequence) -> Column:
     )
 
 
-def cut_hot_groups(
-    df: DataFrame, by: Sequence[str], key: Column, rows_per_slice: int | None = None
-) -> tuple[DataFrame, list] | None:
-    """``df`` with ``_group``, ``_hot`` and ``_slice``, and the split points; ``None`` when no group has more rows than a
-    slice.
+def group_of(by: Sequence[str]) -> Column:
+    """A struct is never null itself, so a null channel is a group like any other, in windows and joins."""
+    return F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0))
+
 
-    Counts the groups first. The names of the hot ones stay a table; all other groups are one slice.
+def flag_hot(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
+    """``df`` with ``_group`` and ``_hot``: whether the group has more than ``rows`` rows; ``None`` if none has.
+
+    The names of the hot ones stay a table. It is written, so that its size is known: Spark sends it to the tasks if it is
+    small, and shuffles it if not.
     """
+    spark = df.sparkSession
+    folder = new_run_folder(spark, "hot")
+    counts = df.groupBy(group_of(by).alias("_group")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts.where(F.col("_rows") > rows).select("_group", F.lit(True).alias("_hot")).write.parquet(folder)
+    hot = spark.read.parquet(folder)
+    if not hot.head(1):
+        return None
+    flagged = df.withColumn("_group", group_of(by)).join(hot, ["_group"], "left")
+    return flagged.withColumn("_hot", F.col("_hot").isNotNull())
+
+
+def dealt_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int, rows: int) -> DataFrame:
+    """``df``, written in the order of ``by`` and ``order``, with ``_group``, ``_slice`` (ascending within a group) and ``_run`` (ascending
+    within a slice, without gaps)."""
+    spark = df.sparkSession
+    folder = new_run_folder(spark, "ranges")
+    keys = [*by, *order]
+    ranges = df.repartitionByRange(math.ceil(rows / rows_per_slice) + 1, *keys).sortWithinPartitions(*keys)
+    ranges.withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+    at = F.col("_at")
+    return spark.read.parquet(folder).withColumns({
+        "_group": group_of(by), "_slice": F.shiftright(at, RUN_BITS), "_run": at.bitwiseAND(F.lit((1 << RUN_BITS) - 1)),
+    }).drop("_at")
+
+
+def sliced(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None) -> DataFrame | None:
+    """``dealt_by_range`` if some group has more rows than a slice, else ``None``: then a window by group will do."""
     per_slice = rows_per_slice or ROWS_PER_SLICE
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > per_slice)
-    rows = hot.agg(F.sum("_rows")).first()[0]
-    if not rows:
+    largest, rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
+    if not largest or largest <= per_slice:
         return None
-    # a struct is never null itself, so a null channel is a group like any other, in windows and joins
-    if by:
-        grouped = df.withColumn("_group", F.struct(*[F.col(c) for c in by]))
-        # written, so that its size is known: Spark sends it to the tasks if it is small, and shuffles it if not
-        folder = new_run_folder(df.sparkSession, "hot")
-        hot.select(F.struct(*[F.col(c) for c in by]).alias("_group"), F.lit(True).alias("_hot")).write.parquet(folder)
-        flagged = grouped.join(df.sparkSession.read.parquet(folder), ["_group"], "left")
-    else:
-        flagged = df.withColumns({"_group": F.struct(F.lit(0)), "_hot": F.lit(True)})
-    flagged = flagged.withColumn("_hot", F.col("_hot").isNotNull())
-    bounds = slice_bounds(flagged.where("_hot"), key, rows, per_slice)
-    return bind(flagged, "_slice", F.when(F.col("_hot"), slice_of(key, bounds)).otherwise(0)), bounds
+    return dealt_by_range(df, by, order, per_slice, rows)
+
+
+def slice_table(rows: DataFrame) -> DataFrame:
+    """One row per (group, slice) of ``dealt_by_range``: ``_first`` (its first ``_run``), ``_rows``, ``_before`` (rows of the group in earlier
+    slices), ``_total`` (rows of the group), ``_number`` (from 0) and ``_slices`` of the group."""
+    counts = rows.groupBy("_group", "_slice").agg(F.min("_run").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy("_group")  # as many rows as the group has slices
+    before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumns({
+        "_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_total": F.sum("_rows").over(group),
+        "_number": (F.row_number().over(group.orderBy("_slice")) - 1).cast("bigint"), "_slices": F.count(F.lit(1)).over(group),
+    })
 
 
 def numbered(
@@ -96,27 +100,15 @@ def numbered(
 ) -> DataFrame:
     """Add the 1-based position of each row within its group, and optionally the group's row count.
 
-    ``order`` must be unique within a group; its first column is the one hot groups are cut by.
+    ``order`` should be unique within a group: rows that agree in all of it are numbered in any order, and stay together.
     """
-    cut = cut_hot_groups(df, by, slice_key(df, order[0]), rows_per_slice)
-    if cut is None:
+    rows = sliced(df, by, order, rows_per_slice)
+    if rows is None:
         within = Window.partitionBy(*by)
         out = df.withColumn(position, F.row_number().over(within.orderBy(*order)).cast("bigint"))
         return out.withColumn(total, F.count(F.lit(1)).over(within)) if total else out
-
-    cut, _ = cut
-    counts = cut.where("_hot").groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    slices = Window.partitionBy("_group")  # at most MAX_SLICES rows per group
-    before = F.sum("_rows").over(slices.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = counts.select(
-        "_group", "_slice", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_rows").over(slices).alias("_total")
-    )
-    within = Window.partitionBy("_group", "_slice")
-    out = cut.withColumn("_row", F.row_number().over(within.orderBy(*order)))
-    if total:
-        out = out.withColumn("_here", F.count(F.lit(1)).over(within))
-    out = out.join(shifts, ["_group", "_slice"], "left")
-    out = out.withColumn(position, F.col("_row") + F.coalesce(F.col("_before"), F.lit(0)))
+    placed = rows.join(slice_table(rows).select("_group", "_slice", "_first", "_before", "_total"), ["_group", "_slice"])
+    out = placed.withColumn(position, F.col("_run") - F.col("_first") + F.col("_before") + 1)
     if total:
-        out = out.withColumn(total, F.coalesce(F.col("_total"), F.col("_here")))
+        out = out.withColumn(total, F.col("_total"))
     return out.select(*df.columns, position, *([total] if total else []))

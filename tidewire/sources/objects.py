@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.maps import empty_map, merge_maps
+from ..plans.joins import null_safe_join
 from ..plans.ordering import numbered
 
 
@@ -40,16 +41,20 @@ def page_objects(
 ) -> DataFrame:
     """Listing in key order, ``max_keys`` per page and bucket.
 
-    Without a token every object gets its ``page`` number. With one (the last key of the page before), and objects of
+    Without a token every object gets its ``page`` number: keys are numbered on their own and joined back, so bodies are neither
+    sorted nor part of a window. Rows that repeat a key share its place. With one (the last key of the page before), and objects of
     a single bucket, only the next page is returned, found by key rather than by counting.
     """
     if max_keys <= 0:
         raise ValueError("max_keys must be positive")
     if token is not None:
         return objects.where(F.col("key") > token).orderBy("key").limit(max_keys)
-    placed = numbered(objects, ["bucket"], ["key"], "_position", rows_per_slice=rows_per_slice)
+    keys = objects.groupBy("bucket", "key").agg(F.lit(1).alias("_one")).select("bucket", "key")
+    placed = numbered(keys, ["bucket"], ["key"], "_position", rows_per_slice=rows_per_slice)
     page = F.expr(f"(_position - 1) div {int(max_keys)} + 1")
-    return placed.withColumn("page", page).drop("_position")
+    pages = placed.select("bucket", "key", page.alias("page"))
+    # bodies are not sorted: they meet their page by a hash table of keys
+    return null_safe_join(objects, pages.hint("shuffle_hash"), ["bucket", "key"], "left")
 
 
 def object_messages(objects: DataFrame, custom: Column | None = None) -> DataFrame:
