@@ -1,4 +1,4 @@
-"""Operators that compare documents: line removal, near duplicates, components, search, classifiers, the pipeline."""
+"""Operators that compare documents: line removal, near duplicates, linked groups, search, classifiers, the pipeline."""
 
 import itertools
 import math
@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edges import words
-from tidewire.llm import components, crf, labelled, near_dedup, quality, search, spread_lines, toxicity
+from tidewire.llm import crf, labelled, linked_groups, near_dedup, quality, search, spread_lines, toxicity
 from tidewire.session import new_run_folder
 
 
@@ -117,7 +117,7 @@ def test_components(spark):
         x, y = sorted((find(a), find(b)))
         root[y] = x
     df = spark.createDataFrame([e if rng.random() < 0.5 else e[::-1] for e in edges], "a bigint, b bigint")
-    got = {r.node: r.root for r in components.components(df, new_run_folder(spark, "test")).collect()}
+    got = {r.node: r.root for r in linked_groups.group_roots(df, new_run_folder(spark, "test")).collect()}
     assert got == {x: find(x) for x in root if find(x) != x}
 
 

@@ -62,9 +62,19 @@ def test_bpe_on_awkward_documents(docs, none, library):
     assert byte_bpe.bpe_encode(none, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_added_tokens_are_encoded_as_the_library_does():
+    end, tokenizer = "<|endoftext|>", Tokenizer.from_file(JSON)
+    texts = [
+        end, f"{end} hi", f"hi {end}", f"hi{end}hi", f"a {end} b", f"{end}{end}", f"{end} {end}", f"  {end}  \n{end}x", "", "<|endoftext", "no token here",
+        f"日本 {end} 語", f"one two  three {end} {'word ' * 3000}", "<|im_end|>", "&lt;|endoftext|>", "<|endoftext|", "|endoftext|>",
+    ]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in packing.encoded_texts(texts, JSON, RANKS_50K)]
+    assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert got[0] == [50256]
+
+
 def test_packing_keeps_every_id_and_every_limit(docs, none):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     rows = packing.pack_documents(docs.where("doc_id is not null"), JSON, packing.Limits(), ranks=RANKS_50K).collect()
     by_doc, by_sequence = {}, {}
     for r in rows:

@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Groups of linked nodes by alternating large-star and small-star steps."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("_m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, folder: str) -> DataFrame:
+def group_roots(edges: DataFrame, folder: str) -> DataFrame:
     """(node, root) for each node of ``edges`` (a, b) but the roots; the root is the component's smallest node.
 
     Stars with a hot centre are joined on the centre, where adaptive execution splits them; minima are pre-aggregated.

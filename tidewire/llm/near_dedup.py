@@ -1,4 +1,4 @@
-"""Near-duplicate documents by MinHash, banding and connected components.
+"""Near-duplicate documents by MinHash, banding and groups of linked documents.
 
 A document is the set of its five-word shingles. Documents with equal sets form a class, of which one stands for all from
 the start. Classes get ``bands * rows`` minima of universal hash functions, kept as one byte each; classes that agree in all
@@ -8,8 +8,8 @@ below 1e-6.
 Pairs within a bucket are not listed. In each round every bucket picks one centre at random (by a hash of the round), and
 every member that is not yet in the centre's component is tried against the ``TRIES`` centres it meets in most buckets.
 Tried pairs are estimated by their signatures, those that may be links confirmed on the full shingle sets, and links joined
-into components by alternating large-star and small-star. After ``ROUNDS`` rounds most buckets lie in one component and are
-done. Members of the others are compared by signature across components, in blocks of bounded size, and a pair is only
+into groups by alternating large-star and small-star. After ``ROUNDS`` rounds most buckets lie in one component and are
+done. Members of the others are compared by signature across groups, in blocks of bounded size, and a pair is only
 written where it may be a link, in the first bucket the two share. So every pair that shares a bucket is in one component or
 was compared, and no link is lost.
 
@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 from ..plans.binding import bind
 from ..session import new_run_folder
 from .arrow import Memo, texts_of
-from .components import components, stored
+from .linked_groups import group_roots, stored
 
 WORDS = 5
 MISSED = 1e-6
@@ -229,7 +229,7 @@ class _Search:
         return best.select(F.explode(F.slice("p", 1, TRIES)).alias("p")).select("p.a", "p.b").distinct()
 
     def open_pairs(self) -> DataFrame:
-        """All pairs that share a bucket, are in different components, and may be links by their signatures.
+        """All pairs that share a bucket, are in different groups, and may be links by their signatures.
 
         A bucket of m members is cut into blocks; a task sees two blocks at a time.
         """
@@ -253,7 +253,7 @@ class _Search:
         return pairs if self.tried is None else pairs.join(self.tried, ["a", "b"], "left_anti")
 
     def try_pairs(self, pairs: DataFrame, estimated: bool = False) -> int:
-        """Compare pairs of classes, add the links to the components, and return how many links there were.
+        """Compare pairs of classes, add the links to the groups, and return how many links there were.
 
         ``estimated``: their signatures have been compared already.
         """
@@ -281,12 +281,12 @@ class _Search:
     def merge(self, links: DataFrame) -> None:
         here = f"{self.folder}/merge-{self.round}"
         if self.labels is None:
-            self.labels = components(links, here).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
+            self.labels = group_roots(links, here).select(F.col("node").alias("rep"), F.col("root").alias("comp"))
             return
-        for side in ("a", "b"):  # links between components instead of classes
+        for side in ("a", "b"):  # links between groups instead of classes
             of = self.labels.select(F.col("rep").alias(side), F.col("comp").alias("_c"))
             links = links.join(of, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
-        moved = stored(components(links.select("a", "b").distinct(), here), here, "moved")
+        moved = stored(group_roots(links.select("a", "b").distinct(), here), here, "moved")
         old = self.labels.join(moved, self.labels["comp"] == moved["node"], "left").select(
             "rep", F.coalesce("root", "comp").alias("comp"))
         new = moved.join(self.labels, moved["node"] == self.labels["rep"], "left_anti")

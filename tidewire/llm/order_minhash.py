@@ -2,18 +2,18 @@
 
 A text is a sequence of tokens (words, cut after 16 letters; single characters in scripts without spaces; runs of up to four
 other signs). Its k-mers are runs of ``k`` tokens, numbered by occurrence, so a repeated k-mer counts as often as it stands.
-Each of the ``m`` components of a fingerprint orders the numbered k-mers, takes the ``l`` smallest, puts them back into
+Each of the ``m`` parts of a fingerprint orders the numbered k-mers, takes the ``l`` smallest, puts them back into
 text order and hashes the tuple. Two texts agree in a component when they share the chosen k-mers in the same order, so
-the share of equal components falls with the edit distance, moved passages included.
+the share of equal parts falls with the edit distance, moved passages included.
 
-One hash per numbered k-mer serves all components: hashes are sorted once, and the order of component c begins at the c-th
+One hash per numbered k-mer serves all parts: hashes are sorted once, and the order of component c begins at the c-th
 of m equal parts of the hash range and wraps around. A text's work is a few sorts of its own k-mers, inside one row and
 without Python; nothing is shuffled.
 
 K-mers are told apart by 40 bits of their hash within a text. Places are kept modulo 2^24, so the order of k-mers is the text's
 order in texts of up to 16.7 million tokens.
 
-Null and empty texts, and texts of white space alone, have no k-mers; all their components are 0. A text of fewer than ``k``
+Null and empty texts, and texts of white space alone, have no k-mers; all their parts are 0. A text of fewer than ``k``
 tokens is one k-mer. Texts are used whole. Equal texts have equal fingerprints.
 """
 
@@ -91,7 +91,7 @@ def fingerprint(text: Column, k: int = K, l: int = L, m_bits: int = M_BITS) -> C
     def part(x: Column) -> Column:  # which m-th of the hash range
         return (F.shiftright(x, 64 - m_bits) + m // 2).cast("int")
 
-    def components(ring: Column) -> Column:
+    def chosen_parts(ring: Column) -> Column:
         def taken(places: Column) -> Column:
             def component(c: Column) -> Column:
                 begin = F.coalesce(F.get(places, c), F.lit(0))
@@ -115,12 +115,12 @@ def fingerprint(text: Column, k: int = K, l: int = L, m_bits: int = M_BITS) -> C
         return let(let(leaders, jumps), taken)
 
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
-    found = let(let(tokens, kmers), lambda s: F.when(s.isNotNull(), let(numbered(s), components)))
+    found = let(let(tokens, kmers), lambda s: F.when(s.isNotNull(), let(numbered(s), chosen_parts)))
     return F.coalesce(found, F.array_repeat(F.lit(0), m))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal components, 0 to 1."""
+    """Share of equal parts, 0 to 1."""
     same = F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     return same / F.size(a)
 

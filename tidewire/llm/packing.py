@@ -17,6 +17,7 @@ pieces.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from .arrow import Memo, cut_at_spaces, texts_of
 
 BLOCK = 16_384
+REMEMBERED = 800_000  # parts of texts whose ids a worker remembers
 LATIN_END = "\u0250"
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
@@ -89,17 +91,14 @@ def pack_block(lengths: Iterable[int], limits: Limits) -> tuple[np.ndarray, np.n
 
 @lru_cache(maxsize=2)
 def _memo(path: str, ranks: tuple[str, str] | None) -> Memo:
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer, _ = _tokenizer(path)
     quick = rank_encoder(*ranks) if ranks else None
 
     def encode(chunks: list[str]) -> list[bytes]:
         out: list = [None] * len(chunks)
         rare = []
         for i, chunk in enumerate(chunks):
-            if quick and max(chunk, default="") < LATIN_END:
+            if quick and (chunk.isascii() or max(chunk) < LATIN_END):
                 out[i] = array("I", quick(chunk)).tobytes()
             else:
                 rare.append(i)
@@ -107,7 +106,29 @@ def _memo(path: str, ranks: tuple[str, str] | None) -> Memo:
             out[i] = array("I", e.ids).tobytes()
         return out
 
-    return Memo(encode)
+    return Memo(encode, REMEMBERED)
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer file as it is, and the strings that it takes out of a text before anything else; None without any."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    added = sorted(token.content for token in tokenizer.get_added_tokens_decoder().values())
+    return tokenizer, re.compile("|".join(map(re.escape, added))) if added else None
+
+
+def encoded_texts(texts: list[str], path: str, ranks: tuple[str, str] | None = None) -> Iterator[bytes]:
+    """Little-endian ids of each text, as the tokenizer file gives them without special tokens put around it.
+
+    Texts are encoded by remembered parts; one that holds an added token's string (``<|endoftext|>``) goes to the tokenizer whole.
+    """
+    tokenizer, added = _tokenizer(path)
+    whole = {i for i, text in enumerate(texts) if added and added.search(text)}
+    parts = _memo(path, ranks).resolve([[] if i in whole else cut_at_spaces(text) for i, text in enumerate(texts)])
+    for i, values in enumerate(parts):
+        yield array("I", tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes() if i in whole else b"".join(values)
 
 
 def rank_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
@@ -129,11 +150,10 @@ def piece_cutter(path: str, limit: int, end_id: int, ranks: tuple[str, str] | No
 
     @F.arrow_udf(PIECES)
     def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        memo = _memo(path, ranks)
         for batch in batches:
             ends, piece, start, length, crc = [0], [], [], [], []
-            for values in memo.resolve([cut_at_spaces(text) for text in texts_of(batch)]):
-                ids = b"".join(values) + end
+            for encoded in encoded_texts(texts_of(batch), path, ranks):
+                ids = encoded + end
                 total = len(ids) // 4
                 cuts = [0, *range(total % limit or limit, total + 1, limit)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
