@@ -30,7 +30,7 @@ from ..plans.ordering import numbered
 from ..session import new_run_folder
 
 BLOCK_LEVELS = 10
-ROWS_PER_SLICE = 250_000
+ROWS_PER_SLICE = None  # the share of a shuffle partition
 SIZE = 32
 STEPS = pa.list_(pa.string())  # a way up: "L" or "R" and the sibling that stands there, "-" for a node without one
 PROOF = pa.struct([("proof", pa.string()), ("folded", pa.string())])
