@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewire import functions as fn
 from tidewire import operators as op
 from tidewire import sources as src
-from tidewire.streaming import flow, open_batches, read_sink, retrieve_stream, stream_batcher, stream_dedupe, stream_redelivery, stream_sink
+from tidewire.streaming import flow, open_batches, read_sink, retrieve_stream, retrieve_stream_waiting, stream_batcher, stream_dedupe, stream_redelivery, stream_sink
 
 
 @pytest.fixture
@@ -221,6 +221,28 @@ def test_readers_see_whole_micro_batches_only(spark, few_partitions, tmp_path):
     assert sorted(r.seq for r in read_sink(spark, out).collect()) == [1, 2, 7]
 
 
+def test_triggers_wait_for_their_objects(spark, few_partitions, tmp_path):
+    """An object before its trigger, one after it in a later lot, one too late, one never; a trigger without a key."""
+    out, check = str(tmp_path / "out"), str(tmp_path / "check")
+    t, o = "id bigint, bucket string, key string, t bigint", "bucket string, key string, etag string, t bigint"
+
+    def arrive(lot, triggers, objects):
+        spark.createDataFrame(triggers, t).coalesce(1).write.json(str(tmp_path / f"t/{lot}"))
+        spark.createDataFrame(objects, o).coalesce(1).write.json(str(tmp_path / f"o/{lot}"))
+        asked = spark.readStream.schema(t).json(str(tmp_path / "t/*")).withColumn("ts", F.timestamp_seconds("t")).drop("t")
+        landed = spark.readStream.schema(o).json(str(tmp_path / "o/*")).withColumn("modified", F.timestamp_seconds("t")).drop("t")
+        retrieve_stream_waiting(asked, landed, out, check, 60, 100).awaitTermination()
+        return sorted(((r.id, r.etag, r.found) for r in read_sink(spark, out).collect()), key=lambda r: r[:1] + (r[1] or "",))
+
+    first = arrive(0, [(1, "b", "before", 1000), (2, "b", "after", 1000), (3, "b", "late", 1000), (4, "b", "never", 1000), (5, "b", None, 1000)],
+                   [("b", "before", "x1", 950), ("b", "before", "too old", 899), ("b", "other", "y", 1000)])
+    assert first == [(1, "x1", True)]
+    second = arrive(1, [(6, "b", "other", 1050)], [("b", "after", "x2", 1060), ("b", "before", "x3", 1001)])
+    assert second == [(1, "x1", True), (1, "x3", True), (2, "x2", True), (6, "y", True)]
+    third = arrive(2, [(7, "b", "next", 2000)], [("b", "late", "x4", 1061), ("b", "z", "z", 2000)])
+    assert third == sorted([*second, (3, None, False), (4, None, False), (5, None, False)], key=lambda r: r[:1] + (r[1] or "",))
+
+
 def test_timer_stream(spark):
     assert src.timer_triggers(spark, "t", 5).isStreaming
     with pytest.raises(ValueError):

@@ -52,7 +52,7 @@ def test_top_rows_per_group_are_cut_before_the_shuffle(spark, sf):
 
 def test_no_products(spark, sf):
     for name, fn in QUERIES.items():
-        if name.startswith("stream_") or name == "retrieve_stream":
+        if name.startswith(("stream_", "retrieve_stream")):
             continue  # run as streams
         plan = physical(fn(spark, sf))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
@@ -90,7 +90,7 @@ def test_expressions_stay_in_the_jvm(spark, sf):
     python = {"apply_processor_arrow"} | {
         f"{name}{form}" for name in ("batch_by_count_or_time", "dedupe_by_message_id") for form in ("", "_sliced")}
     for name, fn in QUERIES.items():
-        if name.startswith("stream_") or name == "retrieve_stream":
+        if name.startswith(("stream_", "retrieve_stream")):
             continue
         plan = physical(fn(spark, sf))
         assert ("MapInArrow" in plan) == (name in python), name

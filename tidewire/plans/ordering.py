@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..session import new_run_folder
 
 ROWS_PER_SLICE = 1_000_000
+LEAST_PER_SLICE = 50_000  # a window does as well
 RUN_BITS = 33  # monotonically_increasing_id: the task above, the row in it below
 
 
@@ -70,9 +71,13 @@ def dealt_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_
 
 
 def sliced(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None) -> DataFrame | None:
-    """``dealt_by_range`` if some group has more rows than a slice, else ``None``: then a window by group will do."""
-    per_slice = rows_per_slice or ROWS_PER_SLICE
+    """``dealt_by_range`` if some group has more rows than a slice, else ``None``: then a window by group will do.
+
+    A slice is a shuffle partition's share of all rows, within ``LEAST_PER_SLICE`` and ``ROWS_PER_SLICE``, or ``rows_per_slice``.
+    """
     largest, rows = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
+    share = (rows or 0) // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_slice = rows_per_slice or min(max(share, LEAST_PER_SLICE), ROWS_PER_SLICE)
     if not largest or largest <= per_slice:
         return None
     return dealt_by_range(df, by, order, per_slice, rows)

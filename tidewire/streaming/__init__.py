@@ -1,7 +1,7 @@
+from .flow import read_sink, retrieve_stream, retrieve_stream_waiting, stream_flow, stream_sink
 from .stateful import open_batches, stream_batcher, stream_dedupe, stream_redelivery
-from .flow import read_sink, retrieve_stream, stream_flow, stream_sink
 
 __all__ = [
-    "open_batches", "read_sink", "retrieve_stream", "stream_batcher", "stream_dedupe", "stream_flow", "stream_redelivery",
-    "stream_sink",
+    "open_batches", "read_sink", "retrieve_stream", "retrieve_stream_waiting", "stream_batcher", "stream_dedupe", "stream_flow",
+    "stream_redelivery", "stream_sink",
 ]

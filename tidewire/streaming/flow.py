@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.time import duration_us
 from ..operators.retrieval import retrieve_lenient
 
 BATCH = "write_id"
@@ -93,7 +94,8 @@ def retrieve_stream(
     triggers: DataFrame, objects: Callable[[], DataFrame], path: str, checkpoint: str,
     then: Processor | None = None, trigger: Mapping | None = None,
 ) -> StreamingQuery:
-    """Join each micro-batch of triggers to the object table as it is at that time, and write the found rows.
+    """Join each micro-batch of triggers to the object table as it is at that time (a trigger that comes before its object finds
+    nothing; ``retrieve_stream_waiting`` lets it wait), and write the found rows.
 
     ``objects`` is called for every micro-batch, so objects that land after the start are seen; the join runs as a batch
     job, where a hot location is split. Filter the triggers first: bodies are fetched for the survivors only. ``then`` is
@@ -107,3 +109,28 @@ def retrieve_stream(
 
     write = partial(_write_whole, path, "parquet", None, {})
     return start(triggers, partial(run, then), checkpoint, trigger)
+
+
+def retrieve_stream_waiting(
+    triggers: DataFrame, objects: DataFrame, path: str, checkpoint: str, wait_s: float | str, keep_s: float | str,
+    ts: str = "ts", modified: str = "modified", then: Processor | None = None, trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Join a stream of triggers to a stream of objects that land before or after them, by ``bucket`` and ``key``.
+
+    A trigger finds every version of its object that was modified from ``keep_s`` before its time to ``wait_s`` after it, whichever
+    of the two came in first. If none has come when the newest times of both streams have passed the wait, the trigger comes out
+    once with ``found`` false and nulls for the object. Both times bound what Spark keeps: triggers for the wait, objects until no
+    trigger can ask for them any more. Messages are expected in time order from one micro-batch to the next; a trigger without
+    a bucket, key or time finds nothing. ``then`` is applied to the rows (the triggers' columns, the objects' other columns, ``found``).
+    """
+    later, earlier = (F.expr(f"interval {duration_us(s)} microseconds") for s in (wait_s, keep_s))
+    asked = triggers.withColumn("_asked", F.col(ts).cast("timestamp")).withWatermark("_asked", "0 seconds")
+    names = [c for c in objects.columns if c not in triggers.columns]
+    landed = objects.select(
+        F.col("bucket").alias("_bucket"), F.col("key").alias("_key"), *names, F.col(modified).cast("timestamp").alias("_landed"),
+    ).withWatermark("_landed", "0 seconds")
+    same = (F.col("bucket") == F.col("_bucket")) & (F.col("key") == F.col("_key"))
+    in_time = (F.col("_landed") <= F.col("_asked") + later) & (F.col("_landed") >= F.col("_asked") - earlier)
+    joined = asked.join(landed, same & in_time, "left_outer")
+    out = joined.select(*triggers.columns, *names, F.col("_landed").isNotNull().alias("found"))
+    return stream_sink(then(out) if then else out, path, checkpoint, trigger=trigger)

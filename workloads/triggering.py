@@ -8,9 +8,9 @@ from tidewire import functions as fn
 from tidewire import operators as op
 from tidewire import sources as src
 from tidewire.session import new_run_folder
-from tidewire.streaming import read_sink, retrieve_stream
+from tidewire.streaming import read_sink, retrieve_stream, retrieve_stream_waiting
 
-from .reading import EVENT_FIELDS_SQL, POLLED_SQL, events_stream, previous_listing, text_map, us
+from .reading import EVENT_FIELDS_SQL, POLLED_SQL, events_stream, messages_stream, previous_listing, text_map, us
 from .registry import query
 from .views import derive, table
 
@@ -253,6 +253,31 @@ def retrieve_stream_query(spark, sf):
     return read_sink(spark, f"{run}/out")
 
 
+# Uploads and the triggers that ask for them come from one log; a third of a day later at most, or half a day before.
+@query("retrieve_stream_waiting", ["messages"], """
+with asked as (select seq, queue || '/' || seq % 3 as key, ts from messages where event_type = 'click'),
+landed as (select seq, queue || '/' || seq % 3 as key, ts, 'v' || seq as etag from messages where event_type = 'view'),
+pairs as (
+  select a.seq, a.key, l.etag from asked a join landed l
+  on a.key = l.key and l.ts between a.ts - interval '12' hour and a.ts + interval '8' hour),
+reached as (select least((select max(ts) from asked), (select max(ts) from landed)) as t)
+select seq, key, etag, true as found from pairs
+union all
+select seq, key, null, false from asked a, reached
+where a.ts + interval '8' hour < t and not exists (select 1 from pairs p where p.seq = a.seq)
+""")
+def retrieve_stream_waiting_query(spark, sf):
+    """Triggers whose object comes first, later, or never."""
+    key = F.concat("queue", F.lit("/"), (F.col("seq") % 3).cast("string")).alias("key")
+    log = messages_stream(spark, sf)
+    asked = log.where("event_type = 'click'").select("seq", F.lit("uploads").alias("bucket"), key, "ts")
+    landed = log.where("event_type = 'view'").select(
+        F.lit("uploads").alias("bucket"), key, F.concat(F.lit("v"), F.col("seq").cast("string")).alias("etag"), F.col("ts").alias("modified"))
+    run = new_run_folder(spark, "retrieve_stream_waiting")
+    retrieve_stream_waiting(asked, landed, f"{run}/out", f"{run}/checkpoint", "8h", "12h").awaitTermination()
+    return read_sink(spark, f"{run}/out").select("seq", "key", "etag", "found")
+
+
 @query("merge_triggers", ["triggers", "objects"], """
 select source, reference, cast(epoch_us(ts) as varchar) as ts_us from triggers
 union all select source, reference, null from (""" + POLLED_SQL + """) p
