@@ -58,15 +58,22 @@ def flag_hot(df: DataFrame, by: Sequence[str], rows: int) -> DataFrame | None:
 
 def dealt_by_range(df: DataFrame, by: Sequence[str], order: Sequence[str], rows_per_slice: int, rows: int) -> DataFrame:
     """``df``, written in the order of ``by`` and ``order``, with ``_group``, ``_slice`` (ascending within a group) and ``_run`` (ascending
-    within a slice, without gaps)."""
+    within a slice, without gaps).
+
+    Two levels: ranges of at most about ``ROWS_PER_SLICE`` rows, as many as the session has shuffle partitions or more, are tasks and
+    files; within a range every ``rows_per_slice`` rows are a slice.
+    """
     spark = df.sparkSession
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(math.ceil(rows / rows_per_slice), max(parallel, math.ceil(rows / ROWS_PER_SLICE))) or 1
     folder = new_run_folder(spark, "ranges")
     keys = [*by, *order]
-    ranges = df.repartitionByRange(math.ceil(rows / rows_per_slice) + 1, *keys).sortWithinPartitions(*keys)
-    ranges.withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
-    at = F.col("_at")
+    dealt = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(folder)
+    at, run = F.col("_at"), F.col("_at").bitwiseAND(F.lit((1 << RUN_BITS) - 1))
+    place = F.expr(f"(_at & {(1 << RUN_BITS) - 1}L) div {int(rows_per_slice)}")
     return spark.read.parquet(folder).withColumns({
-        "_group": group_of(by), "_slice": F.shiftright(at, RUN_BITS), "_run": at.bitwiseAND(F.lit((1 << RUN_BITS) - 1)),
+        "_group": group_of(by), "_slice": (at - run) + place, "_run": run,
     }).drop("_at")
 
 
