@@ -243,6 +243,23 @@ def test_triggers_wait_for_their_objects(spark, few_partitions, tmp_path):
     assert third == sorted([*second, (3, None, False), (4, None, False), (5, None, False)], key=lambda r: r[:1] + (r[1] or "",))
 
 
+@pytest.mark.parametrize("glob", ["*", "*.txt", "a?[bc]*"])
+def test_files_are_found_by_tasks_as_by_the_file_index(spark, tmp_path, glob):
+    for name in ("a.txt", "x/a1b.txt", "x/b.dat", "x/y/z/a2c", "x/y/z/ab.txt", "x/_hidden.txt", "x/.hidden.txt", "empty folder/sp ace.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name * 3)
+    (tmp_path / "nothing").mkdir()
+
+    def found(df):
+        return sorted((r.reference.replace("%20", " ").removeprefix("file://").removeprefix("file:"), r.size, r.metadata, r.ts.timestamp() // 1)
+                      for r in df.drop("metadata").withColumn("metadata", F.col("size").cast("string")).collect())
+
+    walked = src.walked_file_triggers(spark, f"file://{tmp_path}", glob)
+    listed = src.file_triggers(spark, str(tmp_path), glob)
+    assert walked.dtypes == listed.dtypes and found(walked) == found(listed) and found(walked)
+    assert src.walked_file_triggers(spark, f"file://{tmp_path}/nothing").collect() == []
+
+
 def test_timer_stream(spark):
     assert src.timer_triggers(spark, "t", 5).isStreaming
     with pytest.raises(ValueError):

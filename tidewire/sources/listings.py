@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import fnmatch
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.maps import empty_map, stringify_metadata
 from ..model import SOURCE_FILE, SOURCE_GENERATE, SOURCE_POLLING
 from ..plans.joins import null_safe_join
+from ..session import new_run_folder
 
 TICKS_PER_BLOCK = 10_000
+ENTRIES_AT_ONCE = 10_000
 
 
 def generate_triggers(timers: DataFrame, every_s: int) -> DataFrame:
@@ -84,3 +91,55 @@ def file_triggers(spark: SparkSession, folder: str, glob: str = "*", streaming:
         F.col("modificationTime").alias("ts"),
         F.col("length").alias("size"),
     )
+
+
+def _lister(root: str):
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The files and folders in each given folder, in pieces of ``ENTRIES_AT_ONCE``."""
+        store, _ = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = [x for x in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if x.base_name[:1] not in ("_", ".")]
+                for at in range(0, len(found), ENTRIES_AT_ONCE):
+                    part = found[at:at + ENTRIES_AT_ONCE]
+                    is_folder = [x.type == fs.FileType.Directory for x in part]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([x.path for x in part]), pa.array(is_folder),
+                        pa.array([None if d else x.size for d, x in zip(is_folder, part)], type=pa.int64()),
+                        pa.array([x.mtime_ns // 1000 if x.mtime_ns else None for x in part], type=pa.int64()),
+                    ], names=["path", "is_folder", "size", "modified_us"])
+
+    return entries
+
+
+def walked_file_triggers(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """A trigger per file below ``root``, listed by tasks: the driver sees no names.
+
+    Folders are listed level by level, each by one task; what a level holds is written and its folders are the next level's work.
+    ``root`` is a URI of a store that every executor reaches by itself (``file://`` on a shared mount, ``hdfs://``, ``s3://``); others, and
+    streams, take ``file_triggers``. ``glob`` is for file names; names that start with ``_`` or ``.`` are left out, as Spark does. A
+    folder that goes away meanwhile holds nothing. A root without files gives no rows.
+    """
+    _, inner = fs.FileSystem.from_uri(root)
+    if not root.rstrip("/").endswith(inner.rstrip("/")):
+        raise ValueError(f"write the root without escapes: {root!r}")
+    prefix = root.rstrip("/")[:len(root.rstrip("/")) - len(inner.rstrip("/"))]
+    work = new_run_folder(spark, "listing")
+    schema = "path string, is_folder boolean, size bigint, modified_us bigint"
+    folders, level = spark.createDataFrame([(inner.rstrip("/"),)], "path string"), 0
+    while True:
+        folders.select("path").mapInArrow(_lister(root), schema).write.parquet(f"{work}/level={level}")
+        below = spark.read.schema(schema).parquet(f"{work}/level={level}").where("is_folder").select("path")
+        if not below.head(1):
+            break
+        folders, level = below.repartition("path"), level + 1
+    found = spark.read.schema(schema).parquet(*[f"{work}/level={i}" for i in range(level + 1)]).where(~F.col("is_folder"))
+    pattern = fnmatch.translate(glob)
+    named = found.where(F.element_at(F.split("path", "/"), -1).rlike("^" + pattern)).withColumn("modified", F.timestamp_micros("modified_us"))
+    return named.select(
+        F.lit(SOURCE_FILE).alias("source"),
+        F.concat(F.lit(prefix), "path").alias("reference"),
+        stringify_metadata({"size": F.col("size"), "modified": F.col("modified")}).alias("metadata"),
+        F.col("modified").alias("ts"),
+        "size",
+    )

@@ -211,6 +211,19 @@ def file_triggers(spark, sf):
     return found.select("source", route.alias("folder"), (F.col("size") > 0).alias("has_rows")).distinct()
 
 
+@query("walked_file_triggers", ["messages"], """
+select distinct 'file' as source, 'route=' || event_type || '.' || qos as folder, true as has_rows from messages
+""")
+def walked_file_triggers(spark, sf):
+    """The same routes, found by tasks that list a folder each."""
+    folder = new_run_folder(spark, "walked")
+    routed = op.route_by_expression(table(spark, sf, "messages"), "${!event_type}.${!qos}")
+    op.write_routes(routed.select("route", "seq"), folder)
+    found = src.walked_file_triggers(spark, folder if ":/" in folder else f"file://{folder}", "*.parquet")
+    route = F.element_at(F.split("reference", "/"), -2)
+    return found.select("source", route.alias("folder"), (F.col("size") > 0).alias("has_rows")).distinct()
+
+
 @query("message_context", ["messages"], """
 select seq, raw as content, cast(json_extract(raw, '$.k') as bigint) as k,
        concat('event_type=', event_type, ';queue=', queue) as metadata
