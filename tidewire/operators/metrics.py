@@ -33,10 +33,11 @@ def component_metrics(samples: DataFrame, order: tuple[str, ...] = ("ts",)) -> D
     )
 
 
-def observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+def observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation | str]:
     """Record aggregates of the rows that pass through, without a pass of their own.
 
-    The observation's values are there once an action on the returned frame has finished.
+    The observation's values are there once an action on the returned frame has finished. A stream has values per micro-batch, read by
+    the name with ``streaming.observed_progress``.
     """
-    observation = Observation(name)
+    observation = name if df.isStreaming else Observation(name)
     return df.observe(observation, *[value.alias(key) for key, value in metrics.items()]), observation

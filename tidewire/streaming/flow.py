@@ -134,3 +134,13 @@ def retrieve_stream_waiting(
     joined = asked.join(landed, same & in_time, "left_outer")
     out = joined.select(*triggers.columns, *names, F.col("_landed").isNotNull().alias("found"))
     return stream_sink(then(out) if then else out, path, checkpoint, trigger=trigger)
+
+
+def observed_progress(query: StreamingQuery, name: str) -> list[dict]:
+    """What ``operators.observed`` recorded under ``name``, per micro-batch, oldest first, with its ``batch_id``.
+
+    A running query shows each micro-batch as soon as it is done. Spark keeps the last 100
+    (``spark.sql.streaming.numRecentProgressUpdates``).
+    """
+    seen = ((p["batchId"], p["observedMetrics"].get(name)) for p in query.recentProgress)
+    return [{"batch_id": batch_id, **metrics.asDict()} for batch_id, metrics in seen if metrics is not None]

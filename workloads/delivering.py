@@ -10,6 +10,7 @@ from tidewire import functions as fn
 from tidewire import operators as op
 from tidewire.session import new_run_folder
 from tidewire.streaming import (
+    observed_progress,
     read_sink,
     stream_batcher,
     stream_dedupe,
@@ -659,3 +660,23 @@ def stream_redelivery_query(spark, sf):
     attempts = derive(spark, "deliveries", messages=messages_stream(spark, sf))
     stream_redelivery(attempts, 60, f"{run}/out", f"{run}/checkpoint", 3).awaitTermination()
     return read_sink(spark, f"{run}/out").select("status", "consumer", "seq", "attempt", "due_us")
+
+
+@query("stream_metrics", ["messages"], """
+select event_type = 'click' as click, count(*) as n_rows, sum(length(raw))::bigint as n_bytes, max(seq) as last_seq
+from messages group by 1
+""")
+def stream_metrics_query(spark, sf):
+    """Rows, bytes and the last message of two outputs, counted while they are written and summed over the micro-batches."""
+    messages = messages_stream(spark, sf)
+    totals = []
+    for click in (True, False):
+        run = new_run_folder(spark, "stream_metrics")
+        part = messages.where((F.col("event_type") == "click") == click).select("seq", "raw")
+        counted, _ = op.observed(part, "out", {
+            "n_rows": F.count(F.lit(1)), "n_bytes": F.coalesce(F.sum(F.length("raw")), F.lit(0)), "last_seq": F.max("seq")})
+        running = stream_sink(counted, f"{run}/out", f"{run}/checkpoint")
+        running.awaitTermination()
+        seen = [m for m in observed_progress(running, "out") if m["n_rows"]]
+        totals.append((click, sum(m["n_rows"] for m in seen), sum(m["n_bytes"] for m in seen), max(m["last_seq"] for m in seen)))
+    return spark.createDataFrame(totals, "click boolean, n_rows bigint, n_bytes bigint, last_seq bigint")
