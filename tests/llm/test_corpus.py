@@ -175,6 +175,8 @@ def test_field_marginals_are_those_of_all_labellings(monkeypatch):
         pairs += moves / total
         assert n == 0 or abs(z - np.log(total)) < 1e-9
     assert np.allclose(p, expected) and np.allclose(counts, pairs)
+    again, none, _ = crf.marginals(emission, lengths, move, counted=False)
+    assert np.array_equal(again, p) and not none.any()
 
 
 @pytest.fixture(scope="module")
@@ -218,6 +220,15 @@ def test_toxicity_on_held_out_rows(labelled_rows):
     assert sum(found) >= 0.8 * len(found) and sum(wrong) <= 0.03 * len(wrong)
 
 
+def test_word_features_do_not_depend_on_the_words_beside_them():
+    kinds = ["Vile,", "v1le", "100", "$$$", "_", "a_b", "ẞtraße", "İstanbul", "ΣΑΣ", "ﬁne", "x²", "²", "日本語", "B4D!", "e\u0301t", "\u200d", "9a"]
+    names = list(toxicity.words_names(kinds))
+    assert names == [next(toxicity.words_names([w])) for w in kinds] and {len(row) for row in names} == {toxicity.WIDTH}
+    assert names[0] == ("wvile", "3vil", "4vile", "", "", "", "", "sl4") and names[1][:3] == names[0][:3] and names[1][-1] == "sld4"
+    assert names[2][0] == "w100" and names[3] == ("w", *[""] * 6, "sl0") and names[13][0] == "wbadi" and names[16][0] == "w9a"
+    assert toxicity.word_features([]).shape == (0, toxicity.WIDTH)
+
+
 def test_toxic_spans(spark):
     rng = random.Random(2)
     rows = [(f"{words(20, i)} {rng.choice(['nasty', 'Vile,'])} {words(5, -i)}" if i % 3 == 0 else words(25, i), int(i % 3 == 0)) for i in range(300)]

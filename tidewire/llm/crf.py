@@ -53,8 +53,9 @@ def bounds_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, last
 
 
-def marginals(emission: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """P(label 1) of each item, expected transition counts (2x2), and each sequence's log partition."""
+def marginals(emission: np.ndarray, lengths: np.ndarray, move: np.ndarray,
+              counted: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """P(label 1) of each item, expected transition counts (2x2; zeros unless ``counted``), and each sequence's log partition."""
     lengths = np.asarray(lengths, dtype=np.int64)
     n_blocks = -(-lengths // STEPS)
     total = int(n_blocks.sum())
@@ -132,10 +133,11 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> tu
         here = np.stack([p0[:, t], p1[:, t]], axis=1) * state  # potential times what follows
         both = before[t] * here
         out[:, t] = both[:, 1] / both.sum(axis=1)
-        entered = live[:, t] & ~(begins if t == 0 else np.zeros(total, bool))
-        came = (ahead if t == 0 else _after(before[t - 1], p0[:, t - 1], p1[:, t - 1]))[entered]
-        pair = came[:, :, None] * weight * here[entered][:, None, :]
-        counts += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        if counted:
+            entered = live[:, t] & ~(begins if t == 0 else np.zeros(total, bool))
+            came = (ahead if t == 0 else _after(before[t - 1], p0[:, t - 1], p1[:, t - 1]))[entered]
+            pair = came[:, :, None] * weight * here[entered][:, None, :]
+            counts += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         new = here @ weight.T
         new /= new.sum(axis=1, keepdims=True)
         if t:

@@ -142,7 +142,7 @@ class Quality:
 
 def _line_marginals(model: crf.Model, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
     emission = crf.emissions(model, features, np.arange(len(features)), *crf.bounds_of(counts))
-    return crf.marginals(emission, counts, model.move)[0]
+    return crf.marginals(emission, counts, model.move, counted=False)[0]
 
 
 def _aggregate(p: np.ndarray, counts: np.ndarray, chars: np.ndarray) -> np.ndarray:

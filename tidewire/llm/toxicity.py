@@ -20,7 +20,7 @@ import heapq
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +37,10 @@ WIDTH = 8  # features per word
 EVIDENCE = 6.5
 PURITY = 0.9
 NEW_DOCS = 4
-_CORE = re.compile(r"[\W_]+")
+KNOWN_NAMES = 400_000
+_CORE = re.compile(r"[^\w\n]+|_+")
 _WORD = re.compile(r"\S+")
-LOOKALIKES = str.maketrans("013457@$!", "oieasta" + "si")
+LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
 
 SCORED = pa.struct([
     ("score", pa.float64()), ("toxic_words", pa.float64()),
@@ -47,25 +48,46 @@ SCORED = pa.struct([
 ])
 
 
-@lru_cache(maxsize=200_000)
-def _slot(name: str) -> int:
-    return xxhash.xxh64_intdigest(name) % (N_FEATURES - 1) + 1  # 0 is no feature
+class _Slots(dict):
+    """Feature ids of names (0 is no feature); remembers a bounded number of them."""
 
+    def __missing__(self, name: str) -> int:
+        slot = xxhash.xxh64_intdigest(name) % (N_FEATURES - 1) + 1
+        if len(self) < KNOWN_NAMES:
+            self[name] = slot
+        return slot
 
-def word_names(word: str) -> list[str]:
-    """Names of a word's features; the first ``WIDTH - 1`` can be evidence for a label."""
-    plain = _CORE.sub("", word).casefold()
-    core = _CORE.sub("", word.casefold().translate(LOOKALIKES)) if any(c.isalpha() for c in plain) else plain
-    names = [f"w{core}"] + [f"{k}{core[:k]}" if len(core) >= k else "" for k in (3, 4, 5, 6, 7)]
-    names.append(f"e{core[-4:]}" if len(core) > 4 else "")
-    shape = ("U" if word.isupper() else "l") + ("d" if any(map(str.isdigit, word)) else "") + str(min(len(core), 12))
-    return [*names, f"s{shape}"]
+
+_SLOTS = _Slots({"": 0})
+
+
+def words_names(words: Sequence[str]) -> Iterator[tuple[str, ...]]:
+    """``WIDTH`` names of each word's features ("" for none); the first ``WIDTH - 1`` can be evidence for a label.
+
+    Words hold no white space, so that all of them are folded and stripped at once, joined by line feeds.
+    """
+    joined = "\n".join(words)
+    folded = joined.casefold()
+    plains = _CORE.sub("", folded).split("\n")
+    cores = _CORE.sub("", folded.translate(LOOKALIKES)).split("\n")
+    for word, plain, core in zip(words, plains, cores):
+        digits = False
+        if not plain.isalpha():
+            digits = any(map(str.isdigit, word))
+            if not any(map(str.isalpha, plain)):
+                core = plain
+        n = len(core)
+        yield (
+            "w" + core, "3" + core[:3] if n >= 3 else "", "4" + core[:4] if n >= 4 else "", "5" + core[:5] if n >= 5 else "",
+            "6" + core[:6] if n >= 6 else "", "7" + core[:7] if n >= 7 else "", "e" + core[-4:] if n > 4 else "",
+            f"s{'U' if word.isupper() else 'l'}{'d' if digits else ''}{min(n, 12)}",
+        )
 
 
 def word_features(words: Sequence[str]) -> np.ndarray:
     """A row of feature ids per word."""
-    rows = [[_slot(n) if n else 0 for n in word_names(w)] for w in words]
-    return np.array(rows, dtype=np.int32).reshape(-1, WIDTH)
+    names = chain.from_iterable(words_names(words))
+    return np.fromiter(map(_SLOTS.__getitem__, names), np.int32, len(words) * WIDTH).reshape(-1, WIDTH)
 
 
 @dataclass
@@ -90,7 +112,7 @@ class Toxicity:
             return np.zeros(0), lengths
         weights = np.frombuffer(b"".join(b"".join(v) for v in memo.resolve(rows)), dtype=np.float32).reshape(-1, 3)
         emission = crf.combined(*weights.T.astype(np.float64), self.tagger.bias, *crf.bounds_of(lengths))
-        return crf.marginals(emission, lengths, self.tagger.move)[0], lengths
+        return crf.marginals(emission, lengths, self.tagger.move, counted=False)[0], lengths
 
     def score(self, p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.zeros(len(lengths))
@@ -138,7 +160,7 @@ def _telling(marks_in: Sequence[np.ndarray], y: np.ndarray, n: int) -> np.ndarra
 
 def _marks(words: Sequence[str]) -> tuple[np.ndarray, int]:
     """Numbers of the features of each word that can mark a document (0 for none), and how many numbers there are."""
-    names = [[xxhash.xxh64_intdigest(n) | 1 if len(n) > 3 else 0 for n in word_names(w)[:WIDTH - 1]] for w in words]
+    names = [[xxhash.xxh64_intdigest(n) | 1 if len(n) > 3 else 0 for n in row[:WIDTH - 1]] for row in words_names(words)]
     distinct, marks = np.unique(np.array([[0] * (WIDTH - 1), *names], dtype=np.uint64), return_inverse=True)
     return marks.reshape(-1, WIDTH - 1)[1:].astype(np.int32), len(distinct)
 
