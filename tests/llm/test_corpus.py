@@ -139,8 +139,9 @@ def plain_search(texts, queries, k):
 
 
 def test_search_is_exact(spark, monkeypatch, docs, none):
-    monkeypatch.setattr(search, "SHARD_DOCS", 90)
-    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(search, "SHARD_DOCS", 200)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(search, "PART_POSTINGS", 3_000)
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(60)]
     texts = {i: " ".join(rng.choices(vocabulary, weights=[1 / (j + 1) for j in range(60)], k=rng.randint(0, 60))) for i in range(400)}

@@ -1,14 +1,16 @@
 """Exact top-k BM25 search over an inverted index with block-max WAND pruning, per shard and merged.
 
-Documents are dealt into shards of about ``SHARD_DOCS``. A shard's index holds, per term, postings in document order, cut into
+Texts are cut into terms once; each document's postings are written to the run folder, and counts, queries and shards read
+them there. Documents are dealt into shards of about ``SHARD_DOCS`` rows and ``PART_POSTINGS`` postings. A shard's index holds, per term, postings in document order, cut into
 blocks at fixed document ranges, and each block's largest score contribution. For a query, the block maxima of its terms are
 summed up per range. Ranges are visited in falling order of that bound and scored in full, until the bound falls below
 the k-th best score so far; then no document in what is left can enter the result (the pivot test of WAND, made for whole
 ranges at once). Document frequencies, number of documents and average length are those of the whole corpus, so scores do
 not depend on the shard and the k best of all shards' k best are exact. Ties go to the smaller key.
 
-Queries are dealt in blocks of ``QUERY_BLOCK`` to every shard; shard and block sizes are fixed, so a task's memory does not grow
-with the corpus, and the number of tasks is shards times blocks.
+Queries are dealt in blocks of ``QUERY_BLOCK`` rows or ``PART_POSTINGS`` terms to every shard. Rows and postings of both are
+bounded (but for a single longer document), so a task's memory does not grow with the corpus or with long texts; the
+number of tasks is shards times blocks.
 
 A term is a maximal run of word characters, lower-cased; a query weighs a term by how often it has it. Null or empty
 texts match nothing; queries without terms give no rows; documents that share no term with a query are not in its result.
@@ -29,10 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import new_run_folder
 from .arrow import Memo, texts_of
 
 K1, B = 1.2, 0.75
 SHARD_DOCS = 8_192
+PART_POSTINGS = 1_000_000
 QUERY_BLOCK = 8_192
 RANGE_DOCS = 64
 FLUSH_TERMS = 500_000
@@ -51,21 +55,31 @@ def text_terms(texts: Sequence[str], memo: Memo) -> tuple[np.ndarray, np.ndarray
     return np.frombuffer(b"".join(b"".join(v) for v in memo.resolve(rows)), "<i8"), np.array([len(r) for r in rows], np.int64)
 
 
-def _counted(docs: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (term, doc) in that order and how often each stands."""
-    order = np.lexsort((docs, terms))
-    docs, terms = docs[order], terms[order]
-    new = np.ones(len(docs), bool)
-    new[1:] = (docs[1:] != docs[:-1]) | (terms[1:] != terms[:-1])
-    at = np.flatnonzero(new)
-    return terms[at], docs[at], np.diff(np.append(at, len(docs)))
+def written_postings(docs: DataFrame, key: str, text: str, folder: str) -> DataFrame:
+    """A row per document: ``key``, ``length`` in words, ``terms`` (distinct, ascending, 8 bytes each) and ``times`` (4 bytes
+    each). Written once; everything after reads what is written, and texts go no further."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(term_hashes)
+        for batch in batches:
+            terms, lengths = text_terms(texts_of(batch.column(1)), memo)
+            ends = np.cumsum(lengths)
+            found = [np.unique(terms[end - n:end], return_counts=True) for end, n in zip(ends, lengths)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array(lengths), pa.array([t.astype("<i8").tobytes() for t, _ in found], pa.binary()),
+                pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())], ["key", "length", "terms", "times"])
+
+    cut_docs = docs.select(key, text).mapInArrow(cut, f"key {kind}, length bigint, terms binary, times binary")
+    cut_docs.write.parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
 
 
-def document_frequencies(docs: DataFrame, text: str) -> DataFrame:
+def document_frequencies(postings: DataFrame) -> DataFrame:
     """(term, df) over all documents, and the number of all words under ``ALL_TERMS``. Counted in the tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen = Memo(term_hashes), Counter()
+        seen = Counter()
 
         def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["term", "df"])
@@ -73,26 +87,28 @@ def document_frequencies(docs: DataFrame, text: str) -> DataFrame:
             return out
 
         for batch in batches:
-            terms, lengths = text_terms(texts_of(batch.column(0)), memo)
-            distinct, _, _ = _counted(np.repeat(np.arange(len(lengths)), lengths), terms)
-            names, n = np.unique(distinct, return_counts=True)
+            names, n = np.unique(np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8"), return_counts=True)
             seen.update(dict(zip(names.tolist(), n.tolist())))
-            seen[ALL_TERMS] += len(terms)
+            seen[ALL_TERMS] += sum(batch.column(0).to_pylist())
             if len(seen) > FLUSH_TERMS:
                 yield flush()
         yield flush()
 
-    return docs.select(text).mapInArrow(count, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    counts = postings.select("length", "terms").mapInArrow(count, "term bigint, df bigint")
+    return counts.groupBy("term").agg(F.sum("df").alias("df"))
 
 
 class ShardIndex:
     """The inverted index of one shard."""
 
-    def __init__(self, keys: np.ndarray, texts: Sequence[str], average: float):
+    def __init__(self, keys: np.ndarray, lengths: np.ndarray, terms: Sequence[bytes], times: Sequence[bytes], average: float):
         order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        terms, lengths = text_terms([texts[i] for i in order], Memo(term_hashes))
-        term, self.doc, tf = _counted(np.repeat(np.arange(len(lengths)), lengths), terms)
+        self.keys, lengths = keys[order], lengths[order]
+        term = np.frombuffer(b"".join([terms[i] for i in order]), "<i8")
+        tf = np.frombuffer(b"".join([times[i] for i in order]), "<i4")
+        self.doc = np.repeat(np.arange(len(order)), [len(terms[i]) // 8 for i in order])
+        order = np.argsort(term, kind="stable")  # documents stay ascending within a term
+        term, tf, self.doc = term[order], tf[order], self.doc[order]
         self.gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / average))
         block = self.doc // RANGE_DOCS
         new = np.ones(len(term), bool)
@@ -147,18 +163,26 @@ def _slices(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n), n
 
 
-def query_terms(queries: DataFrame, frequencies: DataFrame, n_docs: int, key: str, text: str) -> DataFrame:
+def _parts(postings: DataFrame, rows: int) -> tuple[int, int, int]:
+    """Number of rows and of words, and how many parts keep rows and postings of a part near ``rows`` and ``PART_POSTINGS``."""
+    total = postings.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("words"),
+                         F.coalesce(F.sum(F.octet_length("terms")), F.lit(0)).alias("bytes")).first()
+    return total["n"], total["words"], max(1, math.ceil(total["n"] / rows), math.ceil(total["bytes"] / 8 / PART_POSTINGS))
+
+
+def query_terms(postings: DataFrame, frequencies: DataFrame, n_docs: int) -> DataFrame:
     """(query_id, terms, weights): each query's distinct terms, ascending, with times in the query * idf."""
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(term_hashes)
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, lengths = text_terms(texts_of(batch.column(1)), memo)
-            term, row, n = _counted(np.repeat(np.arange(len(lengths)), lengths), terms)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(term), pa.array(n)], ["query_id", "term", "n"])
-
-    kind = queries.schema[key].dataType.simpleString()
-    rows = queries.select(key, text).mapInArrow(cut, f"query_id {kind}, term bigint, n bigint")
+            terms, times = (batch.column(k).to_pylist() for k in (1, 2))
+            row = np.repeat(np.arange(len(terms)), [len(t) // 8 for t in terms])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(row)), pa.array(np.frombuffer(b"".join(terms), "<i8")),
+                pa.array(np.frombuffer(b"".join(times), "<i4").astype(np.int64))], ["query_id", "term", "n"])
+
+    kind = postings.schema["key"].dataType.simpleString()
+    rows = postings.select("key", "terms", "times").mapInArrow(flat, f"query_id {kind}, term bigint, n bigint")
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = rows.join(frequencies, "term").select("query_id", F.struct("term", (F.col("n") * idf).alias("w")).alias("t"))
     lists = weighted.groupBy("query_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
@@ -168,17 +192,18 @@ def query_terms(queries: DataFrame, frequencies: DataFrame, n_docs: int, key: st
 def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(query_id, rank, ``key``, score): the ``k`` best documents for each row of ``queries`` (same column names)."""
     docs, queries = (d.select(key, text).where(F.col(key).isNotNull()) for d in (docs, queries))
-    frequencies = document_frequencies(docs, text)
-    totals = frequencies.where(F.col("term") == ALL_TERMS).first()
-    n_docs, n_queries = docs.count(), queries.count()
-    average = max(1.0, (totals["df"] if totals else 0) / max(1, n_docs))
-    shards, blocks = max(1, math.ceil(n_docs / SHARD_DOCS)), max(1, math.ceil(n_queries / QUERY_BLOCK))
+    folder = new_run_folder(docs.sparkSession, "search")
+    postings, asked_terms = (written_postings(d, key, text, f"{folder}/{name}") for d, name in ((docs, "docs"), (queries, "queries")))
+    frequencies = document_frequencies(postings)
+    n_docs, words, shards = _parts(postings, SHARD_DOCS)
+    _, _, blocks = _parts(asked_terms, QUERY_BLOCK)
+    average = max(1.0, words / max(1, n_docs))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(group: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "key": [], "score": []}
         if len(left) and len(right):
-            index = ShardIndex(left["key"].to_numpy(), left["text"].fillna("").tolist(), average)
+            index = ShardIndex(left["key"].to_numpy(), left["length"].to_numpy(), left["terms"].tolist(), left["times"].tolist(), average)
             for query, terms, weights in zip(right["query_id"], right["terms"], right["weights"]):
                 found, scores = index.top(np.asarray(terms), np.asarray(weights), k)
                 out["query_id"] += [query] * len(found)
@@ -187,8 +212,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
         return pd.DataFrame(out)
 
     spread = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    dealt = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.pmod(F.xxhash64(key, text), F.lit(shards)).alias("shard"), spread)
-    terms = query_terms(queries, frequencies, n_docs, key, text)
+    dealt = postings.select("*", F.pmod(F.xxhash64("key", "terms"), F.lit(shards)).alias("shard"), spread)
+    terms = query_terms(asked_terms, frequencies, n_docs)
     asked = terms.select("*", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"),
                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shards - 1).cast("bigint"))).alias("shard"))
     best = dealt.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
