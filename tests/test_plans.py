@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewire import operators as op
 from tidewire.plans import numbered
+from tidewire.plans.joins import copied_to_pieces, dealt_to_pieces, hot_keys
 from tidewire.sources import page_objects
 from workloads.catalog import QUERIES
 from workloads.triggering import located
@@ -136,3 +137,22 @@ def test_nothing_is_broadcast_by_force(spark, sf):
     for name in ("order_triggers_sliced", "consumer_lag_sliced", "dedupe_by_message_id_sliced"):
         text = QUERIES[name](spark, sf)._jdf.queryExecution().toString()
         assert "ResolvedHint" not in text and "strategy=broadcast" not in text
+
+
+def test_hot_keys_are_joined_in_pieces(spark):
+    rows = spark.range(0, 30_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 5000).alias("k"), "id")
+    names = spark.range(0, 5000).select(F.col("id").alias("k"), F.concat(F.lit("name"), "id").alias("name"))
+    hot = hot_keys(rows.where("k is not null").groupBy("k").agg(F.count("id").alias("n")), ["k"], "n")
+    (found,) = hot.collect()
+    assert found.k == 0 and 341 <= found._pieces <= 400
+    dealt = dealt_to_pieces(rows, hot, ["k"], ["id"])
+    joined = dealt.join(copied_to_pieces(names, hot, ["k"]), ["k", "_piece"], "left")
+    assert joined.groupBy("k", "_piece").count().agg(F.max("count")).head()[0] < 100
+    assert sorted(joined.select("id", "name").collect()) == sorted(rows.join(names, "k", "left").select("id", "name").collect())
+
+
+def test_no_rows_have_no_hot_keys(spark):
+    none = spark.range(0).select(F.col("id").alias("k"), F.col("id").alias("n"))
+    hot = hot_keys(none, ["k"], "n")
+    assert hot.count() == 0 and copied_to_pieces(dealt_to_pieces(none, hot, ["k"], ["n"]).drop("_piece"), hot, ["k"]).count() == 0
