@@ -15,7 +15,8 @@ was compared, and no link is lost.
 
 Words are cut at ASCII white space; A-Z are lower-cased. With fewer than five words the whole sequence is the one shingle.
 Null texts and texts without words have an empty set and are linked with nothing. Rows with one key are one document; a null
-key is linked with nothing. Shingles are compared by 64-bit hashes, classes by 128-bit ones.
+key is linked with nothing. An empty table gives an empty table; columns other than key and text are not read, so their names
+do not matter. Shingles are compared by 64-bit hashes, classes by 128-bit ones.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from ..plans.binding import bind
+from ..plans.joins import copied_to_pieces, dealt_to_pieces, hot_keys
 from ..session import new_run_folder
 from .arrow import Memo, texts_of
 from .linked_groups import group_roots, stored
@@ -192,7 +194,8 @@ class _Search:
         sketched = texts.select("key", sketcher(self.n_hashes)(F.col("text")).alias("s")).select("key", "s.*")
         self.sketches = stored(sketched, self.folder, "sketches")
         linked = self.sketches.where("n > 0 and key is not null")
-        self.reps = linked.groupBy("h1", "h2").agg(F.min("key").alias("rep"))
+        reps = linked.groupBy("h1", "h2").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        self.reps = stored(reps, self.folder, "reps")
         first = linked.withColumnRenamed("key", "rep").join(self.reps, ["h1", "h2", "rep"], "left_semi")
         self.classes = stored(first.dropDuplicates(["rep", "h1", "h2"]).select("rep", "n", "sig"), self.folder, "classes")
         hashes = F.transform(F.sequence(F.lit(0), F.lit(self.n_bands - 1)), lambda k: F.xxhash64(
@@ -305,10 +308,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, rows: int = 7, key: str
     similarity, its own included), kept (whether it is that one)."""
     search = _Search(docs, key, text, percent, rows)
     search.run()
-    classes = search.reps
+    equal = ["h1", "h2"]
+    hot = hot_keys(search.reps, equal, "copies")  # a class of many exact copies meets its row in pieces
+    classes = search.reps.drop("copies")
     if search.labels is not None:
         classes = classes.join(search.labels, "rep", "left").withColumn("rep", F.coalesce("comp", "rep")).drop("comp")
-    found = search.sketches.select("key", "n", "h1", "h2").join(classes, ["h1", "h2"], "left")
+    members = dealt_to_pieces(search.sketches.select("key", "n", *equal), hot, equal, ["key"])
+    found = members.join(copied_to_pieces(classes, hot, equal), [*equal, "_piece"], "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("rep", "key"))
     return found.select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
