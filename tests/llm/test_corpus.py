@@ -156,6 +156,26 @@ def test_search_is_exact(spark, monkeypatch, docs, none):
     assert search.search(none, none).count() == 0
 
 
+def test_search_shuffles_neither_postings_nor_copies_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 20)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 5)
+    df = spark.createDataFrame([(i, words(20, i)) for i in range(100)], "doc_id bigint, text string").repartition(2)
+    found = search.search(df, df.where("doc_id % 5 = 0"), k=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("CartesianProduct") == 1 and "Exchange" not in plan.split("CartesianProduct")[1]
+    assert "shard" not in "".join(line for line in plan.split("\n") if "Exchange" in line)
+    assert found.where("rank = 1 and doc_id = query_id").count() == 20
+
+
+def test_copies_score_alike_in_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 7)
+    texts = [(i, words(30, 1) if i % 3 else words(30, i)) for i in range(90)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    found = search.search(df, df.where("doc_id = 1"), k=25).orderBy("rank").collect()
+    assert [r.doc_id for r in found] == [i for i in range(90) if i % 3][:25]
+    assert len({r.score for r in found}) == 1
+
+
 def test_field_marginals_are_those_of_all_labellings(monkeypatch):
     monkeypatch.setattr(crf, "STEPS", 4)
     rng = np.random.default_rng(0)
