@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -176,6 +177,17 @@ def test_copies_score_alike_in_every_shard(spark, monkeypatch):
     assert len({r.score for r in found}) == 1
 
 
+def test_fitting_toxicity_keeps_the_model_only(monkeypatch):
+    rows = [(words(400, i) + (" vile" if i % 2 else ""), i % 2) for i in range(60)]
+    tracemalloc.start()
+    model = toxicity.fit_toxicity(rows, rounds=2)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert model.tagger is not None and kept < 3e6  # three tables of 65,536 weights
+    monkeypatch.setattr(toxicity, "FITTED_WORDS", 7)
+    assert (toxicity.fit_toxicity(rows, rounds=2).tagger.own == model.tagger.own).all()
+
+
 def test_field_marginals_are_those_of_all_labellings(monkeypatch):
     monkeypatch.setattr(crf, "STEPS", 4)
     rng = np.random.default_rng(0)

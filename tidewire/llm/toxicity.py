@@ -37,7 +37,7 @@ WIDTH = 8  # features per word
 EVIDENCE = 6.5
 PURITY = 0.9
 NEW_DOCS = 4
-KNOWN_NAMES = 400_000
+FITTED_WORDS = 4_096  # distinct words whose names are held at once while fitting
 _CORE = re.compile(r"[^\w\n]+|_+")
 _WORD = re.compile(r"\S+")
 LOOKALIKES = str.maketrans("013457@$!", "oieastasi")
@@ -48,17 +48,9 @@ SCORED = pa.struct([
 ])
 
 
-class _Slots(dict):
-    """Feature ids of names (0 is no feature); remembers a bounded number of them."""
-
-    def __missing__(self, name: str) -> int:
-        slot = xxhash.xxh64_intdigest(name) % (N_FEATURES - 1) + 1
-        if len(self) < KNOWN_NAMES:
-            self[name] = slot
-        return slot
-
-
-_SLOTS = _Slots({"": 0})
+def _slot(name: str) -> int:
+    """Feature id of a name; 0 is no feature."""
+    return xxhash.xxh64_intdigest(name) % (N_FEATURES - 1) + 1 if name else 0
 
 
 def words_names(words: Sequence[str]) -> Iterator[tuple[str, ...]]:
@@ -87,7 +79,13 @@ def words_names(words: Sequence[str]) -> Iterator[tuple[str, ...]]:
 def word_features(words: Sequence[str]) -> np.ndarray:
     """A row of feature ids per word."""
     names = chain.from_iterable(words_names(words))
-    return np.fromiter(map(_SLOTS.__getitem__, names), np.int32, len(words) * WIDTH).reshape(-1, WIDTH)
+    return np.fromiter(map(_slot, names), np.int32, len(words) * WIDTH).reshape(-1, WIDTH)
+
+
+def _in_parts(rows_of: Callable[[Sequence[str]], np.ndarray], words: Sequence[str]) -> np.ndarray:
+    """``rows_of`` all ``words``, a few at a time, so that names and their hashes need not be in memory together: the driver
+    fits, and what it once took for small objects it hardly gives back."""
+    return np.concatenate([rows_of(words[at:at + FITTED_WORDS]) for at in range(0, max(1, len(words)), FITTED_WORDS)])
 
 
 @dataclass
@@ -160,8 +158,13 @@ def _telling(marks_in: Sequence[np.ndarray], y: np.ndarray, n: int) -> np.ndarra
 
 def _marks(words: Sequence[str]) -> tuple[np.ndarray, int]:
     """Numbers of the features of each word that can mark a document (0 for none), and how many numbers there are."""
-    names = [[xxhash.xxh64_intdigest(n) | 1 if len(n) > 3 else 0 for n in row[:WIDTH - 1]] for row in words_names(words)]
-    distinct, marks = np.unique(np.array([[0] * (WIDTH - 1), *names], dtype=np.uint64), return_inverse=True)
+    def hashes(part: Sequence[str]) -> np.ndarray:
+        names = chain.from_iterable(row[:WIDTH - 1] for row in words_names(part))
+        each = (xxhash.xxh64_intdigest(n) | 1 if len(n) > 3 else 0 for n in names)
+        return np.fromiter(each, np.uint64, len(part) * (WIDTH - 1)).reshape(-1, WIDTH - 1)
+
+    none = np.zeros((1, WIDTH - 1), dtype=np.uint64)
+    distinct, marks = np.unique(np.concatenate([none, _in_parts(hashes, words)]), return_inverse=True)
     return marks.reshape(-1, WIDTH - 1)[1:].astype(np.int32), len(distinct)
 
 
@@ -171,17 +174,20 @@ def fit_toxicity(rows: Sequence[tuple[str, int]], rounds: int = 40) -> Toxicity:
     y = np.array([label for _, label in rows], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Toxicity(None, None, float(y.mean()) if len(y) else 0.0)
-    kinds: dict[str, int] = {}
+    kinds: dict[str, int] | list[str] = {}
     words = [np.array([kinds.setdefault(w, len(kinds)) for w in text.split()], dtype=np.int64) for text, _ in rows]
     if not kinds:
         return Toxicity(None, None, float(y.mean()))
-    features = word_features(list(kinds))
-    marks, n = _marks(list(kinds))
+    kinds = list(kinds)
+    features = _in_parts(word_features, kinds)
+    marks, n = _marks(kinds)
+    del rows, kinds
     telling = _telling([np.setdiff1d(marks[row], [0]) for row in words], y, n)
     telling[0] = False
     is_telling = telling[marks].any(axis=1)
     # the tagger learns from as many clean documents as toxic ones
     fitted = np.sort(np.concatenate([np.flatnonzero(y == 1), np.flatnonzero(y == 0)[:int((y == 1).sum())]]))
+    del marks, telling
     words, y, share = [words[i] for i in fitted], y[fitted], y.mean()
     lengths = np.array([len(r) for r in words], dtype=np.int64)
     items = np.concatenate(words)
