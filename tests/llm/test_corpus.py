@@ -177,6 +177,47 @@ def test_copies_score_alike_in_every_shard(spark, monkeypatch):
     assert len({r.score for r in found}) == 1
 
 
+def test_search_tasks_meet_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_DOCS", 2)
+    df = spark.createDataFrame([(i, words(20, i)) for i in range(120)], "doc_id bigint, text string").repartition(60)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")  # each of the 60 files is read on its own
+    try:
+        found = search.search(df, df.where("doc_id % 5 = 0"), k=3)
+        plan = found._jdf.queryExecution().executedPlan().toString().split("CartesianProduct")[1]
+        tasks = math.prod(int(n) for n in re.findall(r"Coalesce (\d+)", plan))
+        assert plan.count("Coalesce") == 2 and tasks <= 4 * spark.sparkContext.defaultParallelism
+        assert found.where("rank = 1 and doc_id = query_id").count() == 24
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_scores_closer_than_single_precision_keep_their_order():
+    import pyarrow as pa
+
+    n_docs, terms = 40, np.array([3, 5, 9])
+    packed = [pa.array([x.astype(kind).tobytes()], pa.binary())[0] for x, kind in (
+        (np.full(n_docs, 4), "<i8"), (terms, "<i8"), (np.array([20, 20, 2]), "<u1"),
+        (np.array([*range(0, n_docs, 2), *range(1, n_docs, 2), 7, 8]), "<u1"), (np.ones(n_docs + 2), "<u1"))]
+    weights = np.array([1.0, 1.0 + 1e-9, 1e-9, 1.0, 1.0 + 1e-9])  # of two queries
+    for common in ([], [3, 5], [3, 5, 9]):
+        index = search.ShardIndex(*packed, np.array(common, np.int64), 4.0)
+        got = {}
+        for hits in index.top(terms, np.array([0, 1, 2, 0, 1]), weights, np.array([3, 2]), 4, np.zeros(2)):
+            for query, place, _ in zip(*hits):
+                got.setdefault(int(query), []).append(int(place))
+        assert got == {0: [7, 1, 3, 5], 1: [1, 3, 5, 7]}
+        hits = list(index.top(terms, np.array([0, 1]), weights[3:], np.array([2]), 4, np.array([1.0 + 5e-10])))
+        assert [int(place) for place in hits[0][1]] == [1, 3, 5, 7]
+
+
+def test_words_of_ascii_texts_are_those_of_the_pattern():
+    for text in ("".join(map(chr, range(128))), "A_b-C\x00d\x1fE 9", "", "caf\u00e9 \u0130x CAF\u00c9"):
+        terms, lengths = search.text_terms([text])
+        plain = search.text_terms([word + " \u00e9" for word in re.findall(r"\w+", text.lower())])[0]  # by the pattern, each with one more
+        assert lengths.tolist() == [len(plain) // 2] and terms.tolist() == plain[::2].tolist()
+
+
 def test_fitting_toxicity_keeps_the_model_only(monkeypatch):
     rows = [(words(400, i) + (" vile" if i % 2 else ""), i % 2) for i in range(60)]
     tracemalloc.start()

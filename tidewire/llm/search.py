@@ -8,12 +8,15 @@ and shuffles nothing either, so disk and shuffles grow with the corpus although
 
 A term in more than one in ``COMMON`` of all documents is common (at most ``COMMON_TERMS`` are). A shard has a matrix of the
 common terms' contributions to each of its documents; for the other terms it has postings. The common terms' part of the scores
-of many queries is one matrix product, to which each query's postings are added. The product's rounding depends on the place
-of a document, so it only chooses: documents whose sum comes within 1e-9 of the k-th best of the shard, or of what
-the task's earlier shards reached, are scored again, term by term. Document frequencies, number of documents, average
-length and common terms are those of the whole corpus and terms are added in one order, so scores do not depend on the shard and
-the k best of all shards' k best are exact. Ties go to the smaller key. (Bounds by block maxima were tried for this: they
-left 97 of 100 ranges of 64 documents to be scored, as whole documents as queries share many words with every range.)
+of many queries is one matrix product, to which the postings of some queries at a time are added. These sums are of single
+precision, so they only choose: documents whose sum comes, but for what rounding may have cost it, up to the k-th best of the
+shard, or to what the task's earlier shards reached, are scored again in double precision, term by term. A task takes up to
+``TASK_SHARDS`` shards, as each leaves fewer documents of the next to be scored again, and meets ``TASK_BLOCKS`` blocks with
+them. Document frequencies, number of documents, average length and common terms are those of the whole corpus and terms are
+added in one order, so scores do not depend on the shard and the k best of all shards' k best are exact. Ties go to the smaller
+key. (Bounds by block maxima were tried for this: they left 97 of 100 ranges of 64 documents to be scored, as whole documents as
+queries share many words with every range.) Every query still meets every document: disk and shuffles grow with the corpus, the
+work of the cross join with its square.
 
 Rows and postings of shards and blocks are bounded (but for a single longer document), so a task's memory does not grow with
 the corpus or with long texts.
@@ -28,6 +31,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,33 +41,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_run_folder
-from .arrow import Memo, texts_of
+from .arrow import texts_of
 
 K1, B = 1.2, 0.75
 SHARD_DOCS = 8_192
 PART_POSTINGS = 1_000_000
 QUERY_BLOCK = 8_192
 PRODUCT_CELLS = 2_000_000  # of queries times documents at once
+ADDED_AT_ONCE = 65_536  # of postings and cells they are added to
 COMMON, COMMON_TERMS = 16, 2_048
 FLUSH_TERMS = 1_000_000
 HELD_QUERIES = 100_000
+TASK_SHARDS, TASK_BLOCKS = 16, 2
+SMALLEST = np.finfo(np.float64).tiny
 WORD = re.compile(r"\w+")
+ASCII_WORDS = bytes(ord(chr(i).lower()) if i < 128 and WORD.match(chr(i)) else 32 for i in range(256))
 
 
-def term_hashes(words: Sequence[str]) -> list[bytes]:
-    """63-bit hashes."""
-    return [(xxhash.xxh64_intdigest(w) >> 1).to_bytes(8, "little") for w in words]
+def words_of(text: str) -> Sequence[str | bytes]:
+    """Lower-cased runs of word characters; those of an ASCII text as bytes."""
+    return text.encode().translate(ASCII_WORDS).split() if text.isascii() else WORD.findall(text.lower())
 
 
-def text_terms(texts: Sequence[str], memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Term hashes of all texts, one after the other, and the number of each text's."""
-    rows = [WORD.findall(text.lower()) for text in texts]
-    return np.frombuffer(b"".join(b"".join(v) for v in memo.resolve(rows)), "<i8"), np.array([len(r) for r in rows], np.int64)
+def text_terms(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """63-bit hashes of the terms of all texts, one after the other, and the number of each text's."""
+    rows = [words_of(text) for text in texts]
+    lengths = np.array([len(row) for row in rows], np.int64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(rows)), np.uint64, lengths.sum())
+    return (hashes >> np.uint64(1)).astype(np.int64), lengths
 
 
-def _distinct(batch: pa.RecordBatch, memo: Memo) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+def _distinct(batch: pa.RecordBatch) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Number of words of each of the batch's texts (second column), and its distinct terms, ascending, with their numbers."""
-    terms, lengths = text_terms(texts_of(batch.column(1)), memo)
+    terms, lengths = text_terms(texts_of(batch.column(1)))
     ends = np.cumsum(lengths)
     return lengths, [np.unique(terms[end - n:end], return_counts=True) for end, n in zip(ends, lengths)]
 
@@ -71,6 +82,20 @@ def _bytes(values: np.ndarray, kind: str) -> pa.Array:
     return pa.array([values.astype(kind).tobytes()], pa.binary())
 
 
+def _narrow(values: np.ndarray) -> pa.Array:
+    """Numbers >= 0 in as few bytes as the largest one takes."""
+    return _bytes(values, np.min_scalar_type(values.max(initial=0)).newbyteorder("<"))
+
+
+def _wide(value: pa.Scalar, n: int) -> np.ndarray:
+    """The ``n`` numbers that ``_narrow`` packed."""
+    return _read(value, f"<u{len(value.as_buffer()) // n}") if n else np.zeros(0, np.uint8)
+
+
+def _read(value: pa.Scalar, kind: str) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
+
+
 def written_shards(docs: DataFrame, key: str, text: str, folder: str) -> DataFrame:
     """A row per shard: ``keys`` ascending, ``lengths`` in words, ``terms`` ascending, ``counts`` of their postings, and the
     postings' ``places`` (numbers of documents, ascending within a term) and ``times``; number of documents and of words."""
@@ -81,22 +106,21 @@ def written_shards(docs: DataFrame, key: str, text: str, folder: str) -> DataFra
         order = np.argsort(keys.to_numpy(zero_copy_only=False), kind="stable")
         lengths, found = np.concatenate([row[1] for row in rows])[order], [x for row in rows for x in row[2]]
         found = [found[i] for i in order]
-        places = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
+        places = np.repeat(np.arange(len(found), dtype=np.int32), [len(t) for t, _ in found])
         terms, times = (np.concatenate([x[side] for x in found]) for side in (0, 1))
         by_term = np.argsort(terms, kind="stable")
         names, counts = np.unique(terms, return_counts=True)
         keys = keys.take(pa.array(order))
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), _bytes(lengths, "<i8"), _bytes(names, "<i8"),
-            _bytes(counts, "<i4"), _bytes(places[by_term], "<i4"), _bytes(times[by_term], "<i4"),
+            _narrow(counts), _narrow(places[by_term]), _narrow(times[by_term]),
             pa.array([len(keys)], pa.int64()), pa.array([int(lengths.sum())], pa.int64()),
         ], ["keys", "lengths", "terms", "counts", "places", "times", "n_docs", "n_words"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(term_hashes)
         held, n_docs, n_postings = [], 0, 0
         for batch in batches:
-            lengths, found = _distinct(batch, memo)
+            lengths, found = _distinct(batch)
             begin = 0
             for i, (terms, _) in enumerate(found):
                 n_docs, n_postings = n_docs + 1, n_postings + len(terms)
@@ -127,8 +151,9 @@ def document_frequencies(shards: DataFrame, folder: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for terms, counts in zip(*(batch.column(side).to_pylist() for side in (0, 1))):
-                held.append((np.frombuffer(terms, "<i8"), np.frombuffer(counts, "<i4")))
+            for terms, counts in zip(*(batch.column(side) for side in (0, 1))):
+                terms = _read(terms, "<i8")
+                held.append((terms, _wide(counts, len(terms))))
                 if sum(len(t) for t, _ in held) > FLUSH_TERMS:
                     yield added(held)
                     held = []
@@ -143,49 +168,100 @@ def document_frequencies(shards: DataFrame, folder: str) -> DataFrame:
 class ShardIndex:
     """The inverted index of one shard, from a row of ``written_shards``. ``common``: the corpus's common terms, ascending."""
 
-    def __init__(self, lengths: bytes, terms: bytes, counts: bytes, places: bytes, times: bytes, common: np.ndarray, average: float):
-        lengths, terms, counts = np.frombuffer(lengths, "<i8"), np.frombuffer(terms, "<i8"), np.frombuffer(counts, "<i4")
-        self.doc, tf = np.frombuffer(places, "<i4").astype(np.int64), np.frombuffer(times, "<i4")
-        self.gain = tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / average))[self.doc])
+    def __init__(
+        self, lengths: pa.Scalar, terms: pa.Scalar, counts: pa.Scalar, places: pa.Scalar, times: pa.Scalar, common: np.ndarray, average: float,
+    ):
+        lengths, terms = _read(lengths, "<i8"), _read(terms, "<i8")
+        counts = _wide(counts, len(terms))
+        places, self.tf = (_wide(x, int(counts.sum(dtype=np.int64))) for x in (places, times))
+        self.norm = K1 * (1 - B + B * lengths / average)
+        # postings are gathered at random: narrow ones stay in the processor's cache
+        self.doc = places
+        self.rough = (self.tf * (K1 + 1) / (self.tf + self.norm[places])).astype(np.float32)
         self.common, self.terms, self.stop = common, terms, np.cumsum(counts, dtype=np.int64)
         self.start = self.stop - counts
-        self.full = np.zeros((len(common), len(lengths)))
+        self.full, self.times = np.zeros((len(common), len(lengths)), np.float32), np.zeros((len(common), len(lengths)), np.int32)
         row, here = _places_of(common, self.terms)
         postings, n = _slices(self.start[row[here]], self.stop[row[here]])
-        self.full[np.repeat(np.flatnonzero(here), n), self.doc[postings]] = self.gain[postings]
+        cells = np.repeat(np.flatnonzero(here), n), places[postings]
+        self.full[cells], self.times[cells] = self.rough[postings], self.tf[postings]
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int, least: Sequence[float]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each query, places and scores of the ``k`` best documents, best first, but for those that score below its ``least``.
+    def top(
+        self, terms: np.ndarray, at: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int, least: np.ndarray,
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Numbers of queries, ascending, places and scores of their ``k`` best documents, best first, but for those that score
+        below the query's ``least``; some queries at a time.
 
-        ``sizes``: how many of ``terms`` (ascending within a query) and ``weights`` belong to each query.
+        ``sizes``: how many of ``at`` (places among the distinct ``terms``, ascending within a query) and ``weights`` belong to each
+        query.
         """
-        n_docs = self.full.shape[1]
+        n_docs = len(self.norm)
+        # a rounded sum of n numbers >= 0 is off by at most n + 3 roundings, and so is what it is compared with
+        margin = 1 - 3 * (len(self.common) + 8) * 2.0 ** -24
         row, is_common = _places_of(terms, self.common)
-        at, here = _places_of(terms, self.terms)
+        place, here = _places_of(terms, self.terms)
         here &= ~is_common
-        ends = np.append(0, np.cumsum(sizes))
+        query = np.repeat(np.arange(len(sizes)), sizes)
+        often, rare = np.flatnonzero(is_common[at]), np.flatnonzero(here[at])
+        often_query, often_row, often_weight = query[often], row[at[often]], weights[often]
+        rare_query, rare_start, rare_stop, rare_weight = query[rare], self.start[place[at[rare]]], self.stop[place[at[rare]]], weights[rare]
+        often_ends, rare_ends = (np.searchsorted(x, np.arange(len(sizes) + 1)) for x in (often_query, rare_query))
+        work = n_docs * np.arange(len(sizes) + 1) + np.append(0, np.cumsum(rare_stop - rare_start))[rare_ends]
         step = max(1, PRODUCT_CELLS // max(1, n_docs))
-        for low in range(0, len(sizes), step):
-            high = min(low + step, len(sizes))
-            part = slice(ends[low], ends[high])
-            query = np.repeat(np.arange(high - low), sizes[low:high])[is_common[part]]
-            asked = np.zeros((high - low, len(self.common)))
-            np.add.at(asked, (query, row[part][is_common[part]]), weights[part][is_common[part]])
-            for i, sums in enumerate(asked @ self.full, low):
-                own = slice(ends[i], ends[i + 1])
-                rare, often, weight = here[own], is_common[own], weights[own]
-                postings, n = _slices(self.start[at[own][rare]], self.stop[at[own][rare]])
-                scores = np.bincount(self.doc[postings], np.repeat(weight[rare], n) * self.gain[postings], n_docs)
-                sums += scores
-                bar = max(least[i], np.partition(sums, n_docs - k)[n_docs - k] if k < n_docs else 0.0) * (1 - 1e-9)
-                found = np.flatnonzero((sums > 0) & (sums >= bar))
-                # a single column would be added up in another order
-                columns = found if len(found) != 1 else np.repeat(found, 2)
-                full = (weight[often][:, None] * self.full[row[own][often][:, None], columns]).sum(axis=0)[:len(found)]
-                reached = scores[found] + full
-                order = np.lexsort((found, -reached))[:k]
-                order = order[reached[order] >= least[i]]
-                yield found[order], reached[order]
+        begin = done = low = 0
+        sums = np.zeros((0, n_docs), np.float32)
+        while begin < len(sizes):
+            if begin == done:
+                low, done = begin, min(begin + step, len(sizes))
+                own = slice(often_ends[low], often_ends[done])
+                asked = np.zeros((done - low, len(self.common)))
+                np.add.at(asked, (often_query[own] - low, often_row[own]), often_weight[own])
+                sums = asked.astype(np.float32) @ self.full
+            end = min(done, max(begin + 1, int(np.searchsorted(work, work[begin] + ADDED_AT_ONCE, "right")) - 1))
+            own = slice(rare_ends[begin], rare_ends[end])
+            postings, n = _slices(rare_start[own], rare_stop[own])
+            cells = np.repeat((rare_query[own] - begin) * n_docs, n)
+            cells += self.doc[postings]
+            gains = np.repeat(rare_weight[own], n)
+            reached = _added(cells, gains * self.rough[postings], (end - begin) * n_docs).reshape(-1, n_docs)
+            reached += sums[begin - low:end - low]
+            chosen = reached >= np.maximum(least[begin:end] * margin, SMALLEST)[:, None]
+            many = np.flatnonzero(np.count_nonzero(chosen, axis=1) > k)
+            if len(many):
+                kth = np.partition(reached[many], n_docs - k, axis=1)[:, n_docs - k]
+                chosen[many] &= reached[many] >= kth[:, None] * margin
+            found = np.flatnonzero(chosen)
+            if len(found):
+                # exactly, term by term
+                number, doc = np.divmod(found, n_docs)
+                slot = np.full((end - begin) * n_docs, -1, np.int32)
+                slot[found] = np.arange(len(found))
+                slot = slot[cells]
+                hits = np.flatnonzero(slot >= 0)
+                slot = slot[hits]
+                tf = self.tf[postings[hits]]
+                exact = _added(slot, gains[hits] * (tf * (K1 + 1) / (tf + self.norm[doc[slot]])), len(found))
+                number += begin
+                ends = np.append(0, np.cumsum(often_ends[number + 1] - often_ends[number]))
+                part = 0
+                while part < len(found):  # copies of a text are all found
+                    some = slice(part, max(part + 1, int(np.searchsorted(ends, ends[part] + 8 * ADDED_AT_ONCE, "right")) - 1))
+                    own, n = _slices(often_ends[number[some]], often_ends[number[some] + 1])
+                    at_doc = np.repeat(doc[some], n)
+                    tf = self.times[often_row[own], at_doc]
+                    values = often_weight[own] * (tf * (K1 + 1) / (tf + self.norm[at_doc]))
+                    exact[some] += _added(np.repeat(np.arange(len(n)), n), values, len(n))
+                    part = some.stop
+                order = np.lexsort((doc, -exact, number))
+                rank = np.arange(len(found)) - np.searchsorted(number, number)
+                order = order[(rank < k) & (exact[order] >= least[number[order]])]
+                yield number[order], doc[order], exact[order]
+            begin = end
+
+
+def _added(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the values at each of ``n`` places, added in their order."""
+    return np.bincount(places, values, n) if len(places) else np.zeros(n)
 
 
 def _places_of(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,16 +279,15 @@ def _slices(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key: str, text: str, folder: str) -> DataFrame:
-    """A row per block of queries: ``ids``, ``sizes`` (numbers of distinct terms), and of each query after the other the
-    ``terms``, ascending, and ``weights``: times in the query * idf."""
+    """A row per block of queries: ``ids``, ``sizes`` (numbers of distinct terms), the block's distinct ``terms``, ascending, and of
+    each query after the other ``at``, its terms' places among them, ascending, and ``weights``: times in the query * idf."""
     kind = queries.schema[key].dataType.simpleString()
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(term_hashes)
         for batch in batches:
             if not len(batch):
                 continue
-            found = _distinct(batch, memo)[1]
+            found = _distinct(batch)[1]
             row = np.repeat(np.arange(len(found)), [len(t) for t, _ in found])
             terms, times = (np.concatenate([x[side] for x in found]) for side in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(terms), pa.array(times)], ["query_id", "term", "n"])
@@ -220,9 +295,11 @@ def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             ids, terms, weights = (pa.concat_arrays([x.column(side) for x in held]) for side in (0, 1, 2))
+            names, at = np.unique(terms.flatten().to_numpy(), return_inverse=True)
             return pa.RecordBatch.from_arrays([
                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), _bytes(terms.value_lengths().to_numpy(), "<i4"),
-                _bytes(terms.flatten().to_numpy(), "<i8"), _bytes(weights.flatten().to_numpy(), "<f8")], ["ids", "sizes", "terms", "weights"])
+                _bytes(names, "<i8"), _bytes(at, "<i4"), _bytes(weights.flatten().to_numpy(), "<f8")],
+                ["ids", "sizes", "terms", "at", "weights"])
 
         held, n, size = [], 0, 0
         for batch in batches:
@@ -245,7 +322,7 @@ def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key
     lists = queries.sparkSession.read.parquet(f"{folder}-lists")
     total = lists.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
     blocks = max(1, math.ceil(total["n"] / QUERY_BLOCK), math.ceil(total["terms"] / PART_POSTINGS))
-    lists.repartition(blocks).mapInArrow(pack, f"ids array<{kind}>, sizes binary, terms binary, weights binary").write.parquet(folder)
+    lists.repartition(blocks).mapInArrow(pack, f"ids array<{kind}>, sizes binary, terms binary, at binary, weights binary").write.parquet(folder)
     return queries.sparkSession.read.parquet(folder)
 
 
@@ -255,7 +332,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
     folder = new_run_folder(docs.sparkSession, "search")
     shards = written_shards(docs, key, text, f"{folder}/shards")
     frequencies = document_frequencies(shards, f"{folder}/frequencies")
-    total = shards.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words")).first()
+    total = shards.agg(
+        F.count("*").alias("shards"), F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words")).first()
     n_docs, average = total["n"], max(1.0, total["words"] / max(1, total["n"]))
     blocks = written_queries(queries, frequencies, n_docs, key, text, f"{folder}/queries")
     often = frequencies.where(F.col("df") * COMMON > n_docs).orderBy(F.desc("df"), "term").limit(COMMON_TERMS)
@@ -263,7 +341,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, index, keys = None, None, None
+        number, index, keys, key_type = None, None, None, None
         best: dict = {}  # of this task's shards so far, by query
 
         def found() -> pa.RecordBatch:
@@ -271,21 +349,22 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
             best.clear()
             query, score, hit = zip(*rows) if rows else ((), (), ())
             return pa.RecordBatch.from_arrays(
-                [pa.array(query, keys.type), pa.array(hit, keys.type), pa.array(score, pa.float64())], ["query_id", "key", "score"])
+                [pa.array(query, key_type), pa.array(hit, key_type), pa.array(score, pa.float64())], ["query_id", "key", "score"])
 
         for batch in batches:
+            key_type = batch.schema.field("keys").type.value_type
             for i in range(len(batch)):
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
                 if row["shard"].as_py() != number:
-                    number, keys = row["shard"].as_py(), row["keys"].values
-                    index = ShardIndex(*(row[c].as_py() for c in ("lengths", "doc_terms", "counts", "places", "times")), common, average)
-                sizes, queries = np.frombuffer(row["sizes"].as_py(), "<i4"), row["ids"].values.to_pylist()
-                terms, weights = np.frombuffer(row["terms"].as_py(), "<i8"), np.frombuffer(row["weights"].as_py(), "<f8")
-                least = [hits[-1][0] if len(hits := best.get(query, ())) == k else 0.0 for query in queries]
-                for query, (places, scores) in zip(queries, index.top(terms, weights, sizes, k, least)):
-                    if len(places):
-                        hits = [*best.get(query, ()), *zip(scores.tolist(), keys.take(pa.array(places)).to_pylist())]
-                        best[query] = sorted(hits, key=lambda hit: (-hit[0], hit[1]))[:k]
+                    number, keys = row["shard"].as_py(), row["keys"].values.to_pylist()
+                    index = ShardIndex(*(row[c] for c in ("lengths", "doc_terms", "counts", "places", "times")), common, average)
+                sizes, queries = _read(row["sizes"], "<i4"), row["ids"].values.to_pylist()
+                terms, at, weights = (_read(row[c], kind) for c, kind in (("terms", "<i8"), ("at", "<i4"), ("weights", "<f8")))
+                least = np.array([hits[-1][0] if len(hits := best.get(query, ())) == k else 0.0 for query in queries])
+                for hits in index.top(terms, at, weights, sizes, k, least):
+                    for i, group in groupby(zip(*(side.tolist() for side in hits)), itemgetter(0)):
+                        hits = [*best.get(queries[i], ()), *((score, keys[place]) for _, place, score in group)]
+                        best[queries[i]] = sorted(hits, key=lambda hit: (-hit[0], hit[1]))[:k]
                 if len(best) > HELD_QUERIES:
                     yield found()
         if best:
@@ -293,7 +372,10 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
 
     numbered = shards.select(
         F.monotonically_increasing_id().alias("shard"), "keys", "lengths", F.col("terms").alias("doc_terms"), "counts", "places", "times")
-    pairs = numbered.hint("shuffle_replicate_nl").crossJoin(blocks)
+    # the more shards a task has seen, the fewer documents of the next one are scored again
+    n_parts = math.ceil(blocks.count() / TASK_BLOCKS) or 1
+    tasks = max(math.ceil(total["shards"] / TASK_SHARDS), math.ceil(2 * docs.sparkSession.sparkContext.defaultParallelism / n_parts))
+    pairs = numbered.coalesce(tasks).hint("shuffle_replicate_nl").crossJoin(blocks.coalesce(n_parts))
     hits = pairs.mapInArrow(run, f"query_id {kind}, key {kind}, score double")
     # a task passes on the k best of a query only
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "key")
