@@ -45,7 +45,7 @@ from .arrow import texts_of
 
 K1, B = 1.2, 0.75
 SHARD_DOCS = 8_192
-PART_POSTINGS = 1_000_000
+PART_POSTINGS = 500_000
 QUERY_BLOCK = 8_192
 PRODUCT_CELLS = 2_000_000  # of queries times documents at once
 ADDED_AT_ONCE = 65_536  # of postings and cells they are added to
