@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -73,6 +74,27 @@ def test_added_tokens_are_encoded_as_the_library_does():
     assert got[0] == [50256]
 
 
+def test_parts_encoded_together_get_their_own_ids():
+    library = tiktoken.Encoding("l", pat_str=RANKS_50K[1], mergeable_ranks=byte_bpe.vocabulary(*RANKS_50K).ranks, special_tokens={})
+    encode, rng = packing.rank_encoder(*RANKS_50K), random.Random(4)
+    odd = [*ALPHABET, "\r", "\x85", "\xa0", "'", "'ll", "a" * 700]
+    for _ in range(1_000):
+        parts = [part for _ in range(3) for part in cut_at_spaces("".join(rng.choices(odd, k=rng.randint(0, 9))))]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(parts)] == list(map(library.encode_ordinary, parts))
+    assert encode([]) == []
+
+
+def test_packing_remembers_little():
+    packing._memo.cache_clear()
+    list(packing.encoded_texts(["begin"], JSON, RANKS_50K))
+    tracemalloc.start()
+    for i in range(30):
+        list(packing.encoded_texts([" ".join(f"word{i}x{k}" for k in range(20_000))], JSON, RANKS_50K))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 6e7
+
+
 def test_packing_keeps_every_id_and_every_limit(docs, none):
     tokenizer = Tokenizer.from_file(JSON)
     rows = packing.pack_documents(docs.where("doc_id is not null"), JSON, packing.Limits(), ranks=RANKS_50K).collect()

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .arrow import Memo, cut_at_spaces, texts_of
 
 BLOCK = 16_384
-REMEMBERED = 800_000  # parts of texts whose ids a worker remembers
+REMEMBERED = 100_000  # parts of texts whose ids a worker remembers
 LATIN_END = "\u0250"
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
@@ -96,12 +96,11 @@ def _memo(path: str, ranks: tuple[str, str] | None) -> Memo:
 
     def encode(chunks: list[str]) -> list[bytes]:
         out: list = [None] * len(chunks)
-        rare = []
+        plain, rare = [], []
         for i, chunk in enumerate(chunks):
-            if quick and (chunk.isascii() or max(chunk) < LATIN_END):
-                out[i] = array("I", quick(chunk)).tobytes()
-            else:
-                rare.append(i)
+            (plain if quick and (chunk.isascii() or max(chunk) < LATIN_END) else rare).append(i)
+        for i, ids in zip(plain, quick([chunks[i] for i in plain]) if plain else ()):
+            out[i] = ids
         for i, e in zip(rare, tokenizer.encode_batch_fast([chunks[i] for i in rare], add_special_tokens=False)):
             out[i] = array("I", e.ids).tobytes()
         return out
@@ -131,13 +130,37 @@ def encoded_texts(texts: list[str], path: str, ranks: tuple[str, str] | None = N
         yield array("I", tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes() if i in whole else b"".join(values)
 
 
-def rank_encoder(path: str, pattern: str) -> Callable[[str], list[int]]:
-    """The encoder of a rank file: a base64 token and its rank per line."""
+def rank_encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
+    """A function parts -> little-endian ids of each, by a rank file: a base64 token and its rank per line.
+
+    The pattern always cuts before a lone space, so parts that begin with one are encoded in one call, joined, and told apart by
+    their numbers of bytes.
+    """
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    sizes[list(ranks.values())] = list(map(len, ranks))
+
+    def encode(parts: list[str]) -> list[bytes]:
+        out: list = [None] * len(parts)
+        spaced = [i for i, part in enumerate(parts) if part[:1] == " " and not (part[1:2] or " ").isspace()]
+        if spaced:
+            ids = library.encode_to_numpy("".join([parts[i] for i in spaced]))
+            ends, stops = np.cumsum(sizes[ids]), np.cumsum([len(parts[i].encode()) for i in spaced])
+            cuts = np.searchsorted(ends, stops)
+            if (ends[cuts] == stops).all():
+                raw, start = ids.astype("<u4").tobytes(), 0
+                for i, stop in zip(spaced, (4 * (cuts + 1)).tolist()):
+                    out[i], start = raw[start:stop], stop
+        for i, part in enumerate(parts):
+            if out[i] is None:
+                out[i] = array("I", library.encode_ordinary(part)).tobytes()
+        return out
+
+    return encode
 
 
 def piece_cutter(path: str, limit: int, end_id: int, ranks: tuple[str, str] | None = None) -> Callable:
