@@ -84,12 +84,29 @@ def test_parts_encoded_together_get_their_own_ids():
     assert encode([]) == []
 
 
-def test_packing_remembers_little():
+def test_latin_texts_are_encoded_as_the_library_does():
+    tokenizer, rng = Tokenizer.from_file(JSON), random.Random(5)
+    latin = [chr(code) for code in range(0x250)]
+    texts = [f"a{c}b {c}{c} {c}1 \n{c} '{c}s  {c}\t {c}" for c in latin]
+    texts += ["".join(rng.choices([*latin, *[x for x in ALPHABET if max(x) < "\u0250"]], k=40)) for _ in range(500)]
+    texts += [text + " 中 " + text for text in texts[::7]]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in packing.encoded_texts(texts, JSON, RANKS_50K)]
+    assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 1_500_000 + "b", "語 b" + "\n" * 1_500_000])
+def test_long_runs_of_white_space_are_encoded(text):
+    (ids,) = packing.encoded_texts([text], JSON, RANKS_50K)
+    assert np.frombuffer(ids, "<u4").tolist() == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("begin", ["one", "語"])
+def test_packing_remembers_little(begin):
     packing._memo.cache_clear()
-    list(packing.encoded_texts(["begin"], JSON, RANKS_50K))
+    list(packing.encoded_texts([begin], JSON, RANKS_50K))
     tracemalloc.start()
     for i in range(30):
-        list(packing.encoded_texts([" ".join(f"word{i}x{k}" for k in range(20_000))], JSON, RANKS_50K))
+        list(packing.encoded_texts([" ".join([begin, *(f"word{i}x{k}" for k in range(20_000))])], JSON, RANKS_50K))
     kept = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert kept < 6e7

@@ -35,6 +35,8 @@ from .arrow import Memo, cut_at_spaces, texts_of
 BLOCK = 16_384
 REMEMBERED = 100_000  # parts of texts whose ids a worker remembers
 LATIN_END = "\u0250"
+LONG_RUN = 100_000  # white space characters in a row; the rank file's library gives up at some more
+_BLANKS = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
 PIECES = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
 
@@ -98,7 +100,7 @@ def _memo(path: str, ranks: tuple[str, str] | None) -> Memo:
         out: list = [None] * len(chunks)
         plain, rare = [], []
         for i, chunk in enumerate(chunks):
-            (plain if quick and (chunk.isascii() or max(chunk) < LATIN_END) else rare).append(i)
+            (plain if quick and _is_latin(chunk) else rare).append(i)
         for i, ids in zip(plain, quick([chunks[i] for i in plain]) if plain else ()):
             out[i] = ids
         for i, e in zip(rare, tokenizer.encode_batch_fast([chunks[i] for i in rare], add_special_tokens=False)):
@@ -121,28 +123,44 @@ def _tokenizer(path: str) -> tuple:
 def encoded_texts(texts: list[str], path: str, ranks: tuple[str, str] | None = None) -> Iterator[bytes]:
     """Little-endian ids of each text, as the tokenizer file gives them without special tokens put around it.
 
-    Texts are encoded by remembered parts; one that holds an added token's string (``<|endoftext|>``) goes to the tokenizer whole.
+    With ``ranks`` a text below ``LATIN_END`` is encoded whole by the rank file, others by remembered parts; one that holds an
+    added token's string (``<|endoftext|>``) or ``LONG_RUN`` goes to the tokenizer whole.
     """
     tokenizer, added = _tokenizer(path)
-    whole = {i for i, text in enumerate(texts) if added and added.search(text)}
-    parts = _memo(path, ranks).resolve([[] if i in whole else cut_at_spaces(text) for i, text in enumerate(texts)])
+    whole = {i for i, text in enumerate(texts) if added and added.search(text) or len(text) >= LONG_RUN and _BLANKS.search(text)}
+    library = rank_library(*ranks)[0] if ranks else None
+    latin = {i for i, text in enumerate(texts) if library and i not in whole and _is_latin(text)}
+    parts = _memo(path, ranks).resolve([[] if i in whole or i in latin else cut_at_spaces(text) for i, text in enumerate(texts)])
     for i, values in enumerate(parts):
-        yield array("I", tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes() if i in whole else b"".join(values)
+        if i in latin:
+            yield library.encode_to_numpy(texts[i]).astype("<u4", copy=False).tobytes()
+        else:
+            yield array("I", tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes() if i in whole else b"".join(values)
 
 
-def rank_encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
-    """A function parts -> little-endian ids of each, by a rank file: a base64 token and its rank per line.
+def _is_latin(text: str) -> bool:
+    return text.isascii() or max(text) < LATIN_END
 
-    The pattern always cuts before a lone space, so parts that begin with one are encoded in one call, joined, and told apart by
-    their numbers of bytes.
-    """
+
+@lru_cache(maxsize=2)
+def rank_library(path: str, pattern: str) -> tuple:
+    """The library's encoding of a rank file (a base64 token and its rank per line), and each token's number of bytes."""
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     sizes = np.zeros(max(ranks.values()) + 1, np.int64)
     sizes[list(ranks.values())] = list(map(len, ranks))
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), sizes
+
+
+def rank_encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
+    """A function parts -> little-endian ids of each, by a rank file.
+
+    The pattern always cuts before a lone space, so parts that begin with one are encoded in one call, joined, and told apart by
+    their numbers of bytes.
+    """
+    library, sizes = rank_library(path, pattern)
 
     def encode(parts: list[str]) -> list[bytes]:
         out: list = [None] * len(parts)
@@ -166,8 +184,8 @@ def rank_encoder(path: str, pattern: str) -> Callable[[list[str]], list[bytes]]:
 def piece_cutter(path: str, limit: int, end_id: int, ranks: tuple[str, str] | None = None) -> Callable:
     """A column function text -> pieces, by a byte-level tokenizer file without normalisation.
 
-    ``ranks``: path and pattern of the same vocabulary as a rank file. It is several times quicker and is used for parts
-    of a text below ``LATIN_END``, where both libraries class all characters alike.
+    ``ranks``: path and pattern of the same vocabulary as a rank file. It is several times quicker and is used for texts
+    and parts of them below ``LATIN_END``, where both libraries class all characters alike.
     """
     end = np.array([end_id], "<u4").tobytes()
 
