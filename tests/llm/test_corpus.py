@@ -211,6 +211,51 @@ def test_scores_closer_than_single_precision_keep_their_order():
         assert [int(place) for place in hits[0][1]] == [1, 3, 5, 7]
 
 
+def test_products_and_postings_choose_the_same_documents(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    n_docs, n_terms, n_queries, k = 300, 80, 70, 6
+    tf = rng.integers(1, 9, (n_terms, n_docs)) * (rng.random((n_terms, n_docs)) < np.linspace(0.9, 0.01, n_terms)[:, None])
+    tf[:, 250:] = tf[:, :50]  # copies
+    lengths = np.maximum(1, tf.sum(axis=0))
+    present = np.flatnonzero(tf.any(axis=1))
+    packed = [pa.array([x.astype(kind).tobytes()], pa.binary())[0] for x, kind in (
+        (lengths, "<i8"), (present * 3, "<i8"), ((tf > 0).sum(axis=1)[present], "<u2"),
+        (np.concatenate([np.flatnonzero(row) for row in tf]), "<u2"), (tf[tf > 0], "<u1"))]
+    asked = [np.sort(rng.choice(n_terms + 5, rng.integers(0, 40), replace=False)) for _ in range(n_queries)]
+    weights = [rng.random(len(x)) * 5 for x in asked]
+    average = lengths.mean()
+    norm = 1.2 * (0.25 + 0.75 * lengths / average)
+    part = np.vstack([tf * 2.2 / (tf + norm), np.zeros((5, n_docs))])
+    scores = np.array([w @ part[x] for x, w in zip(asked, weights)])
+    least = np.where(np.arange(n_queries) % 3 == 0, np.maximum(0, np.sort(scores, axis=1)[:, -3] - 1e-7), 0.0)
+    for cost, added in ((0, 7), (search.POSTING_COST, search.ADDED_AT_ONCE), (1e9, 64)):
+        monkeypatch.setattr(search, "POSTING_COST", cost)
+        monkeypatch.setattr(search, "ADDED_AT_ONCE", added)
+        monkeypatch.setattr(search, "GROUP", 16)
+        monkeypatch.setattr(search, "TABLE_CELLS", 200)
+        index = search.ShardIndex(*packed, np.arange(0, 90, 3), average)
+        got = {}
+        at, sizes = np.concatenate(asked).astype(np.int32), np.array([len(x) for x in asked], np.int32)
+        for hits in index.top(np.arange(n_terms + 5) * 3, at, np.concatenate(weights), sizes, k, least):
+            for query, place, score in zip(*hits):
+                got.setdefault(int(query), []).append((int(place), round(float(score), 9)))
+        for query in range(n_queries):
+            best = sorted((-round(float(s), 9), i) for i, s in enumerate(scores[query]) if s > max(1e-9, least[query]))[:k]
+            assert got.get(query, []) == [(i, -s) for s, i in best]
+
+
+def test_queries_alike_stand_together(monkeypatch):
+    monkeypatch.setattr(search, "GROUP", 25)
+    rng = np.random.default_rng(1)
+    kinds = rng.permutation(np.arange(100) % 2)
+    has = rng.random((100, 40)) < np.where(np.arange(40) // 20 == kinds[:, None], 0.6, 0.1)
+    order = search._alike_together(*np.nonzero(has), 100, 40)
+    assert sorted(order) == list(range(100))
+    assert all(len(set(kinds[order[i:i + 25]])) == 1 for i in range(0, 100, 25))
+
+
 def test_words_of_ascii_texts_are_those_of_the_pattern():
     for text in ("".join(map(chr, range(128))), "A_b-C\x00d\x1fE 9", "", "caf\u00e9 \u0130x CAF\u00c9"):
         terms, lengths = search.text_terms([text])

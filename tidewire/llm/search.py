@@ -48,12 +48,18 @@ SHARD_DOCS = 8_192
 PART_POSTINGS = 500_000
 QUERY_BLOCK = 8_192
 PRODUCT_CELLS = 2_000_000  # of queries times documents at once
-ADDED_AT_ONCE = 65_536  # of postings and cells they are added to
-COMMON, COMMON_TERMS = 16, 2_048
+ADDED_AT_ONCE = 131_072  # of postings and cells they are added to
+COMMON, COMMON_TERMS, ALIKE_TERMS = 32, 2_048, 512
+GROUP = 256
+LINE = 8
+NARROW = 1 << 16  # cells numbered by 16 bits; more than SHARD_DOCS
+EACH = 0x0001000100010001  # 1 in each of a word's numbers of 16 bits
+POSTING_COST = 200  # of a posting added, as times that of a cell of a matrix product for one term
+TABLE_CELLS = 1 << 20
 FLUSH_TERMS = 1_000_000
 HELD_QUERIES = 100_000
-TASK_SHARDS, TASK_BLOCKS = 16, 2
-SMALLEST = np.finfo(np.float64).tiny
+TASK_SHARDS, TASK_BLOCKS = 128, 4
+SMALLEST = np.finfo(np.float32).tiny
 WORD = re.compile(r"\w+")
 ASCII_WORDS = bytes(ord(chr(i).lower()) if i < 128 and WORD.match(chr(i)) else 32 for i in range(256))
 
@@ -124,7 +130,7 @@ def written_shards(docs: DataFrame, key: str, text: str, folder: str) -> DataFra
             begin = 0
             for i, (terms, _) in enumerate(found):
                 n_docs, n_postings = n_docs + 1, n_postings + len(terms)
-                if n_docs >= SHARD_DOCS or n_postings >= PART_POSTINGS:
+                if n_docs >= SHARD_DOCS or n_postings >= 2 * PART_POSTINGS:
                     held.append((batch.column(0)[begin:i + 1], lengths[begin:i + 1], found[begin:i + 1]))
                     yield packed(held)
                     held, n_docs, n_postings, begin = [], 0, 0, i + 1
@@ -171,20 +177,28 @@ class ShardIndex:
     def __init__(
         self, lengths: pa.Scalar, terms: pa.Scalar, counts: pa.Scalar, places: pa.Scalar, times: pa.Scalar, common: np.ndarray, average: float,
     ):
-        lengths, terms = _read(lengths, "<i8"), _read(terms, "<i8")
-        counts = _wide(counts, len(terms))
-        places, self.tf = (_wide(x, int(counts.sum(dtype=np.int64))) for x in (places, times))
+        lengths, self.terms, self.common = _read(lengths, "<i8"), _read(terms, "<i8"), common
+        counts = _wide(counts, len(self.terms)).astype(np.int64)
+        self.places, self.tf = (_wide(x, int(counts.sum())) for x in (places, times))
         self.norm = K1 * (1 - B + B * lengths / average)
-        # postings are gathered at random: narrow ones stay in the processor's cache
-        self.doc = places
-        self.rough = (self.tf * (K1 + 1) / (self.tf + self.norm[places])).astype(np.float32)
-        self.common, self.terms, self.stop = common, terms, np.cumsum(counts, dtype=np.int64)
-        self.start = self.stop - counts
-        self.full, self.times = np.zeros((len(common), len(lengths)), np.float32), np.zeros((len(common), len(lengths)), np.int32)
+        rough = (self.tf * (K1 + 1) / (self.tf + self.norm[self.places])).astype(np.float32)
+        self.start = start = np.cumsum(counts) - counts
+        # the last column and the rest of a term's last line stand for no document
         row, here = _places_of(common, self.terms)
-        postings, n = _slices(self.start[row[here]], self.stop[row[here]])
-        cells = np.repeat(np.flatnonzero(here), n), places[postings]
-        self.full[cells], self.times[cells] = self.rough[postings], self.tf[postings]
+        self.common_counts = np.where(here, np.append(counts, 0)[row], 0)
+        postings, n = _slices(start[row[here]], start[row[here]] + counts[row[here]])
+        self.full = np.zeros((len(common), len(lengths) + 1), np.float32)
+        self.full[np.repeat(np.flatnonzero(here), n), self.places[postings]] = rough[postings]
+        lines = -(-counts // LINE)
+        self.last = np.cumsum(lines)
+        self.first = self.last - lines
+        cells = np.arange(len(rough)) + np.repeat(self.first * LINE - start, counts)
+        self.lines = np.full((lines.sum(), LINE), len(lengths), "<u2")
+        self.lines.reshape(-1)[cells] = self.places
+        self.lines = self.lines.view(np.uint64)
+        self.line_values = np.zeros((lines.sum(), LINE), np.float32)
+        self.line_values.reshape(-1)[cells] = rough
+        self.by_doc, self.table = None, np.zeros(0, np.int32)
 
     def top(
         self, terms: np.ndarray, at: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k: int, least: np.ndarray,
@@ -195,68 +209,134 @@ class ShardIndex:
         ``sizes``: how many of ``at`` (places among the distinct ``terms``, ascending within a query) and ``weights`` belong to each
         query.
         """
-        n_docs = len(self.norm)
+        n_docs, width = len(self.norm), len(self.norm) + 1
         # a rounded sum of n numbers >= 0 is off by at most n + 3 roundings, and so is what it is compared with
-        margin = 1 - 3 * (len(self.common) + 8) * 2.0 ** -24
+        margin = np.maximum(0, 1 - 3 * (sizes + 8.0) * 2.0 ** -24)
         row, is_common = _places_of(terms, self.common)
-        place, here = _places_of(terms, self.terms)
-        here &= ~is_common
-        query = np.repeat(np.arange(len(sizes)), sizes)
-        often, rare = np.flatnonzero(is_common[at]), np.flatnonzero(here[at])
-        often_query, often_row, often_weight = query[often], row[at[often]], weights[often]
-        rare_query, rare_start, rare_stop, rare_weight = query[rare], self.start[place[at[rare]]], self.stop[place[at[rare]]], weights[rare]
-        often_ends, rare_ends = (np.searchsorted(x, np.arange(len(sizes) + 1)) for x in (often_query, rare_query))
-        work = n_docs * np.arange(len(sizes) + 1) + np.append(0, np.cumsum(rare_stop - rare_start))[rare_ends]
-        step = max(1, PRODUCT_CELLS // max(1, n_docs))
-        begin = done = low = 0
-        sums = np.zeros((0, n_docs), np.float32)
-        while begin < len(sizes):
-            if begin == done:
-                low, done = begin, min(begin + step, len(sizes))
-                own = slice(often_ends[low], often_ends[done])
-                asked = np.zeros((done - low, len(self.common)))
-                np.add.at(asked, (often_query[own] - low, often_row[own]), often_weight[own])
-                sums = asked.astype(np.float32) @ self.full
-            end = min(done, max(begin + 1, int(np.searchsorted(work, work[begin] + ADDED_AT_ONCE, "right")) - 1))
-            own = slice(rare_ends[begin], rare_ends[end])
-            postings, n = _slices(rare_start[own], rare_stop[own])
-            cells = np.repeat((rare_query[own] - begin) * n_docs, n)
-            cells += self.doc[postings]
-            gains = np.repeat(rare_weight[own], n)
-            reached = _added(cells, gains * self.rough[postings], (end - begin) * n_docs).reshape(-1, n_docs)
-            reached += sums[begin - low:end - low]
-            chosen = reached >= np.maximum(least[begin:end] * margin, SMALLEST)[:, None]
+        row[~is_common] = len(self.common)
+        rank, here = _places_of(terms, self.terms)
+        rank[~here] = -1
+        rank = rank[at]
+        ends = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        rough_weights = weights.astype(np.float32)
+        step = max(1, min(GROUP, PRODUCT_CELLS // width))
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # queries and documents that may be among their best
+        for low in range(0, len(sizes), step):
+            high = min(low + step, len(sizes))
+            own = slice(ends[low], ends[high])
+            query = np.repeat(np.arange(high - low), sizes[low:high])
+            # a term of many of these queries and documents goes into a matrix product
+            rows = row[at[own]]
+            asking = np.bincount(rows, minlength=len(self.common) + 1)[:-1]
+            dense = np.flatnonzero(asking * self.common_counts * POSTING_COST > (high - low) * n_docs)
+            column = np.full(len(self.common) + 1, -1)
+            column[dense] = np.arange(len(dense))
+            column = column[rows]
+            often = np.flatnonzero(column >= 0)
+            asked = _added(query[often] * len(dense) + column[often], weights[own][often], (high - low) * len(dense))
+            sums = asked.reshape(high - low, len(dense)).astype(np.float32) @ self.full[dense]
+            # the others' postings are added to it
+            rare = np.flatnonzero((column < 0) & (rank[own] >= 0))
+            query, rare_rank, rare_weights = query[rare], rank[own][rare], rough_weights[own][rare]
+            first, last = self.first[rare_rank], self.last[rare_rank]
+            rare_ends = np.searchsorted(query, np.arange(high - low + 1))
+            work = np.append(0, np.cumsum(last - first))[rare_ends] * LINE
+            begin = 0
+            while begin < high - low:
+                end = int(np.searchsorted(work, work[begin] + ADDED_AT_ONCE, "right")) - 1
+                end = max(begin + 1, min(end, begin + NARROW // width))
+                own = slice(rare_ends[begin], rare_ends[end])
+                lines, n = _slices(first[own], last[own])
+                cells, values = self.lines.take(lines, axis=0), self.line_values.take(lines, axis=0)
+                before = np.repeat((query[own] - begin).astype(np.uint64) * np.uint64(width * EACH), n)
+                for side in range(cells.shape[1]):  # all numbers of a word at once
+                    cells[:, side] += before
+                values *= np.repeat(rare_weights[own], n)[:, None]
+                np.add.at(sums[begin:end].reshape(-1), cells.view("<u2").reshape(-1).astype(np.intp), values.reshape(-1))
+                begin = end
+            limit = np.maximum(least[low:high] * margin[low:high], SMALLEST).astype(np.float32)
+            some = np.flatnonzero(sums.max(axis=1) >= limit)
+            sums, limit = sums[some], limit[some]
+            chosen = sums >= limit[:, None]
             many = np.flatnonzero(np.count_nonzero(chosen, axis=1) > k)
             if len(many):
-                kth = np.partition(reached[many], n_docs - k, axis=1)[:, n_docs - k]
-                chosen[many] &= reached[many] >= kth[:, None] * margin
-            found = np.flatnonzero(chosen)
-            if len(found):
-                # exactly, term by term
-                number, doc = np.divmod(found, n_docs)
-                slot = np.full((end - begin) * n_docs, -1, np.int32)
-                slot[found] = np.arange(len(found))
-                slot = slot[cells]
-                hits = np.flatnonzero(slot >= 0)
-                slot = slot[hits]
-                tf = self.tf[postings[hits]]
-                exact = _added(slot, gains[hits] * (tf * (K1 + 1) / (tf + self.norm[doc[slot]])), len(found))
-                number += begin
-                ends = np.append(0, np.cumsum(often_ends[number + 1] - often_ends[number]))
-                part = 0
-                while part < len(found):  # copies of a text are all found
-                    some = slice(part, max(part + 1, int(np.searchsorted(ends, ends[part] + 8 * ADDED_AT_ONCE, "right")) - 1))
-                    own, n = _slices(often_ends[number[some]], often_ends[number[some] + 1])
-                    at_doc = np.repeat(doc[some], n)
-                    tf = self.times[often_row[own], at_doc]
-                    values = often_weight[own] * (tf * (K1 + 1) / (tf + self.norm[at_doc]))
-                    exact[some] += _added(np.repeat(np.arange(len(n)), n), values, len(n))
-                    part = some.stop
+                kth = np.partition(sums[many], width - k, axis=1)[:, width - k]
+                chosen[many] &= sums[many] >= (kth * margin[low + some[many]]).astype(np.float32)[:, None]
+            found, doc = np.divmod(np.flatnonzero(chosen), width)
+            held.append((low + some[found], doc))
+            if sum(len(x) for x, _ in held) >= ADDED_AT_ONCE or high == len(sizes):
+                number, doc = (np.concatenate([x[side] for x in held]) for side in (0, 1))
+                held = []
+                exact = self._exact(number, doc, rank, weights, ends)
                 order = np.lexsort((doc, -exact, number))
-                rank = np.arange(len(found)) - np.searchsorted(number, number)
-                order = order[(rank < k) & (exact[order] >= least[number[order]])]
+                places = np.arange(len(number)) - np.searchsorted(number, number)
+                order = order[(places < k) & (exact[order] >= least[number[order]])]
                 yield number[order], doc[order], exact[order]
-            begin = end
+
+    def _exact(self, number: np.ndarray, doc: np.ndarray, rank: np.ndarray, weights: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Scores of pairs of a query and a document, in double precision, term by term. ``rank``: places of the queries' terms
+        among this shard's, -1 for none."""
+        if self.by_doc is None:
+            order = np.argsort(self.places, kind="stable")
+            counts = np.diff(np.append(self.start, len(order)))
+            self.by_doc = (np.repeat(np.arange(len(self.terms)), counts)[order], self.tf[order],
+                           np.append(0, np.cumsum(np.bincount(self.places, minlength=len(self.norm)))))
+        ranks, times, doc_ends = self.by_doc
+        by_doc = np.argsort(doc, kind="stable")
+        docs, begins = np.unique(doc[by_doc], return_index=True)
+        begins = np.append(begins, len(doc))
+        some = max(1, TABLE_CELLS // max(1, len(self.terms)))
+        if not len(self.table):
+            self.table = np.zeros(some * len(self.terms), np.int32)
+        exact = np.zeros(len(doc))
+        for begin in range(0, len(docs), some):
+            # how often these documents have each term
+            these = docs[begin:begin + some]
+            postings, n = _slices(doc_ends[these], doc_ends[these + 1])
+            cells = np.repeat(np.arange(len(these)) * len(self.terms), n) + ranks[postings]
+            self.table[cells] = times[postings]
+            pairs = by_doc[begins[begin]:begins[begin + len(these)]]
+            slot = np.searchsorted(these, doc[pairs])
+            work = np.append(0, np.cumsum(ends[number[pairs] + 1] - ends[number[pairs]]))
+            part = 0
+            while part < len(pairs):
+                stop = max(part + 1, int(np.searchsorted(work, work[part] + 4 * ADDED_AT_ONCE, "right")) - 1)
+                asking = number[pairs[part:stop]]
+                own, n = _slices(ends[asking], ends[asking + 1])
+                at = rank[own]
+                tf = self.table[np.repeat(slot[part:stop] * len(self.terms), n) + at]
+                hits = np.flatnonzero((tf > 0) & (at >= 0))
+                of, tf = np.repeat(np.arange(stop - part), n)[hits], tf[hits]
+                values = weights[own[hits]] * (tf * (K1 + 1) / (tf + self.norm[doc[pairs[part:stop]]][of]))
+                exact[pairs[part:stop]] = _added(of, values, stop - part)
+                part = stop
+            self.table[cells] = 0
+        return exact
+
+
+def _alike_together(of: np.ndarray, columns: np.ndarray, n: int, n_columns: int) -> np.ndarray:
+    """An order of ``n`` queries in which neighbours have many common terms alike: halved along the direction they differ most in,
+    and again. ``of``, ``columns``: query and number of each common term in a query."""
+    has = np.zeros((n, n_columns), np.float32)
+    has[of, columns] = 1
+
+    def halved(rows: np.ndarray) -> Iterator[np.ndarray]:
+        if len(rows) <= GROUP or not n_columns:
+            yield rows
+            return
+        apart = has[rows]
+        apart -= apart.mean(axis=0)
+        axis = apart.std(axis=0)
+        for _ in range(8):
+            axis = (apart @ axis) @ apart
+            axis /= max(np.linalg.norm(axis), SMALLEST)
+        rows = rows[np.argsort(apart @ axis, kind="stable")]
+        half = len(rows) // 2
+        del apart
+        yield from halved(rows[:half])
+        yield from halved(rows[half:])
+
+    return np.concatenate([*halved(np.arange(n))])
 
 
 def _added(places: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -278,9 +358,12 @@ def _slices(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.arange(n.sum()) + np.repeat(starts - (np.cumsum(n) - n), n), n
 
 
-def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key: str, text: str, folder: str) -> DataFrame:
+def written_queries(
+    queries: DataFrame, frequencies: DataFrame, n_docs: int, key: str, text: str, folder: str, common: np.ndarray = np.zeros(0, np.int64),
+) -> DataFrame:
     """A row per block of queries: ``ids``, ``sizes`` (numbers of distinct terms), the block's distinct ``terms``, ascending, and of
-    each query after the other ``at``, its terms' places among them, ascending, and ``weights``: times in the query * idf."""
+    each query after the other ``at``, its terms' places among them, ascending, and ``times``; ``idf`` of the distinct terms. Queries
+    that have the same of ``common`` (ascending) stand together."""
     kind = queries.schema[key].dataType.simpleString()
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,12 +377,19 @@ def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            ids, terms, weights = (pa.concat_arrays([x.column(side) for x in held]) for side in (0, 1, 2))
-            names, at = np.unique(terms.flatten().to_numpy(), return_inverse=True)
+            ids, terms, times, idf = (pa.concat_arrays([x.column(side) for x in held]) for side in range(4))
+            names, first, at = np.unique(terms.flatten().to_numpy(), return_index=True, return_inverse=True)
+            sizes = terms.value_lengths().to_numpy().astype(np.int64)
+            row, is_common = _places_of(names, common)
+            often = np.flatnonzero(is_common[at])
+            order = _alike_together(np.repeat(np.arange(len(ids)), sizes)[often], row[at[often]], len(ids), len(common))
+            ends = np.cumsum(sizes)
+            own = _slices((ends - sizes)[order], ends[order])[0]
+            ids = ids.take(pa.array(order))
             return pa.RecordBatch.from_arrays([
-                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), _bytes(terms.value_lengths().to_numpy(), "<i4"),
-                _bytes(names, "<i8"), _bytes(at, "<i4"), _bytes(weights.flatten().to_numpy(), "<f8")],
-                ["ids", "sizes", "terms", "at", "weights"])
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), _bytes(sizes[order], "<i4"),
+                _bytes(names, "<i8"), _bytes(at[own], "<i4"), _narrow(times.flatten().to_numpy()[own]),
+                _bytes(idf.flatten().to_numpy()[first], "<f8")], ["ids", "sizes", "terms", "at", "query_times", "idf"])
 
         held, n, size = [], 0, 0
         for batch in batches:
@@ -315,14 +405,15 @@ def written_queries(queries: DataFrame, frequencies: DataFrame, n_docs: int, key
 
     rows = queries.select(key, text).mapInArrow(flat, f"query_id {kind}, term bigint, n bigint")
     idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = rows.join(frequencies, "term").select("query_id", F.struct("term", (F.col("n") * idf).alias("w")).alias("t"))
+    weighted = rows.join(frequencies, "term").select("query_id", F.struct("term", "n", idf.alias("idf")).alias("t"))
     lists = weighted.groupBy("query_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    lists = lists.select("query_id", F.col("t.term").alias("terms"), F.col("t.w").alias("weights"))
+    lists = lists.select("query_id", F.col("t.term").alias("terms"), F.col("t.n").alias("times"), F.col("t.idf").alias("idf"))
     lists.write.parquet(f"{folder}-lists")
     lists = queries.sparkSession.read.parquet(f"{folder}-lists")
     total = lists.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
     blocks = max(1, math.ceil(total["n"] / QUERY_BLOCK), math.ceil(total["terms"] / PART_POSTINGS))
-    lists.repartition(blocks).mapInArrow(pack, f"ids array<{kind}>, sizes binary, terms binary, at binary, weights binary").write.parquet(folder)
+    lists.repartition(blocks).mapInArrow(
+        pack, f"ids array<{kind}>, sizes binary, terms binary, at binary, query_times binary, idf binary").write.parquet(folder)
     return queries.sparkSession.read.parquet(folder)
 
 
@@ -335,9 +426,10 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
     total = shards.agg(
         F.count("*").alias("shards"), F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("words")).first()
     n_docs, average = total["n"], max(1.0, total["words"] / max(1, total["n"]))
-    blocks = written_queries(queries, frequencies, n_docs, key, text, f"{folder}/queries")
     often = frequencies.where(F.col("df") * COMMON > n_docs).orderBy(F.desc("df"), "term").limit(COMMON_TERMS)
-    common = np.sort(np.array([r["term"] for r in often.collect()], np.int64))
+    often = np.array([r["term"] for r in often.collect()], np.int64)
+    blocks = written_queries(queries, frequencies, n_docs, key, text, f"{folder}/queries", np.sort(often[:ALIKE_TERMS]))
+    common = np.sort(often)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +451,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, key: str = "doc_id"
                     number, keys = row["shard"].as_py(), row["keys"].values.to_pylist()
                     index = ShardIndex(*(row[c] for c in ("lengths", "doc_terms", "counts", "places", "times")), common, average)
                 sizes, queries = _read(row["sizes"], "<i4"), row["ids"].values.to_pylist()
-                terms, at, weights = (_read(row[c], kind) for c, kind in (("terms", "<i8"), ("at", "<i4"), ("weights", "<f8")))
+                terms, at, idf = (_read(row[c], kind) for c, kind in (("terms", "<i8"), ("at", "<i4"), ("idf", "<f8")))
+                weights = _wide(row["query_times"], len(at)) * idf[at]
                 least = np.array([hits[-1][0] if len(hits := best.get(query, ())) == k else 0.0 for query in queries])
                 for hits in index.top(terms, at, weights, sizes, k, least):
                     for i, group in groupby(zip(*(side.tolist() for side in hits)), itemgetter(0)):
