@@ -1,18 +1,19 @@
 """Exact top-k BM25 search over an inverted index per shard and merged.
 
 Texts are cut into terms once. Each task packs the documents it reads into shards of at most ``SHARD_DOCS`` rows and about
-``PART_POSTINGS`` postings and writes each as one row, already inverted: its terms and, per term, postings in document order.
+``SHARD_PARTS * PART_POSTINGS`` postings and writes each as one row, already inverted: its terms and, per term, postings in document order.
 Everything after reads those rows; no posting is shuffled. Queries are written in blocks of about ``QUERY_BLOCK`` rows or
 ``PART_POSTINGS`` terms, a row each. Each shard meets each block in a cross join of those rows, which reads what is written
 and shuffles nothing either, so disk and shuffles grow with the corpus although the comparisons grow with its square.
 
 A term in more than one in ``COMMON`` of all documents is common (at most ``COMMON_TERMS`` are). A shard has a matrix of the
-common terms' contributions to each of its documents; for the other terms it has postings. The common terms' part of the scores
-of many queries is one matrix product, to which the postings of some queries at a time are added. These sums are of single
-precision, so they only choose: documents whose sum comes, but for what rounding may have cost it, up to the k-th best of the
-shard, or to what the task's earlier shards reached, are scored again in double precision, term by term. A task takes up to
-``TASK_SHARDS`` shards, as each leaves fewer documents of the next to be scored again, and meets ``TASK_BLOCKS`` blocks with
-them. Document frequencies, number of documents, average length and common terms are those of the whole corpus and terms are
+common terms' contributions to each of its documents, and of every term its postings in lines of ``LINE``. A block's queries are
+written so that neighbours have the same common terms, and scored ``GROUP`` at a time: a common term that many of the group's
+queries and the shard's documents have goes into one matrix product of the group, the other terms' lines are added to it. These
+sums are of single precision, so they only choose: documents whose sum comes, but for what rounding may have cost it, up to the
+k-th best of the shard, or to what the task's earlier shards reached, are scored again in double precision, term by term. A task
+takes up to ``TASK_SHARDS`` shards, as each leaves fewer documents of the next to be scored again, and meets ``TASK_BLOCKS`` blocks
+with them. Document frequencies, number of documents, average length and common terms are those of the whole corpus and terms are
 added in one order, so scores do not depend on the shard and the k best of all shards' k best are exact. Ties go to the smaller
 key. (Bounds by block maxima were tried for this: they left 97 of 100 ranges of 64 documents to be scored, as whole documents as
 queries share many words with every range.) Every query still meets every document: disk and shuffles grow with the corpus, the
@@ -45,17 +46,18 @@ from .arrow import texts_of
 
 K1, B = 1.2, 0.75
 SHARD_DOCS = 8_192
-PART_POSTINGS = 500_000
+PART_POSTINGS = 500_000  # of a block of queries
+SHARD_PARTS = 2  # a shard has as many postings as so many blocks
 QUERY_BLOCK = 8_192
 PRODUCT_CELLS = 2_000_000  # of queries times documents at once
-ADDED_AT_ONCE = 131_072  # of postings and cells they are added to
+ADDED_AT_ONCE = 131_072  # of postings, filled-up lines included
 COMMON, COMMON_TERMS, ALIKE_TERMS = 32, 2_048, 512
-GROUP = 256
-LINE = 8
-NARROW = 1 << 16  # cells numbered by 16 bits; more than SHARD_DOCS
+GROUP = 256  # of queries scored together
+LINE = 8  # of postings, a multiple of the 4 numbers in a word
+NARROW = 1 << 16  # of cells numbered by 16 bits; more than SHARD_DOCS
 EACH = 0x0001000100010001  # 1 in each of a word's numbers of 16 bits
 POSTING_COST = 200  # of a posting added, as times that of a cell of a matrix product for one term
-TABLE_CELLS = 1 << 20
+TABLE_CELLS = 1 << 20  # of documents times terms
 FLUSH_TERMS = 1_000_000
 HELD_QUERIES = 100_000
 TASK_SHARDS, TASK_BLOCKS = 128, 4
@@ -130,7 +132,7 @@ def written_shards(docs: DataFrame, key: str, text: str, folder: str) -> DataFra
             begin = 0
             for i, (terms, _) in enumerate(found):
                 n_docs, n_postings = n_docs + 1, n_postings + len(terms)
-                if n_docs >= SHARD_DOCS or n_postings >= 2 * PART_POSTINGS:
+                if n_docs >= SHARD_DOCS or n_postings >= SHARD_PARTS * PART_POSTINGS:
                     held.append((batch.column(0)[begin:i + 1], lengths[begin:i + 1], found[begin:i + 1]))
                     yield packed(held)
                     held, n_docs, n_postings, begin = [], 0, 0, i + 1
